@@ -1,0 +1 @@
+"""Empty on purpose: the capabilities rebuilt here are full batch re-runs, with no stream to process."""
