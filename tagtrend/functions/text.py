@@ -56,52 +56,61 @@ def longer_than(c: str | Column, n: int) -> Column:
     return F.char_length(text_or_empty(c)) > n
 
 
-def mentions(lowered: str | Column, keyword: str, match: str = "substring") -> Column:
-    """Whether an already lower-cased text mentions `keyword`.
+def sql_text(value: str) -> str:
+    """A text as a SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+# Keyword and rule lists become one SQL expression over a column name: a dictionary of a hundred entries is
+# then one call into the JVM, and one chain of `contains` in the generated code.
+
+
+def mention(lowered: str, keyword: str, match: str = "substring") -> str:
+    """SQL condition: an already lower-cased column mentions `keyword`.
 
     `match` is `substring`, `word` (no letter, digit or `_` on either side) or `token` (an element of a
     ", "-joined list).
     """
-    c, needle = as_column(lowered), keyword.lower()
+    needle = keyword.lower()
     if match == "substring":
-        return F.contains(c, F.lit(needle))
+        return f"contains(`{lowered}`, {sql_text(needle)})"
     if match == "word":
-        return F.rlike(c, F.lit(f"(^|[^{_WORD}]){re.escape(needle)}($|[^{_WORD}])"))
+        pattern = f"(^|[^{_WORD}]){re.escape(needle)}($|[^{_WORD}])"
+        return f"`{lowered}` rlike {sql_text(pattern)}"
     if match == "token":
-        return F.contains(F.concat(F.lit(", "), c, F.lit(", ")), F.lit(f", {needle}, "))
+        return f"contains(concat(', ', `{lowered}`, ', '), {sql_text(f', {needle}, ')})"
     raise ValueError(f"unknown match mode {match!r}")
 
 
-def keyword_hits(lowered: str | Column, keywords: Iterable[str], match: str = "substring") -> list[Column]:
-    """One column per keyword: its label where the text mentions it, else null."""
-    return [F.when(mentions(lowered, k, match), F.lit(k)) for k in keywords]
+def mentions(lowered: str, keyword: str, match: str = "substring") -> Column:
+    return F.expr(mention(lowered, keyword, match))
+
+
+def joined_tags(lowered: str, keywords: Iterable[str], match: str = "substring") -> Column:
+    """The mentioned keywords in the given order, ", "-joined; no shuffle, no lambda, one codegen stage."""
+    hits = [f"CASE WHEN {mention(lowered, k, match)} THEN {sql_text(k)} END" for k in keywords]
+    return F.expr(f"concat_ws(', ', {', '.join(hits)})")
 
 
-def joined_tags(lowered: str | Column, keywords: Iterable[str], match: str = "substring") -> Column:
-    """The mentioned keywords in dictionary order, ", "-joined; no shuffle, no lambda, one codegen stage."""
-    return F.concat_ws(", ", *keyword_hits(lowered, keywords, match))
+def any_of(column: str, words: Sequence[str]) -> Column:
+    """Whether the column holds any of the words, as written."""
+    return F.expr(_any_of(column, words))
 
 
-def tag_array(lowered: str | Column, keywords: Iterable[str], match: str = "substring") -> Column:
-    return F.array_compact(F.array(*keyword_hits(lowered, keywords, match)))
+def _any_of(column: str, words: Sequence[str]) -> str:
+    return "(" + " OR ".join(f"contains(`{column}`, {sql_text(w)})" for w in words) + ")"
 
 
-def first_match(text: str | Column, rules: Rules, default: str | None, *, ignore_case: bool = True) -> Column:
-    """The first rule, in order, one of whose keywords lies inside the text."""
-    c = F.lower(text_or_empty(text)) if ignore_case else text_or_empty(text)
-    chain = None
-    for label, words in rules.items():
-        hit = any_of(c, [w.lower() for w in words] if ignore_case else words)
-        chain = F.when(hit, F.lit(label)) if chain is None else chain.when(hit, F.lit(label))
-    return chain.otherwise(F.lit(default))
+def first_match(column: str, rules: Rules, default: str | None) -> Column:
+    """The first rule, in order, one of whose words lies in the column as written; null text gets the default."""
+    if not rules:
+        return F.lit(default).cast("string")
+    cases = " ".join(f"WHEN {_any_of(column, words)} THEN {sql_text(label)}" for label, words in rules.items())
+    return F.expr(f"CASE {cases} ELSE {'NULL' if default is None else sql_text(default)} END")
 
 
-def any_of(c: str | Column, words: Sequence[str]) -> Column:
-    """Whether the text holds any of the words, as written."""
-    hit = F.contains(as_column(c), F.lit(words[0]))
-    for word in words[1:]:
-        hit = hit | F.contains(as_column(c), F.lit(word))
-    return hit
+def lower_rules(rules: Rules) -> Rules:
+    return {label: [w.lower() for w in words] for label, words in rules.items()}
 
 
 def tokens(c: str | Column, sep: str = ",", limit: int | None = None) -> Column:

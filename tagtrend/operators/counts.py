@@ -34,9 +34,9 @@ def coverage(df: DataFrame, conditions: Mapping[str, Column], by: Sequence[str]
     return df.groupBy(*by).agg(*aggs)
 
 
-def distribution(df: DataFrame, group: str, category: str) -> DataFrame:
+def distribution(df: DataFrame, group: str, category: str, *, weight: str | None = None) -> DataFrame:
     """`group, category, n, ratio` with the ratio over the group. The window sees counts, not rows."""
-    counts = df.groupBy(group, category).agg(F.count("*").alias("n"))
+    counts = df.groupBy(group, category).agg((F.count("*") if weight is None else F.sum(weight)).alias("n"))
     total = F.sum("n").over(Window.partitionBy(group))
     return counts.withColumn("ratio", F.col("n") * 100.0 / total)
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 ROWS_PER_BLOCK = 16_384
 QUERIES_PER_BLOCK = 4_096
+MAX_BROADCAST_KEYS = 100_000
 _SLICE = 256
 
 
@@ -48,27 +49,34 @@ def _block_top_k(queries: pa.Table, rows: pa.Table, k: int) -> pa.Table:
     })
 
 
-def _with_blocks(
-    df: DataFrame, other: DataFrame, ident: str, on: Sequence[str], own_rows: int, other_rows: int,
-    own: str, across: str,
-) -> DataFrame:
-    """Give each row its own block within its key, and a copy for every block of the other side.
+def _large_keys(side: DataFrame, on: Sequence[str], rows: int, block: int, name: str) -> DataFrame | None:
+    """Keys with more rows than a block, and their number of blocks; `None` where one block holds the side.
 
-    Keys with at most a block's worth of rows need no entry, so the table of large keys holds at most
-    rows / block size entries; that bound is what makes it safe to broadcast.
+    There are at most rows / block such keys. Up to `MAX_BROADCAST_KEYS` of them the table is broadcast,
+    beyond that it is joined like any other.
     """
-    def large(side: DataFrame, block: int, name: str) -> DataFrame:
-        sizes = side.groupBy(*on).agg(F.count("*").alias("_n")).where(F.col("_n") > block)
-        return F.broadcast(sizes.select(*on, F.ceil(F.col("_n") / block).cast("long").alias(name)))
+    if rows <= block:
+        return None
+    sizes = side.groupBy(*on).agg(F.count("*").alias("_n")).where(F.col("_n") > block)
+    large = sizes.select(*on, F.ceil(F.col("_n") / block).cast("long").alias(name))
+    return F.broadcast(large) if rows // block <= MAX_BROADCAST_KEYS else large
 
+
+def _with_blocks(
+    df: DataFrame, ident: str, on: Sequence[str], own_sizes: DataFrame | None, other_sizes: DataFrame | None,
+    own: str, other: str,
+) -> DataFrame:
+    """Give each row its block within its key, and a copy for every block of the other side."""
     one = F.lit(1).cast("long")
-    return (
-        df.join(large(df, own_rows, "_own"), list(on), "left")
-        .join(large(other, other_rows, "_across"), list(on), "left")
-        .withColumn(own, F.pmod(F.xxhash64(ident), F.coalesce("_own", one)))
-        .withColumn(across, F.explode(F.sequence(one - 1, F.coalesce("_across", one) - 1)))
-        .drop("_own", "_across")
-    )
+    if own_sizes is None:
+        df = df.withColumn(own, one - 1)
+    else:
+        df = df.join(own_sizes.withColumnRenamed(own, "_own"), list(on), "left")
+        df = df.withColumn(own, F.pmod(F.xxhash64(ident), F.coalesce("_own", one))).drop("_own")
+    if other_sizes is None:
+        return df.withColumn(other, one - 1)
+    df = df.join(other_sizes.withColumnRenamed(other, "_across"), list(on), "left")
+    return df.withColumn(other, F.explode(F.sequence(one - 1, F.coalesce("_across", one) - 1))).drop("_across")
 
 
 def top_k_similar(
@@ -99,8 +107,10 @@ def top_k_similar(
     c_on = [F.col(c).alias(n) for (_, c), n in zip(on, keys)] or [F.lit(0).alias("_on0")]
     q = queries.select(F.col(query_id).alias("_query"), F.col(query_vector).cast("array<double>").alias("_vector"), *q_on)
     c = collection.select(F.col(row_id).cast("long").alias("_id"), F.col(row_vector).cast("array<double>").alias("_vector"), *c_on)
-    q_blocks = _with_blocks(q, c, "_query", keys, queries_per_block, rows_per_block, "_qb", "_cb")
-    c_blocks = _with_blocks(c, q, "_id", keys, rows_per_block, queries_per_block, "_cb", "_qb")
+    q_sizes = _large_keys(q, keys, queries.count(), queries_per_block, "_qb")
+    c_sizes = _large_keys(c, keys, collection.count(), rows_per_block, "_cb")
+    q_blocks = _with_blocks(q, "_query", keys, q_sizes, c_sizes, "_qb", "_cb")
+    c_blocks = _with_blocks(c, "_id", keys, c_sizes, q_sizes, "_cb", "_qb")
     id_type = q.schema["_query"].dataType.simpleString()
     cell = [*keys, "_qb", "_cb"]
     partial = (

@@ -7,23 +7,26 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagtrend.functions.text import as_column, mentions, text_or_empty
+from tagtrend.functions.text import mention, sql_text, text_or_empty
 from tagtrend.operators.timeline import in_months
 
 
 def keyword_rates(
-    df: DataFrame, by: Sequence[str], tags: str, keywords: Sequence[str], *, match: str = "substring"
+    df: DataFrame, by: Sequence[str], tags: str, keywords: Sequence[str], *, match: str = "substring",
+    weight: str | None = None,
 ) -> DataFrame:
     """`by..., keyword, n, total, rate`: the share of a group's rows whose tags mention each keyword.
 
     All keywords are counted in one conditional aggregate, so the shuffle carries one row per group and
-    map task whatever the number of rows, and absent keywords keep their zero cells.
+    map task whatever the number of rows, and absent keywords keep their zero cells. `weight` is the number
+    of records a row stands for, where `df` is already counted.
     """
-    lowered = df.select(*by, F.lower(text_or_empty(tags)).alias("_tags"))
-    hits = [F.count_if(mentions("_tags", k, match)).alias(f"_k{i}") for i, k in enumerate(keywords)]
-    wide = lowered.groupBy(*by).agg(F.count("*").alias("total"), *hits)
-    cells = F.array(*[F.struct(F.lit(k).alias("keyword"), F.col(f"_k{i}").alias("n")) for i, k in enumerate(keywords)])
-    long = wide.select(*by, "total", F.inline(cells))
+    one = F.lit(1).cast("long") if weight is None else F.col(weight)
+    lowered = df.select(*by, F.lower(text_or_empty(tags)).alias("_tags"), one.alias("_w"))
+    hits = [F.expr(f"sum(CASE WHEN {mention('_tags', k, match)} THEN _w ELSE 0 END) AS _k{i}") for i, k in enumerate(keywords)]
+    wide = lowered.groupBy(*by).agg(F.sum("_w").alias("total"), *hits)
+    cells = ", ".join(f"struct({sql_text(k)} AS keyword, _k{i} AS n)" for i, k in enumerate(keywords))
+    long = wide.select(*by, "total", F.expr(f"inline(array({cells}))"))
     return long.select(*by, "keyword", "n", "total", (F.col("n") * 100.0 / F.col("total")).alias("rate"))
 
 
@@ -108,7 +111,7 @@ def two_segments(rates: DataFrame, segment: str, name: str, value: str, a: str,
         for out, which in (("a", a), ("b", b))
     }
     pairs = rates.where(F.col(segment).isin(a, b)).groupBy(F.col(name).alias("name")).agg(*side.values())
-    return pairs.select("name", "a", "b", (as_column("a") + as_column("b")).alias("total"), (F.col("a") - F.col("b")).alias("diff"))
+    return pairs.select("name", "a", "b", (F.col("a") + F.col("b")).alias("total"), (F.col("a") - F.col("b")).alias("diff"))
 
 
 def distinctive(pairs: DataFrame, threshold: float = 8.0) -> DataFrame:

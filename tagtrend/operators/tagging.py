@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagtrend.functions.text import as_column, joined_tags, text_or_empty, tokens
+from tagtrend.functions.text import Rules, as_column, first_match, joined_tags, lower_rules, text_or_empty, tokens
 
 
 def tag_records(
@@ -34,6 +34,15 @@ def tag_records(
     return lowered.select(*[F.col(c) for c in df.columns], *out)
 
 
+def classify(
+    df: DataFrame, text: str | Column, rules: Rules, default: str | None, out: str, *, ignore_case: bool = True
+) -> DataFrame:
+    """Add the first rule, in order, that has a keyword inside the text; `default` where none has."""
+    value = F.lower(text_or_empty(text)) if ignore_case else text_or_empty(text)
+    found = first_match("_text", lower_rules(rules) if ignore_case else rules, default)
+    return df.withColumn("_text", value).select(*[F.col(c) for c in df.columns], found.alias(out))
+
+
 def dictionary_table(df_of_session: DataFrame, dictionary: Mapping[str, Sequence[str]]) -> DataFrame:
     """The dictionary as a table `category, position, keyword`, for export and for size reports."""
     rows = [(c, i, k) for c, words in dictionary.items() for i, k in enumerate(words)]

@@ -79,13 +79,21 @@ def month_counts(df: DataFrame, ym: str, low: str | None = None, high: str | Non
     return rows.where(F.col(ym).isNotNull() & (F.col(ym) != "")).groupBy(ym).agg(F.count("*").alias("n"))
 
 
-def month_category_table(df: DataFrame, ym: str, category: str, values: Sequence[str]) -> DataFrame:
-    """Wide month x category counts in a fixed column order, zero where a month has none. One aggregate."""
-    return df.groupBy(ym).agg(*[F.count_if(F.col(category) == v).alias(v) for v in values])
+def month_category_table(
+    df: DataFrame, ym: str, category: str, values: Sequence[str], *, weight: str | None = None
+) -> DataFrame:
+    """Wide month x category counts in a fixed column order, zero where a month has none. One aggregate.
+
+    `weight` is the number of records a row stands for, where `df` is already counted.
+    """
+    one = F.lit(1).cast("long") if weight is None else F.col(weight)
+    return df.groupBy(ym).agg(*[F.sum(F.when(F.col(category) == v, one).otherwise(0)).alias(v) for v in values])
 
 
-def month_category_counts(df: DataFrame, ym: str, category: str, values: Sequence[str]) -> DataFrame:
+def month_category_counts(
+    df: DataFrame, ym: str, category: str, values: Sequence[str], *, weight: str | None = None
+) -> DataFrame:
     """The same table in long form (`ym, category, n`), zeros included."""
-    wide = month_category_table(df, ym, category, values)
+    wide = month_category_table(df, ym, category, values, weight=weight)
     cells = F.array(*[F.struct(F.lit(v).alias("category"), F.col(f"`{v}`").alias("n")) for v in values])
     return wide.select(F.col(ym).alias("ym"), F.inline(cells))

@@ -107,22 +107,21 @@ def word_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""SELECT doc_id, {sql_first('lower(text)', v.TOPIC_RULES, "'other'")} AS topic FROM documents""")
 def classify_first_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.table(spark, sf_dir, "documents").select(
-        "doc_id", text.first_match("text", v.TOPIC_RULES, "other").alias("topic")
-    )
+    documents = views.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tagging.classify(documents, "text", v.TOPIC_RULES, "other", "topic").drop("text")
 
 
 @query(f"""SELECT p_partkey, {sql_first('p_type', v.SCALE_RULES, "'small'")} AS scale FROM part""")
 def classify_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.table(spark, sf_dir, "part").select(
-        "p_partkey", text.first_match("p_type", v.SCALE_RULES, "small", ignore_case=False).alias("scale")
-    )
+    parts = views.table(spark, sf_dir, "part").select("p_partkey", "p_type")
+    return tagging.classify(parts, "p_type", v.SCALE_RULES, "small", "scale", ignore_case=False).drop("p_type")
 
 
 @query(f"""SELECT {sql_first('lower(o_orderpriority)', v.PRIORITY_RULES, "'other'")} AS pace, count(*) AS n FROM orders GROUP BY 1""")
 def classify_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = views.table(spark, sf_dir, "orders")
-    return orders.groupBy(text.first_match("o_orderpriority", v.PRIORITY_RULES, "other").alias("pace")).agg(F.count("*").alias("n"))
+    orders = views.table(spark, sf_dir, "orders").select("o_orderpriority")
+    paced = tagging.classify(orders, "o_orderpriority", v.PRIORITY_RULES, "other", "pace")
+    return paced.groupBy("pace").agg(F.count("*").alias("n"))
 
 
 @query(f"""SELECT token, count(*) AS n, round(count(*) * 100.0 / (SELECT count(*) FROM part), 6) AS rate

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagtrend.functions import text
-from tagtrend.operators import documents, rates, roadmap, samples, sampling
+from tagtrend.operators import documents, rates, roadmap, samples, sampling, tagging
 from tagtrend.plans import views
 from tagtrend.plans import vocabulary as v
 from tagtrend.plans.catalog import trends
@@ -27,10 +27,8 @@ substr(body, 1, 100) AS title, substr(source, 1, 50) AS company, lang AS region,
 FROM ({_RENDERED}) WHERE length(body) > 50 OR length(tags_all) > 50""")
 def render_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = views.table(spark, sf_dir, "labels").select("doc_id", "quality")
-    rows = views.tagged_documents(spark, sf_dir, "lang", "source").select(
-        "doc_id", "source", "lang", "tags_all", text.clean_text("text").alias("body"),
-        text.first_match("text", v.TOPIC_RULES, "other").alias("topic"),
-    )
+    tagged = views.tagged_documents(spark, sf_dir, "lang", "source")
+    rows = tagging.classify(tagged, "text", v.TOPIC_RULES, "other", "topic").withColumn("body", text.clean_text("text"))
     rows = documents.with_text(rows, ["body", "tags_all"], 50).withColumn("body", text.cap("body", 500))
     rendered = documents.retrieval_documents(
         rows.join(labels, "doc_id", "left"),
@@ -129,7 +127,7 @@ WHERE quality IS NOT NULL AND lang IN ('en', 'de') AND length(req) >= 20 AND tag
 
 def _rotate(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = samples.rotating_template(views.table(spark, sf_dir, "documents"), v.ROTATING_TEMPLATES, "doc_id")
-    rows = views.tag_records(placed, "text", v.DOCUMENT_KEYWORDS, per_category=False).select(
+    rows = tagging.tag_records(placed, "text", v.DOCUMENT_KEYWORDS, per_category=False).select(
         "doc_id", "lang", "source", "template_no", "template", text.tokens("tags_all", limit=6).alias("kws"),
         F.trim(text.cap(text.clean_text("text"), 400)).alias("req"),
     )

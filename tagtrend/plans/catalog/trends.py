@@ -238,10 +238,12 @@ SELECT list({{'name': name, 'a': a, 'b': b, 'diff': diff, 'leader': leader}} ORD
 FROM (SELECT segment, CAST(sum(n) AS BIGINT) AS rows, list({{'category': category, 'ratio': round(ratio, 1)}} ORDER BY category) AS categories FROM ({_DISTRIBUTION}) GROUP BY 1) c
 JOIN (SELECT segment, list({{'rank': rank, 'keyword': keyword, 'rate': round(rate, 1)}} ORDER BY rank) AS top_keywords FROM ({_TOPK}) GROUP BY 1) USING (segment)""")
 def metrics_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    by_segment = segment_rates(spark, sf_dir)
+    counted = views.counted_postings(spark, sf_dir, "segment", "category", "tags_all")
+    by_segment = rates.keyword_rates(counted, ["segment"], "tags_all", v.PART_LIST, weight="n")
     gaps = rates.distinctive(rates.two_segments(by_segment, "segment", "keyword", "rate", _A, _B), _THRESHOLD)
     ranking = rates.segment_ranking(by_segment, "segment", 10)
-    return segments.metrics_bundle(distribution(spark, sf_dir), ranking, gaps, "segment", "category")
+    shares = counts.distribution(counted, "segment", "category", weight="n")
+    return segments.metrics_bundle(shares, ranking, gaps, "segment", "category")
 
 
 _SEEN = f"""SELECT keyword, dictionary, (SELECT count(*) FROM ({PARTS}) WHERE contains(tags_all, keyword)) AS n FROM ({_BY_GROUP})"""

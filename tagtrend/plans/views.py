@@ -6,13 +6,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagtrend.functions.dates import year_month
-from tagtrend.functions.text import clean_text, first_match
-from tagtrend.operators.tagging import tag_records
+from tagtrend.operators.tagging import classify, tag_records
 from tagtrend.plans import vocabulary as v
+from tagtrend.session import cut_lineage
+
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": (
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
+        "o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+        "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+    "embeddings": "vec_id long, embedding array<float>, label int",
+    "pages": "page_id long, url string, html string",
+    "benchmark": "item_id long, text string",
+    "labels": "doc_id long, quality int, toxic int",
+    "conversations": "conv_id long, turn long, role string, text string",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def tagged_parts(spark: SparkSession, sf_dir: str, *, per_category: bool = False) -> DataFrame:
@@ -37,6 +60,13 @@ def postings(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return rows.select(*columns)
 
 
+def counted_postings(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Postings counted by the given columns (`n`), written once: what several aggregates of one result
+    share, so that line items are read once. Its size is bounded by the columns' value combinations."""
+    rows = postings(spark, sf_dir, *columns).groupBy(*columns).agg(F.count("*").alias("n"))
+    return cut_lineage(rows)
+
+
 def order_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, customers = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
     return orders.join(customers, orders.o_custkey == customers.c_custkey).select(
@@ -56,12 +86,9 @@ def tagged_documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFra
 
 
 def retrievable_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with category, tags, a capped title and their source, over the whole text."""
-    tagged = tagged_documents(spark, sf_dir, "source")
-    return tagged.select(
-        "doc_id", F.coalesce(first_match("text", v.TOPIC_RULES, None), F.lit("other")).alias("category"), "tags_all",
-        F.substring(clean_text("text"), 1, 60).alias("title"), "source",
-    )
+    """Documents with category and tags, over the whole text."""
+    tagged = tagged_documents(spark, sf_dir)
+    return classify(tagged, "text", v.TOPIC_RULES, "other", "category").select("doc_id", "category", "tags_all")
 
 
 def cluster_records(spark: SparkSession, sf_dir: str) -> DataFrame:
