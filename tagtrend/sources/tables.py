@@ -8,16 +8,20 @@ from pyspark.sql import functions as F
 BOM = "\ufeff"
 
 
-def read_csv(spark: SparkSession, path: str, schema: str, *, multiline: bool = True) -> DataFrame:
-    """CSV with a header, read by position under `schema`.
+def read_csv(spark: SparkSession, path: str, schema: str | None = None, *, multiline: bool = True) -> DataFrame:
+    """CSV with a header: by position under `schema`, else every column as text under its header name.
 
     `multiline` is needed where quoted texts hold line breaks and makes each file one task; write such
     exports as many files, or turn it off so that files can be split.
     """
-    return (
-        spark.read.schema(schema).option("header", True).option("multiLine", multiline).option("escape", '"')
-        .option("quote", '"').csv(path)
-    )
+    reader = spark.read.option("header", True).option("multiLine", multiline).option("escape", '"').option("quote", '"')
+    return reader.schema(schema).csv(path) if schema else reader.csv(path)
+
+
+def with_row_order(df: DataFrame, name: str = "_row") -> DataFrame:
+    """A unique number per row that grows in file order, as an order key for keep-first. It has gaps; for
+    contiguous positions use `operators.position`. Sources with a row number of their own should use that."""
+    return df.withColumn(name, F.monotonically_increasing_id())
 
 
 def write_csv(df: DataFrame, path: str, *, bom: bool = True) -> None:
