@@ -3,6 +3,7 @@ result does not depend on the session time zone."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -15,9 +16,16 @@ EPOCH = "1970-01-01"
 
 
 def lenient_date(c: str | Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """The date under the first format that fits, else null; never an error."""
+    """The date under the first format that fits, else null; never an error.
+
+    A format is only tried on texts of its shape: a failed parse costs far more than the shape test.
+    """
     text = F.trim(as_column(c))
-    return F.coalesce(*[F.try_to_date(text, f) for f in formats])
+    return F.coalesce(*[F.when(F.rlike(text, F.lit(_shape(f))), F.try_to_date(text, f)) for f in formats])
+
+
+def _shape(date_format: str) -> str:
+    return "^" + re.sub("[A-Za-z]", r"\\d", re.escape(date_format).replace("\\-", "-").replace("\\ ", " ")) + "$"
 
 
 def lenient_number(c: str | Column) -> Column:

@@ -14,18 +14,20 @@ def two_segment_token_rates(df: DataFrame, segment: str, tags: str, a: str, b: s
     Rows of other segments are ignored; a row's repeated token counts once.
     """
     rows = df.where(F.col(segment).isin(a, b))
-    sizes = rows.agg(
-        F.count_if(F.col(segment) == a).alias("a"), F.count_if(F.col(segment) == b).alias("b")
-    ).select(F.struct("a", "b")).scalar()
+    # The empty token stands for the row itself, so segment sizes come out of the same aggregate.
+    items = F.concat(F.array(F.lit("")), F.array_distinct(tokens(tags)))
     counted = (
-        rows.select(F.col(segment).alias("_segment"), F.explode(F.array_distinct(tokens(tags))).alias("token"))
+        rows.select(F.col(segment).alias("_segment"), F.explode(items).alias("token"))
         .groupBy("token")
         .agg(F.count_if(F.col("_segment") == a).alias("n_a"), F.count_if(F.col("_segment") == b).alias("n_b"))
     )
-    top = counted.orderBy(F.desc(F.col("n_a") + F.col("n_b")), "token").limit(k)
+    is_row = F.col("token") == ""
+    sizes = counted.agg(F.struct(F.max(F.when(is_row, F.col("n_a"))).alias("a"), F.max(F.when(is_row, F.col("n_b"))).alias("b"))).scalar()
+    top = counted.orderBy(is_row, F.desc(F.col("n_a") + F.col("n_b")), "token").limit(k).where(F.col("token") != "")
     return top.select(
         "token", "n_a", "n_b",
-        (F.col("n_a") * 100.0 / sizes["a"]).alias("rate_a"), (F.col("n_b") * 100.0 / sizes["b"]).alias("rate_b"),
+        (F.col("n_a") * 100.0 / F.nullif(sizes["a"], F.lit(0))).alias("rate_a"),
+        (F.col("n_b") * 100.0 / F.nullif(sizes["b"], F.lit(0))).alias("rate_b"),
     )
 
 

@@ -74,9 +74,13 @@ def in_months(ym: str | Column, low: str, high: str) -> Column:
     return as_column(ym).between(low, high)
 
 
-def month_counts(df: DataFrame, ym: str, low: str | None = None, high: str | None = None) -> DataFrame:
+def month_counts(
+    df: DataFrame, ym: str, low: str | None = None, high: str | None = None, *, weight: str | None = None
+) -> DataFrame:
+    """Records per month, in a closed range of months if given; undated records fall out."""
     rows = df if low is None else df.where(in_months(ym, low, high))
-    return rows.where(F.col(ym).isNotNull() & (F.col(ym) != "")).groupBy(ym).agg(F.count("*").alias("n"))
+    count = F.count("*") if weight is None else F.sum(weight)
+    return rows.where(F.col(ym).isNotNull() & (F.col(ym) != "")).groupBy(ym).agg(count.alias("n"))
 
 
 def month_category_table(

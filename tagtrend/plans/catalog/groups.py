@@ -109,7 +109,7 @@ def lsh_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _document_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return vectors.text_vectors(views.table(spark, sf_dir, "documents").select("doc_id", "text"), "text")
+    return vectors.text_vectors(views.documents(spark, sf_dir, "text"), "text")
 
 
 @query()

@@ -69,14 +69,14 @@ def split_field(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT doc_id, {CLEAN.format('text')} AS cleaned FROM documents")
 def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.table(spark, sf_dir, "documents").select("doc_id", text.clean_text("text").alias("cleaned"))
+    return views.documents(spark, sf_dir, "text").select("doc_id", text.clean_text("text").alias("cleaned"))
 
 
 @query(f"""SELECT doc_id, source || ' ' || {CLEAN.format('text')} || ' ' || coalesce(CAST(quality AS VARCHAR), '') AS joined_text
 FROM documents LEFT JOIN labels USING (doc_id)
 WHERE length({CLEAN.format('text')}) > 50 OR length(source) > 4""")
 def analysis_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents, labels = views.table(spark, sf_dir, "documents"), views.table(spark, sf_dir, "labels")
+    documents, labels = views.documents(spark, sf_dir, "source", "text"), views.table(spark, sf_dir, "labels")
     cleaned = documents.select("doc_id", "source", text.clean_text("text").alias("cleaned")).join(labels, "doc_id", "left")
     present = cleaned.where(text.longer_than("cleaned", 50) | text.longer_than("source", 4))
     return present.select(
@@ -107,7 +107,7 @@ def word_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""SELECT doc_id, {sql_first('lower(text)', v.TOPIC_RULES, "'other'")} AS topic FROM documents""")
 def classify_first_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = views.table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = views.documents(spark, sf_dir, "text")
     return tagging.classify(documents, "text", v.TOPIC_RULES, "other", "topic").drop("text")
 
 

@@ -78,7 +78,7 @@ _WORDS = r"[w for w in regexp_split_to_array(text, '[ \t\r\n]+') if w <> '']"
 @query(f"""SELECT doc_id, CAST(len(words) AS INTEGER) AS n_words, len(words) > 1024 AS truncated, array_to_string(words[1:1024], ' ') AS text
 FROM (SELECT doc_id, {_WORDS} AS words FROM documents)""")
 def length_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return samples.cap_words(views.table(spark, sf_dir, "documents").select("doc_id", "text"), "text", 1024)
+    return samples.cap_words(views.documents(spark, sf_dir, "text"), "text", 1024)
 
 
 # Samples of the first kind: every (segment, category) pair of the postings with every question.
@@ -101,7 +101,7 @@ def segment_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _cross(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells = views.postings(spark, sf_dir, "segment", "category").distinct()
+    cells = views.counted_postings(spark, sf_dir, "segment", "category").drop("n")
     rows = samples.each_template(cells.join(segment_top5(spark, sf_dir), "segment"), v.CROSS_TEMPLATES)
     question = text.fill_slots(F.col("template"), segment=F.col("segment"), category=F.col("category"))
     answer = F.concat(F.col("category"), F.lit(" plan for "), F.col("segment"), F.lit("\nTOP5: "), F.col("top5"))
@@ -126,7 +126,8 @@ WHERE quality IS NOT NULL AND lang IN ('en', 'de') AND length(req) >= 20 AND tag
 
 
 def _rotate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = samples.rotating_template(views.table(spark, sf_dir, "documents"), v.ROTATING_TEMPLATES, "doc_id")
+    numbers = samples.rotating_template(views.table(spark, sf_dir, "documents").select("doc_id"), v.ROTATING_TEMPLATES, "doc_id")
+    placed = views.documents(spark, sf_dir, "text", "lang", "source").join(numbers, "doc_id")
     rows = tagging.tag_records(placed, "text", v.DOCUMENT_KEYWORDS, per_category=False).select(
         "doc_id", "lang", "source", "template_no", "template", text.tokens("tags_all", limit=6).alias("kws"),
         F.trim(text.cap(text.clean_text("text"), 400)).alias("req"),
@@ -194,7 +195,7 @@ FROM (SELECT doc_id, source, lang, quality, trim(substr({CLEAN.format('text')},
 @query(_OPTIONAL)
 def optional_section(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = views.table(spark, sf_dir, "labels").select("doc_id", "quality")
-    rows = views.table(spark, sf_dir, "documents").select(
+    rows = views.documents(spark, sf_dir, "source", "lang", "text").select(
         "doc_id", "source", "lang", F.trim(text.cap(text.clean_text("text"), 300)).alias("duties")
     )
     rows = rows.where(F.col("duties") != "").join(labels, "doc_id", "left")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tagtrend.operators import counts, rates, seasons, segments, summary, tagging, timeline
 from tagtrend.plans import views
 from tagtrend.plans import vocabulary as v
+from tagtrend.session import cut_lineage
 from tagtrend.plans.catalog.registry import (
     FIRST_LAST, GROWTH, MONTH_RATES, ORDER_MONTHS, PARTS, PEAKS, POSTINGS, SEGMENT_RATES, query, quoted, rounded,
     sql_1d, sql_list, sql_rates,
@@ -16,13 +17,17 @@ from tagtrend.plans.catalog.registry import (
 _A, _B = v.SEGMENTS
 
 
+def posting_rates(spark: SparkSession, sf_dir: str, by: str, column: str | None = None) -> DataFrame:
+    counted = views.counted_postings(spark, sf_dir, column or by, "tags_all")
+    return rates.keyword_rates(counted, [by], "tags_all", v.PART_LIST, weight="n")
+
+
 def month_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rates.keyword_rates(views.postings(spark, sf_dir, "ym", "tags_all"), ["ym"], "tags_all", v.PART_LIST)
+    return posting_rates(spark, sf_dir, "ym", "month")
 
 
 def segment_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = views.postings(spark, sf_dir, "segment", "tags_all")
-    return rates.keyword_rates(rows, ["segment"], "tags_all", v.PART_LIST)
+    return posting_rates(spark, sf_dir, "segment")
 
 
 def growth(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,13 +35,14 @@ def growth(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return timeline.month_category_counts(views.dated_orders(spark, sf_dir), "ym", "category", v.PRIORITIES)
+    counted = timeline.month_category_counts(views.counted_orders(spark, sf_dir), "ym", "category", v.PRIORITIES, weight="n")
+    return counted.where(timeline.in_months("ym", *v.COMPLETE_MONTHS))
 
 
 @query(f"""SELECT strftime(o_orderdate, '%Y-%m') AS ym, count(*) AS n FROM orders
 WHERE strftime(o_orderdate, '%Y-%m') BETWEEN '{v.MONTHS[0]}' AND '{v.MONTHS[1]}' GROUP BY 1""")
 def month_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return timeline.month_counts(views.dated_orders(spark, sf_dir), "ym", *v.MONTHS)
+    return timeline.month_counts(views.counted_orders(spark, sf_dir), "ym", *v.MONTHS, weight="n")
 
 
 _WIDE = ", ".join(f"count(*) FILTER (WHERE o_orderpriority = {quoted(p)}) AS \"{p}\"" for p in v.PRIORITIES)
@@ -44,13 +50,12 @@ _WIDE = ", ".join(f"count(*) FILTER (WHERE o_orderpriority = {quoted(p)}) AS \"{
 
 @query(f"SELECT strftime(o_orderdate, '%Y-%m') AS ym, {_WIDE} FROM orders GROUP BY 1")
 def month_category_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return timeline.month_category_table(views.dated_orders(spark, sf_dir), "ym", "category", v.PRIORITIES)
+    return timeline.month_category_table(views.counted_orders(spark, sf_dir), "ym", "category", v.PRIORITIES, weight="n")
 
 
 @query(f"SELECT category, keyword, n, total, round(rate, 6) AS rate FROM ({sql_rates(POSTINGS, 'category', v.PART_LIST)})")
 def group_keyword_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = views.postings(spark, sf_dir, "category", "tags_all")
-    return rounded(rates.keyword_rates(rows, ["category"], "tags_all", v.PART_LIST), "rate")
+    return rounded(posting_rates(spark, sf_dir, "category"), "rate")
 
 
 _BY_GROUP = " UNION ALL ".join(f"SELECT {quoted(c)} AS dictionary, {quoted(k)} AS keyword" for c, ks in v.PART_KEYWORDS.items() for k in ks)
@@ -161,7 +166,7 @@ FROM (SELECT segment, category, count(*) AS n FROM ({POSTINGS}) GROUP BY ALL)"""
 
 
 def distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return counts.distribution(views.postings(spark, sf_dir, "segment", "category"), "segment", "category")
+    return counts.distribution(views.counted_postings(spark, sf_dir, "segment", "category"), "segment", "category", weight="n")
 
 
 @query(f"SELECT segment, category, n, round(ratio, 6) AS ratio FROM ({_DISTRIBUTION})")
@@ -238,7 +243,7 @@ SELECT list({{'name': name, 'a': a, 'b': b, 'diff': diff, 'leader': leader}} ORD
 FROM (SELECT segment, CAST(sum(n) AS BIGINT) AS rows, list({{'category': category, 'ratio': round(ratio, 1)}} ORDER BY category) AS categories FROM ({_DISTRIBUTION}) GROUP BY 1) c
 JOIN (SELECT segment, list({{'rank': rank, 'keyword': keyword, 'rate': round(rate, 1)}} ORDER BY rank) AS top_keywords FROM ({_TOPK}) GROUP BY 1) USING (segment)""")
 def metrics_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = views.counted_postings(spark, sf_dir, "segment", "category", "tags_all")
+    counted = cut_lineage(views.counted_postings(spark, sf_dir, "segment", "category", "tags_all"))
     by_segment = rates.keyword_rates(counted, ["segment"], "tags_all", v.PART_LIST, weight="n")
     gaps = rates.distinctive(rates.two_segments(by_segment, "segment", "keyword", "rate", _A, _B), _THRESHOLD)
     ranking = rates.segment_ranking(by_segment, "segment", 10)
@@ -282,8 +287,8 @@ FROM (SELECT ym, keyword, n FROM ({MONTH_RATES}) WHERE list_contains({sql_list([
 def month_keyword_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Absolute monthly counts, wide; `cold` rows also count for `old`, which lies inside it."""
     chosen = ["hot", "cold", "old"]
-    rows = views.postings(spark, sf_dir, "ym", "tags_all")
-    long = rates.keyword_rates(rows, ["ym"], "tags_all", chosen)
+    counted = views.counted_postings(spark, sf_dir, "month", "tags_all")
+    long = rates.keyword_rates(counted, ["ym"], "tags_all", chosen, weight="n")
     return long.groupBy("ym").agg(
         F.sum("n").alias("n"), *[F.max(F.when(F.col("keyword") == k, F.col("n"))).alias(k) for k in chosen]
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tagtrend.functions.dates import year_month
 from tagtrend.operators.tagging import classify, tag_records
 from tagtrend.plans import vocabulary as v
-from tagtrend.session import cut_lineage
+from tagtrend.session import spread
 
 SCHEMAS = {
     "region": "r_regionkey int, r_name string",
@@ -44,7 +44,7 @@ def tagged_parts(spark: SparkSession, sf_dir: str, *, per_category: bool = False
 
 
 def postings(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """Line items as dated records: `ym, category, title, tags_all, segment`, as far as asked for.
+    """Line items as dated records: `month, category, title, tags_all, segment`, as far as asked for.
 
     A title is tagged once per part and not once per line item. Tables that no asked column needs are not
     joined; orders meet customers first, being the smaller pair.
@@ -52,7 +52,7 @@ def postings(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     parts = tagged_parts(spark, sf_dir).select(
         F.col("p_partkey").alias("l_partkey"), F.col("p_name").alias("title"), F.col("p_type").alias("category"), "tags_all"
     )
-    rows = table(spark, sf_dir, "lineitem").withColumn("ym", year_month("l_shipdate"))
+    rows = table(spark, sf_dir, "lineitem").withColumn("month", F.trunc(F.col("l_shipdate").cast("date"), "month"))
     if {"title", "category", "tags_all"} & set(columns):
         rows = rows.join(parts, "l_partkey")
     if "segment" in columns:
@@ -61,10 +61,10 @@ def postings(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 
 
 def counted_postings(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """Postings counted by the given columns (`n`), written once: what several aggregates of one result
-    share, so that line items are read once. Its size is bounded by the columns' value combinations."""
-    rows = postings(spark, sf_dir, *columns).groupBy(*columns).agg(F.count("*").alias("n"))
-    return cut_lineage(rows)
+    """Postings counted (`n`) by the given columns, the month as `ym`: one scan and one small shuffle, whose
+    size is bounded by the columns' value combinations. Keywords are then searched once per combination."""
+    counted = postings(spark, sf_dir, *columns).groupBy(*columns).agg(F.count("*").alias("n"))
+    return counted.withColumn("ym", year_month("month")) if "month" in columns else counted
 
 
 def order_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,15 +74,22 @@ def order_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def dated_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").select(
-        year_month("o_orderdate").alias("ym"), F.col("o_orderpriority").alias("category")
+def counted_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders counted (`n`) by month and priority."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.trunc(F.col("o_orderdate").cast("date"), "month").alias("month"), F.col("o_orderpriority").alias("category")
     )
+    counted = orders.groupBy("month", "category").agg(F.count("*").alias("n"))
+    return counted.withColumn("ym", year_month("month"))
+
+
+def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Documents for per-row text work."""
+    return spread(table(spark, sf_dir, "documents").select("doc_id", *columns), "doc_id")
 
 
 def tagged_documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text", *columns)
-    return tag_records(documents, "text", v.DOCUMENT_KEYWORDS, per_category=False)
+    return tag_records(documents(spark, sf_dir, "text", *columns), "text", v.DOCUMENT_KEYWORDS, per_category=False)
 
 
 def retrievable_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,6 +27,14 @@ def build_session(app_name: str = "tagtrend", master: str | None = None, **optio
     return builder.getOrCreate()
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Spread a table that arrives as fewer splits than there are cores, by a unique key, before costly
+    per-row text work. A table with at least as many splits as cores, as any large one has, is returned as
+    it is and never shuffled here."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise an iterative step's input in the shared checkpoint folder, so a lost executor costs a
     re-read and not a recomputation.
