@@ -8,16 +8,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def value_counts(df: DataFrame, column: str) -> DataFrame:
+def _records(weight: str | None, condition: Column | None = None) -> Column:
+    """Number of records: of rows, or of what the rows stand for where they are already counted."""
+    one = F.lit(1).cast("long") if weight is None else F.col(weight)
+    return F.sum(one if condition is None else F.when(condition, one).otherwise(0))
+
+
+def _counts(df: DataFrame, column: str, weight: str | None) -> DataFrame:
+    return df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(_records(weight).alias("n"))
+
+
+def value_counts(df: DataFrame, column: str, *, weight: str | None = None) -> DataFrame:
     """`value, n, pct`. The total is a scalar subquery over the counts, so no window gathers them."""
-    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
+    counts = _counts(df, column, weight)
     total = counts.agg(F.sum("n")).scalar()
     return counts.withColumn("pct", F.col("n") * 100.0 / total)
 
 
-def top_values(df: DataFrame, column: str, k: int) -> DataFrame:
-    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
-    return counts.orderBy(F.desc("n"), "value").limit(k)
+def top_values(df: DataFrame, column: str, k: int, *, weight: str | None = None) -> DataFrame:
+    return _counts(df, column, weight).orderBy(F.desc("n"), "value").limit(k)
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -36,15 +45,15 @@ def coverage(df: DataFrame, conditions: Mapping[str, Column], by: Sequence[str]
 
 def distribution(df: DataFrame, group: str, category: str, *, weight: str | None = None) -> DataFrame:
     """`group, category, n, ratio` with the ratio over the group. The window sees counts, not rows."""
-    counts = df.groupBy(group, category).agg((F.count("*") if weight is None else F.sum(weight)).alias("n"))
+    counts = df.groupBy(group, category).agg(_records(weight).alias("n"))
     total = F.sum("n").over(Window.partitionBy(group))
     return counts.withColumn("ratio", F.col("n") * 100.0 / total)
 
 
-def category_share(df: DataFrame, group: str, category: str, value: str) -> DataFrame:
-    """Per group the percentage of rows of one category."""
-    hits = F.count_if(F.col(category) == value)
-    return df.groupBy(group).agg(F.count("*").alias("n"), (hits * 100.0 / F.count("*")).alias("share"))
+def category_share(df: DataFrame, group: str, category: str, value: str, *, weight: str | None = None) -> DataFrame:
+    """Per group the percentage of records of one category."""
+    hits, every = _records(weight, F.col(category) == value), _records(weight)
+    return df.groupBy(group).agg(every.alias("n"), (hits * 100.0 / every).alias("share"))
 
 
 def numeric_profile(df: DataFrame, group: str, value: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagtrend.functions.text import as_column, cap, longer_than, text_or_empty
+from tagtrend.operators.rows import keep_where
 
 
 def with_text(df: DataFrame, columns: Sequence[str], n: int) -> DataFrame:
@@ -15,7 +16,7 @@ def with_text(df: DataFrame, columns: Sequence[str], n: int) -> DataFrame:
     condition = longer_than(columns[0], n)
     for column in columns[1:]:
         condition = condition | longer_than(column, n)
-    return df.where(condition)
+    return keep_where(df, condition)
 
 
 def labelled_lines(lines: Sequence[tuple[str, Column | str]]) -> Column:

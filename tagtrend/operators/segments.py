@@ -2,24 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagtrend.functions.text import tokens
 
 
-def two_segment_token_rates(df: DataFrame, segment: str, tags: str, a: str, b: str, k: int = 10) -> DataFrame:
+def two_segment_token_rates(
+    df: DataFrame, segment: str, tags: str, a: str, b: str, k: int = 10, *, weight: str | None = None
+) -> DataFrame:
     """The `k` tokens most common over two segments, with each segment's share of rows that hold them.
 
-    Rows of other segments are ignored; a row's repeated token counts once.
+    Rows of other segments are ignored; a row's repeated token counts once. `weight` is the number of
+    records a row stands for, where `df` is already counted.
     """
     rows = df.where(F.col(segment).isin(a, b))
     # The empty token stands for the row itself, so segment sizes come out of the same aggregate.
     items = F.concat(F.array(F.lit("")), F.array_distinct(tokens(tags)))
+    one = F.lit(1).cast("long") if weight is None else F.col(weight)
+
+    def of(which: str) -> Column:
+        return F.sum(F.when(F.col("_segment") == which, F.col("_w")).otherwise(0))
+
     counted = (
-        rows.select(F.col(segment).alias("_segment"), F.explode(items).alias("token"))
+        rows.select(F.col(segment).alias("_segment"), one.alias("_w"), F.explode(items).alias("token"))
         .groupBy("token")
-        .agg(F.count_if(F.col("_segment") == a).alias("n_a"), F.count_if(F.col("_segment") == b).alias("n_b"))
+        .agg(of(a).alias("n_a"), of(b).alias("n_b"))
     )
     is_row = F.col("token") == ""
     sizes = counted.agg(F.struct(F.max(F.when(is_row, F.col("n_a"))).alias("a"), F.max(F.when(is_row, F.col("n_b"))).alias("b"))).scalar()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tagtrend.functions import dates, text
 from tagtrend.operators import combine, counts, dedup, tagging, timeline
+from tagtrend.operators.rows import keep_where
 from tagtrend.plans import views
 from tagtrend.plans import vocabulary as v
 from tagtrend.plans.catalog.registry import CLEAN, DOCUMENTS, PARTS, query, rounded, sql_first, sql_list, sql_tags
@@ -77,9 +78,9 @@ FROM documents LEFT JOIN labels USING (doc_id)
 WHERE length({CLEAN.format('text')}) > 50 OR length(source) > 4""")
 def analysis_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = views.documents(spark, sf_dir, "source", "text"), views.table(spark, sf_dir, "labels")
-    cleaned = documents.select("doc_id", "source", text.clean_text("text").alias("cleaned")).join(labels, "doc_id", "left")
-    present = cleaned.where(text.longer_than("cleaned", 50) | text.longer_than("source", 4))
-    return present.select(
+    cleaned = documents.select("doc_id", "source", text.clean_text("text").alias("cleaned"))
+    present = keep_where(cleaned, text.longer_than("cleaned", 50) | text.longer_than("source", 4))
+    return present.join(labels, "doc_id", "left").select(
         "doc_id", text.join_texts("source", "cleaned", F.col("quality").cast("string")).alias("joined_text")
     )
 

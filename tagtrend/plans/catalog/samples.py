@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tagtrend.functions import text
 from tagtrend.operators import documents, rates, roadmap, samples, sampling, tagging
+from tagtrend.operators.rows import keep_where
 from tagtrend.plans import views
 from tagtrend.plans import vocabulary as v
 from tagtrend.plans.catalog import trends
@@ -127,15 +128,15 @@ WHERE quality IS NOT NULL AND lang IN ('en', 'de') AND length(req) >= 20 AND tag
 
 def _rotate(spark: SparkSession, sf_dir: str) -> DataFrame:
     numbers = samples.rotating_template(views.table(spark, sf_dir, "documents").select("doc_id"), v.ROTATING_TEMPLATES, "doc_id")
-    placed = views.documents(spark, sf_dir, "text", "lang", "source").join(numbers, "doc_id")
+    chosen = views.documents(spark, sf_dir, "text", "lang", "source").where(F.col("lang").isin("en", "de"))
+    placed = chosen.join(numbers, "doc_id")
     rows = tagging.tag_records(placed, "text", v.DOCUMENT_KEYWORDS, per_category=False).select(
         "doc_id", "lang", "source", "template_no", "template", text.tokens("tags_all", limit=6).alias("kws"),
         F.trim(text.cap(text.clean_text("text"), 400)).alias("req"),
     )
     labels = views.table(spark, sf_dir, "labels").select("doc_id", "quality")
-    valid = rows.join(labels, "doc_id").where(
-        F.col("quality").isNotNull() & F.col("lang").isin("en", "de") & (F.char_length("req") >= 20) & (F.size("kws") > 0)
-    )
+    listed = labels.where(F.col("quality").isNotNull())
+    valid = keep_where(rows, (F.char_length("req") >= 20) & (F.size("kws") > 0)).join(listed, "doc_id")
     question = text.fill_slots(F.col("template"), source=F.col("source"), lang=F.col("lang"), req=F.col("req"))
     answer = F.concat_ws(
         "\n",
@@ -198,7 +199,7 @@ def optional_section(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = views.documents(spark, sf_dir, "source", "lang", "text").select(
         "doc_id", "source", "lang", F.trim(text.cap(text.clean_text("text"), 300)).alias("duties")
     )
-    rows = rows.where(F.col("duties") != "").join(labels, "doc_id", "left")
+    rows = keep_where(rows, F.col("duties") != "").join(labels, "doc_id", "left")
     extra = F.when(F.col("quality").isNotNull(), F.concat(F.lit("Extra: quality "), F.col("quality"), F.lit("\n")))
     answer = F.concat(
         F.lit("**"), text.cap("source", 60), F.lit("**\nDuties: "), text.first_present(text.cap("duties", 200), default="none"),

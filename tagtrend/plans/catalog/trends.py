@@ -157,8 +157,8 @@ SELECT token, count(*) FILTER (WHERE segment = '{_A}') AS n_a, count(*) FILTER (
 FROM (SELECT segment, unnest(list_distinct(string_split(tags_all, ', '))) AS token FROM ({_TWO})) WHERE token <> '' GROUP BY token)
 ORDER BY n_a + n_b DESC, token LIMIT 10""")
 def segment_rates_top(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = views.postings(spark, sf_dir, "segment", "tags_all")
-    return rounded(segments.two_segment_token_rates(rows, "segment", "tags_all", _A, _B), "rate_a", "rate_b")
+    counted = views.counted_postings(spark, sf_dir, "segment", "tags_all")
+    return rounded(segments.two_segment_token_rates(counted, "segment", "tags_all", _A, _B, weight="n"), "rate_a", "rate_b")
 
 
 _DISTRIBUTION = f"""SELECT segment, category, n, n * 100.0 / sum(n) OVER (PARTITION BY segment) AS ratio
@@ -176,8 +176,8 @@ def segment_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""SELECT segment, count(*) AS n, round(count(*) FILTER (WHERE category = 'PROMO') * 100.0 / count(*), 6) AS share FROM ({POSTINGS}) GROUP BY 1""")
 def category_share(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = views.postings(spark, sf_dir, "segment", "category")
-    return rounded(counts.category_share(rows, "segment", "category", "PROMO"), "share")
+    counted = views.counted_postings(spark, sf_dir, "segment", "category")
+    return rounded(counts.category_share(counted, "segment", "category", "PROMO", weight="n"), "share")
 
 
 _TOPK = f"SELECT *, row_number() OVER (PARTITION BY segment ORDER BY rate DESC, keyword) AS rank FROM ({SEGMENT_RATES}) QUALIFY rank <= 10"
@@ -275,9 +275,9 @@ UNION ALL SELECT 'coverage', 'ring', c, format('{{:,}}', c) || ' (' || {sql_1d('
 UNION ALL {_lines('segments', 'segment')} UNION ALL {_lines('categories', 'category')}
 UNION ALL (SELECT 'titles', title, count(*) AS n, format('{{:,}}', count(*)) FROM ({POSTINGS}) GROUP BY title ORDER BY n DESC, title LIMIT 5)""")
 def stage_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = views.postings(spark, sf_dir, "segment", "category", "title", "tags_all")
+    counted = cut_lineage(views.counted_postings(spark, sf_dir, "segment", "category", "title", "tags_all"))
     return summary.stage_summary(
-        rows, shares={"segments": "segment", "categories": "category"}, tops={"titles": ("title", 5)},
+        counted, weight="n", shares={"segments": "segment", "categories": "category"}, tops={"titles": ("title", 5)},
         covered={"ring": F.contains("tags_all", F.lit("ring"))}, distinct=["title"],
     )
 

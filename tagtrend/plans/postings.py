@@ -13,6 +13,7 @@ from tagtrend.operators import (
     answers, clusters, combine, counts, dedup, documents, rates, roadmap, samples, sampling, seasons, segments, summary,
     tagging, timeline, vectors,
 )
+from tagtrend.operators.rows import keep_where
 from tagtrend.plans import posting_values as p
 from tagtrend.sources import collection, tables
 
@@ -265,7 +266,8 @@ def posting_samples(cleaned: DataFrame, *, order: str) -> DataFrame:
     )
     rows = samples.rotating_template(usable, p.POSTING_QUESTIONS, order).withColumns({
         "req": F.trim(text.cap("자격요건_clean", 400)), "techs": text.tokens("tech_all", limit=6),
-    }).where((F.char_length("req") >= 20) & (F.size("techs") > 0))
+    })
+    rows = keep_where(rows, (F.char_length("req") >= 20) & (F.size("techs") > 0))
     slots = {"size": F.col("회사규모"), "job": F.col("직무카테고리")}
     answer = text.fill_slots(
         F.lit(p.POSTING_ANSWER), **slots, techs=F.array_join("techs", ", "),
@@ -286,7 +288,8 @@ def record_samples(records: DataFrame, *, order: str) -> DataFrame:
     rows = samples.rotating_template(records, p.RECORD_QUESTIONS, order).withColumns({
         "_title": text.cap(text.first_present("공고제목", default=d["title"]), 60), "_duties": present("주요업무", 300),
         "_req": present("자격요건", 300), "_pref": present("우대사항", 200),
-    }).where((F.col("_duties") != "") | (F.col("_req") != ""))
+    })
+    rows = keep_where(rows, (F.col("_duties") != "") | (F.col("_req") != ""))
     duties, req = text.cap("_duties", 200), text.cap("_req", 200)
     preferred = F.when(F.col("_pref") != "", F.replace(F.lit(p.RECORD_PREFERRED), F.lit("{preferred}"), text.cap("_pref", 150)))
     answer = text.fill_slots(
