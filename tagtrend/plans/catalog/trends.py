@@ -239,7 +239,7 @@ def requirement_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""SELECT segment, to_json({{'rows': c.rows, 'categories': categories, 'top_keywords': top_keywords, 'distinctive': (
-SELECT list({{'name': name, 'a': a, 'b': b, 'diff': diff, 'leader': leader}} ORDER BY name) FROM ({_DISTINCTIVE}))}}) AS document
+SELECT coalesce(list({{'name': name, 'a': a, 'b': b, 'diff': diff, 'leader': leader}} ORDER BY name), []) FROM ({_DISTINCTIVE}))}}) AS document
 FROM (SELECT segment, CAST(sum(n) AS BIGINT) AS rows, list({{'category': category, 'ratio': round(ratio, 1)}} ORDER BY category) AS categories FROM ({_DISTRIBUTION}) GROUP BY 1) c
 JOIN (SELECT segment, list({{'rank': rank, 'keyword': keyword, 'rate': round(rate, 1)}} ORDER BY rank) AS top_keywords FROM ({_TOPK}) GROUP BY 1) USING (segment)""")
 def metrics_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
