@@ -11,6 +11,7 @@ from tagtrend.operators.rows import keep_where
 from tagtrend.plans import views
 from tagtrend.plans import vocabulary as v
 from tagtrend.plans.catalog import trends
+from tagtrend.session import cut_lineage
 from tagtrend.plans.catalog.registry import (
     CLEAN, DOCUMENTS, POSTINGS, SEGMENT_RATES, query, quoted, sql_1d, sql_fill, sql_first, sql_list, sql_pick,
 )
@@ -92,8 +93,16 @@ category || ' plan for ' || segment || chr(10) || 'TOP5: ' || top5 AS answer
 FROM (SELECT DISTINCT segment, category FROM ({POSTINGS})) JOIN ({_TOP5}) USING (segment), (VALUES {_QUESTIONS}) t(template_no, template)"""
 
 
-def segment_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranked = rates.segment_ranking(trends.segment_rates(spark, sf_dir), "segment", 5)
+def _counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cut_lineage(views.counted_postings(spark, sf_dir, "segment", "category", "tags_all"))
+
+
+def _segment_rates(counted: DataFrame) -> DataFrame:
+    return rates.keyword_rates(counted, ["segment"], "tags_all", v.PART_LIST, weight="n")
+
+
+def segment_top5(counted: DataFrame) -> DataFrame:
+    ranked = rates.segment_ranking(_segment_rates(counted), "segment", 5)
     item = F.concat("keyword", F.lit("("), text.one_decimal("rate"), F.lit("%)"))
     listed = F.array_sort(F.collect_list(F.struct(F.col("rank").alias("r"), item.alias("x"))))
     return ranked.groupBy("segment").agg(listed.alias("_l")).select(
@@ -101,9 +110,9 @@ def segment_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _cross(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells = views.counted_postings(spark, sf_dir, "segment", "category").drop("n")
-    rows = samples.each_template(cells.join(segment_top5(spark, sf_dir), "segment"), v.CROSS_TEMPLATES)
+def _cross(counted: DataFrame) -> DataFrame:
+    cells = counted.select("segment", "category").distinct()
+    rows = samples.each_template(cells.join(segment_top5(counted), "segment"), v.CROSS_TEMPLATES)
     question = text.fill_slots(F.col("template"), segment=F.col("segment"), category=F.col("category"))
     answer = F.concat(F.col("category"), F.lit(" plan for "), F.col("segment"), F.lit("\nTOP5: "), F.col("top5"))
     return rows.select("segment", "category", "template_no", question.alias("question"), answer.alias("answer"))
@@ -111,7 +120,7 @@ def _cross(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT segment, category, CAST(template_no AS INTEGER) AS template_no, question, answer FROM ({_CROSS})")
 def template_cross(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _cross(spark, sf_dir)
+    return _cross(_counted(spark, sf_dir))
 
 
 # Samples of the second kind: one per valid document, templates rotating over all documents in id order.
@@ -129,14 +138,13 @@ WHERE quality IS NOT NULL AND lang IN ('en', 'de') AND length(req) >= 20 AND tag
 def _rotate(spark: SparkSession, sf_dir: str) -> DataFrame:
     numbers = samples.rotating_template(views.table(spark, sf_dir, "documents").select("doc_id"), v.ROTATING_TEMPLATES, "doc_id")
     chosen = views.documents(spark, sf_dir, "text", "lang", "source").where(F.col("lang").isin("en", "de"))
-    placed = chosen.join(numbers, "doc_id")
-    rows = tagging.tag_records(placed, "text", v.DOCUMENT_KEYWORDS, per_category=False).select(
-        "doc_id", "lang", "source", "template_no", "template", text.tokens("tags_all", limit=6).alias("kws"),
+    rows = tagging.tag_records(chosen, "text", v.DOCUMENT_KEYWORDS, per_category=False).select(
+        "doc_id", "lang", "source", text.tokens("tags_all", limit=6).alias("kws"),
         F.trim(text.cap(text.clean_text("text"), 400)).alias("req"),
     )
     labels = views.table(spark, sf_dir, "labels").select("doc_id", "quality")
     listed = labels.where(F.col("quality").isNotNull())
-    valid = keep_where(rows, (F.char_length("req") >= 20) & (F.size("kws") > 0)).join(listed, "doc_id")
+    valid = keep_where(rows, (F.char_length("req") >= 20) & (F.size("kws") > 0)).join(listed, "doc_id").join(numbers, "doc_id")
     question = text.fill_slots(F.col("template"), source=F.col("source"), lang=F.col("lang"), req=F.col("req"))
     answer = F.concat_ws(
         "\n",
@@ -165,8 +173,8 @@ _COMPARE = " UNION ALL ".join(
 _SLOTS = f"""SELECT template_no, question, '{v.SEGMENTS[0]}: ' || {_LEADS['a']} || chr(10) || '{v.SEGMENTS[1]}: ' || {_LEADS['b']} AS answer FROM ({_COMPARE})"""
 
 
-def _slots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    gaps = rates.distinctive(trends.pairs(spark, sf_dir), trends._THRESHOLD)
+def _slots(segment_rates: DataFrame) -> DataFrame:
+    gaps = rates.distinctive(rates.two_segments(segment_rates, "segment", "keyword", "rate", *v.SEGMENTS), trends._THRESHOLD)
 
     def leads(side: str) -> Column:
         item = F.concat("name", F.lit("(+"), text.one_decimal(F.abs("diff")), F.lit("%p)"))
@@ -183,7 +191,7 @@ def _slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_SLOTS)
 def slot_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _slots(spark, sf_dir)
+    return _slots(trends.segment_rates(spark, sf_dir))
 
 
 # Samples of the fourth kind: one per document, with a section that only labelled documents have.
@@ -220,7 +228,8 @@ def _flat_sql(question: str, answer: str) -> str:
 SELECT 'cross' AS kind, question, answer FROM ({_CROSS}) UNION ALL SELECT 'rotate', question, answer FROM ({_ROTATE}) UNION ALL SELECT 'slots', question, answer FROM ({_SLOTS}))""")
 def sample_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All sample kinds as records, flattened and split."""
-    kinds = {"cross": _cross(spark, sf_dir), "rotate": _rotate(spark, sf_dir), "slots": _slots(spark, sf_dir)}
+    counted = _counted(spark, sf_dir)
+    kinds = {"cross": _cross(counted), "rotate": _rotate(spark, sf_dir), "slots": _slots(_segment_rates(counted))}
     rows = None
     for kind, frame in kinds.items():
         part = frame.select(F.lit(kind).alias("kind"), "question", "answer")

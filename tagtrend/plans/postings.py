@@ -15,6 +15,7 @@ from tagtrend.operators import (
 )
 from tagtrend.operators.rows import keep_where
 from tagtrend.plans import posting_values as p
+from tagtrend.session import cut_lineage
 from tagtrend.sources import collection, tables
 
 COLUMNS = ["공고ID", "출처", "공고제목", "회사명", "지역", "경력", "주요업무", "자격요건", "우대사항", "혜택복지", "마감일", "상태", "링크", "수집일시"]
@@ -77,9 +78,8 @@ def trend_tables(cleaned: DataFrame) -> dict[str, DataFrame]:
 
     The month, category and tag combinations are counted once; every table is an aggregate of that.
     """
-    counted = timed(cleaned).groupBy(F.col("게시년월").alias("ym"), F.col("직무카테고리").alias("category"), "tech_all").agg(
-        F.count("*").alias("n")
-    )
+    by = [F.col("게시년월").alias("ym"), F.col("직무카테고리").alias("category"), F.col("tech_all")]
+    counted = cut_lineage(timed(cleaned).groupBy(*by).agg(F.count("*").alias("n")))
     monthly = rates.keyword_rates(counted, ["ym"], "tech_all", p.TREND_KEYWORDS, weight="n")
     growth = rates.period_growth(monthly, **p.PERIODS)
     by_job = timeline.month_category_counts(counted, "ym", "category", p.TREND_JOBS, weight="n")
@@ -102,11 +102,12 @@ def trend_tables(cleaned: DataFrame) -> dict[str, DataFrame]:
 
 def comparison_tables(cleaned: DataFrame) -> dict[str, DataFrame]:
     """Big against small companies: keyword ratios, job mix, leaders, gaps and what both share."""
-    two = cleaned.where(F.col("회사규모").isin(p.BIG, p.SMALL))
+    rows = cleaned.where(F.col("회사규모").isin(p.BIG, p.SMALL)).withColumn("years", lenient_number("경력"))
+    two = cut_lineage(rows.groupBy("회사규모", "직무카테고리", "tech_all").agg(F.count("*").alias("n")))
     every = [k for words in p.KEYWORDS.values() for k in words]
-    by_size = rates.keyword_rates(two, ["회사규모"], "tech_all", every, match="token")
+    by_size = rates.keyword_rates(two, ["회사규모"], "tech_all", every, match="token", weight="n")
     groups = F.broadcast(tagging.dictionary_table(two, p.KEYWORDS).select(F.col("category").alias("카테고리"), "keyword"))
-    jobs = counts.distribution(two, "회사규모", "직무카테고리")
+    jobs = counts.distribution(two, "회사규모", "직무카테고리", weight="n")
     gaps = rates.distinctive(rates.two_segments(by_size, "회사규모", "keyword", "rate", p.SMALL, p.BIG))
     ranking = rates.segment_ranking(by_size, "회사규모", 10)
     return {
@@ -114,8 +115,8 @@ def comparison_tables(cleaned: DataFrame) -> dict[str, DataFrame]:
         "job_category_by_size": jobs,
         "top_techs_per_size": ranking,
         "distinctive_techs": gaps,
-        "fullstack_preference": counts.category_share(two, "회사규모", "직무카테고리", p.FULLSTACK),
-        "experience_requirement": counts.numeric_profile(two.withColumn("years", lenient_number("경력")), "회사규모", "years"),
+        "fullstack_preference": counts.category_share(two, "회사규모", "직무카테고리", p.FULLSTACK, weight="n"),
+        "experience_requirement": counts.numeric_profile(rows, "회사규모", "years"),
         "job_comparison": rates.common_and_different(rates.two_segments(jobs, "회사규모", "직무카테고리", "ratio", p.BIG, p.SMALL)),
         "metrics": segments.metrics_bundle(jobs, ranking, gaps, "회사규모", "직무카테고리"),
     }

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app_name: str = "tagtrend", master: str | None = None, **options: str) -> SparkSession:
@@ -53,3 +54,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
             folder = tempfile.mkdtemp(prefix="tagtrend-checkpoint-")
         context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def small_side(df: DataFrame, max_rows: int = 50_000) -> DataFrame:
+    """Materialise a derived table once and mark it for broadcast if it has at most `max_rows` rows.
+
+    Without a known size the planner shuffles both sides of a join, whole texts included, before it learns
+    that one of them is small. Beyond the bound the join is planned as usual. Rows must be narrow.
+    """
+    done = cut_lineage(df)
+    return F.broadcast(done) if done.count() <= max_rows else done
