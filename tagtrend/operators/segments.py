@@ -39,26 +39,47 @@ def two_segment_token_rates(
     )
 
 
-def metrics_bundle(distribution: DataFrame, ranking: DataFrame, gaps: DataFrame, segment: str, category: str) -> DataFrame:
-    """One JSON document per segment: its size, category ratios and top keywords, plus the distinctive ones.
+def _object(key: str, value: str) -> Column:
+    """Aggregate: a JSON object from key to value, keys in order. Used on aggregates keyed by rule labels
+    and dictionary keywords, whose number bounds the object."""
+    entries = F.collect_list(F.struct(F.col(key).cast("string").alias("k"), F.col(value).alias("v")))
 
-    Inputs are aggregates keyed by rule labels and dictionary keywords, so every gathered list is bounded
-    by the rules and the dictionary, not by the data.
+    def by_key(x: Column, y: Column) -> Column:
+        return F.when(x["k"] < y["k"], -1).when(x["k"] > y["k"], 1).otherwise(0)
+
+    return F.map_from_entries(F.array_sort(entries, by_key))
+
+
+def metrics_bundle(
+    distribution: DataFrame, rates: DataFrame, ranking: DataFrame, gaps: DataFrame, shares: DataFrame, *,
+    segment: str, category: str, dictionary: str,
+) -> DataFrame:
+    """One JSON document of the comparison: totals, keyword rates by segment and dictionary category, leading
+    and distinctive keywords, the share of one category, and the category distribution.
+
+    Inputs are result tables: `distribution` (segment, category, n, ratio), `rates` (segment, dictionary,
+    keyword, rate), `ranking` (segment, rank, keyword, rate), `gaps` (name, a, b, diff, leader) and `shares`
+    (segment, n, share). Every one is bounded by the rules and the dictionary, not by the data.
     """
-    def ordered(*fields: str):
-        return F.array_sort(F.collect_list(F.struct(*fields)))
-
-    # The sort key leads each struct; rounding happens in the entry itself.
-    cats = (
-        distribution.select(segment, F.col(category).alias("category"), F.round("ratio", 1).alias("ratio"), "n")
-        .groupBy(segment)
-        .agg(F.sum("n").alias("rows"), ordered("category", "ratio").alias("categories"))
-    )
-    tops = ranking.select(segment, "rank", "keyword", F.round("rate", 1).alias("rate")).groupBy(segment).agg(
-        ordered("rank", "keyword", "rate").alias("top_keywords")
-    )
-    distinct_keywords = gaps.agg(ordered("name", "a", "b", "diff", "leader")).scalar()
-    return cats.join(tops, segment, "left").select(
-        segment,
-        F.to_json(F.struct("rows", "categories", "top_keywords", distinct_keywords.alias("distinctive"))).alias("document"),
+    def one(df: DataFrame, value: Column) -> Column:
+        return df.agg(value).scalar()
+
+    def nested(df: DataFrame, outer: str, inner: str, value: str) -> DataFrame:
+        return df.groupBy(outer).agg(_object(inner, value).alias("_object"))
+
+    ratio = distribution.withColumn("_ratio", F.round("ratio", 1))
+    rate = rates.withColumn("_rate", F.round("rate", 1))
+    by_dictionary = rate.groupBy(segment, dictionary).agg(_object("keyword", "_rate").alias("_inner"))
+    leaders = F.array_sort(F.collect_list(F.struct("rank", "keyword", F.round("rate", 1).alias("rate"))))
+    distinct_keywords = F.array_sort(F.collect_list(F.struct("name", "a", "b", "diff", "leader")))
+    totals = shares.withColumn("_share", F.round("share", 1)).agg(
+        F.sum("n").alias("total"), _object(segment, "n").alias("segments"), _object(segment, "_share").alias("share")
     )
+    return totals.select(F.to_json(F.struct(
+        F.struct("total", "segments").alias("meta"),
+        one(nested(by_dictionary, segment, dictionary, "_inner"), _object(segment, "_object")).alias("keyword_rates"),
+        one(ranking.groupBy(segment).agg(leaders.alias("_list")), _object(segment, "_list")).alias("top_keywords"),
+        one(gaps, distinct_keywords).alias("distinctive"),
+        F.col("share").alias("category_share"),
+        one(nested(ratio, segment, category, "_ratio"), _object(segment, "_object")).alias("distribution"),
+    )).alias("document"))

@@ -64,8 +64,12 @@ _BY_GROUP = " UNION ALL ".join(f"SELECT {quoted(c)} AS dictionary, {quoted(k)} A
 @query(f"SELECT segment, dictionary, keyword, n, total, round(rate, 6) AS rate FROM ({SEGMENT_RATES}) JOIN ({_BY_GROUP}) USING (keyword)")
 def segment_category_keyword_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     by_segment = segment_rates(spark, sf_dir)
-    groups = tagging.dictionary_table(by_segment, v.PART_KEYWORDS).select(F.col("category").alias("dictionary"), "keyword")
-    return rounded(by_segment.join(F.broadcast(groups), "keyword"), "rate")
+    return rounded(by_segment.join(_dictionary(by_segment), "keyword"), "rate")
+
+
+def _dictionary(df: DataFrame) -> DataFrame:
+    """Keyword to dictionary category, a table as large as the dictionary."""
+    return F.broadcast(tagging.dictionary_table(df, v.PART_KEYWORDS).select(F.col("category").alias("dictionary"), "keyword"))
 
 
 @query(f"SELECT ym, keyword, n, total, round(rate, 6) AS rate FROM ({MONTH_RATES})")
@@ -238,17 +242,32 @@ def requirement_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(counts.numeric_profile(views.table(spark, sf_dir, "part"), "p_type", "p_size"), "mean", "null_pct")
 
 
-@query(f"""SELECT segment, to_json({{'rows': c.rows, 'categories': categories, 'top_keywords': top_keywords, 'distinctive': (
-SELECT coalesce(list({{'name': name, 'a': a, 'b': b, 'diff': diff, 'leader': leader}} ORDER BY name), []) FROM ({_DISTINCTIVE}))}}) AS document
-FROM (SELECT segment, CAST(sum(n) AS BIGINT) AS rows, list({{'category': category, 'ratio': round(ratio, 1)}} ORDER BY category) AS categories FROM ({_DISTRIBUTION}) GROUP BY 1) c
-JOIN (SELECT segment, list({{'rank': rank, 'keyword': keyword, 'rate': round(rate, 1)}} ORDER BY rank) AS top_keywords FROM ({_TOPK}) GROUP BY 1) USING (segment)""")
+def _object(key: str, value: str) -> str:
+    return f"map_from_entries(list({{'k': {key}, 'v': {value}}} ORDER BY {key}))"
+
+
+_SHARES = f"""SELECT segment, count(*) AS n, count(*) FILTER (WHERE category = 'PROMO') * 100.0 / count(*) AS share FROM ({POSTINGS}) GROUP BY 1"""
+
+
+@query(f"""SELECT to_json({{'meta': {{'total': CAST(sum(n) AS BIGINT), 'segments': {_object('segment', 'n')}}},
+'keyword_rates': (SELECT {_object('segment', 'x')} FROM (SELECT segment, {_object('dictionary', 'y')} AS x FROM (
+  SELECT segment, dictionary, {_object('keyword', 'round(rate, 1)')} AS y FROM ({SEGMENT_RATES}) JOIN ({_BY_GROUP}) USING (keyword) GROUP BY ALL) GROUP BY ALL)),
+'top_keywords': (SELECT {_object('segment', 'x')} FROM (SELECT segment, list({{'rank': rank, 'keyword': keyword, 'rate': round(rate, 1)}} ORDER BY rank) AS x FROM ({_TOPK}) GROUP BY 1)),
+'distinctive': (SELECT coalesce(list({{'name': name, 'a': a, 'b': b, 'diff': diff, 'leader': leader}} ORDER BY name), []) FROM ({_DISTINCTIVE})),
+'category_share': {_object('segment', 'round(share, 1)')},
+'distribution': (SELECT {_object('segment', 'x')} FROM (SELECT segment, {_object('category', 'round(ratio, 1)')} AS x FROM ({_DISTRIBUTION}) GROUP BY 1))}}) AS document
+FROM ({_SHARES})""")
 def metrics_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = cut_lineage(views.counted_postings(spark, sf_dir, "segment", "category", "tags_all"))
     by_segment = rates.keyword_rates(counted, ["segment"], "tags_all", v.PART_LIST, weight="n")
-    gaps = rates.distinctive(rates.two_segments(by_segment, "segment", "keyword", "rate", _A, _B), _THRESHOLD)
-    ranking = rates.segment_ranking(by_segment, "segment", 10)
-    shares = counts.distribution(counted, "segment", "category", weight="n")
-    return segments.metrics_bundle(shares, ranking, gaps, "segment", "category")
+    return segments.metrics_bundle(
+        counts.distribution(counted, "segment", "category", weight="n"),
+        by_segment.join(_dictionary(by_segment), "keyword"),
+        rates.segment_ranking(by_segment, "segment", 10),
+        rates.distinctive(rates.two_segments(by_segment, "segment", "keyword", "rate", _A, _B), _THRESHOLD),
+        counts.category_share(counted, "segment", "category", "PROMO", weight="n"),
+        segment="segment", category="category", dictionary="dictionary",
+    )
 
 
 _SEEN = f"""SELECT keyword, dictionary, (SELECT count(*) FROM ({PARTS}) WHERE contains(tags_all, keyword)) AS n FROM ({_BY_GROUP})"""

@@ -110,15 +110,19 @@ def comparison_tables(cleaned: DataFrame) -> dict[str, DataFrame]:
     jobs = counts.distribution(two, "회사규모", "직무카테고리", weight="n")
     gaps = rates.distinctive(rates.two_segments(by_size, "회사규모", "keyword", "rate", p.SMALL, p.BIG))
     ranking = rates.segment_ranking(by_size, "회사규모", 10)
+    ratios = by_size.join(groups, "keyword")
+    shares = counts.category_share(two, "회사규모", "직무카테고리", p.FULLSTACK, weight="n")
     return {
-        "tech_ratio_by_size": by_size.join(groups, "keyword"),
+        "tech_ratio_by_size": ratios,
         "job_category_by_size": jobs,
         "top_techs_per_size": ranking,
         "distinctive_techs": gaps,
-        "fullstack_preference": counts.category_share(two, "회사규모", "직무카테고리", p.FULLSTACK, weight="n"),
+        "fullstack_preference": shares,
         "experience_requirement": counts.numeric_profile(rows, "회사규모", "years"),
         "job_comparison": rates.common_and_different(rates.two_segments(jobs, "회사규모", "직무카테고리", "ratio", p.BIG, p.SMALL)),
-        "metrics": segments.metrics_bundle(jobs, ranking, gaps, "회사규모", "직무카테고리"),
+        "metrics": segments.metrics_bundle(
+            jobs, ratios, ranking, gaps, shares, segment="회사규모", category="직무카테고리", dictionary="카테고리"
+        ),
     }
 
 

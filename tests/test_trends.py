@@ -124,8 +124,17 @@ def test_metrics_bundle(spark):
     rows = spark.createDataFrame([("x", "j1", "k1"), ("x", "j2", "k1, k2"), ("y", "j1", "")], "s string, j string, t string")
     by = rates.keyword_rates(rows, ["s"], "t", ["k1", "k2"])
     gaps = rates.distinctive(rates.two_segments(by, "s", "keyword", "rate", "x", "y"), 60)
-    bundle = segments.metrics_bundle(counts.distribution(rows, "s", "j"), rates.segment_ranking(by, "s", 1), gaps, "s", "j")
-    document = json.loads({r["s"]: r["document"] for r in bundle.collect()}["x"])
-    assert document["rows"] == 2 and document["categories"] == [{"category": "j1", "ratio": 50.0}, {"category": "j2", "ratio": 50.0}]
-    assert document["top_keywords"] == [{"rank": 1, "keyword": "k1", "rate": 100.0}]
-    assert [d["name"] for d in document["distinctive"]] == ["k1"]
+    grouped = by.withColumn("d", F.when(F.col("keyword") == "k1", "one").otherwise("two"))
+    bundle = segments.metrics_bundle(
+        counts.distribution(rows, "s", "j"), grouped, rates.segment_ranking(by, "s", 1), gaps, counts.category_share(rows, "s", "j", "j2"),
+        segment="s", category="j", dictionary="d",
+    )
+    assert bundle.count() == 1
+    assert json.loads(bundle.first()["document"]) == {
+        "meta": {"total": 3, "segments": {"x": 2, "y": 1}},
+        "keyword_rates": {"x": {"one": {"k1": 100.0}, "two": {"k2": 50.0}}, "y": {"one": {"k1": 0.0}, "two": {"k2": 0.0}}},
+        "top_keywords": {"x": [{"rank": 1, "keyword": "k1", "rate": 100.0}], "y": [{"rank": 1, "keyword": "k1", "rate": 0.0}]},
+        "distinctive": [{"name": "k1", "a": 100.0, "b": 0.0, "diff": 100.0, "leader": "a"}],
+        "category_share": {"x": 50.0, "y": 0.0},
+        "distribution": {"x": {"j1": 50.0, "j2": 50.0}, "y": {"j1": 100.0}},
+    }
