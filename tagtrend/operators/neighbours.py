@@ -11,7 +11,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-ROWS_PER_BLOCK = 16_384
+ROWS_PER_BLOCK = 32_768
 QUERIES_PER_BLOCK = 4_096
 MAX_BROADCAST_KEYS = 100_000
 _SLICE = 256
@@ -20,7 +20,7 @@ _SLICE = 256
 def _unit(vectors: pa.ChunkedArray) -> np.ndarray:
     """Unit rows of an Arrow list column, read as one flat buffer."""
     flat = pa.concat_arrays([chunk.flatten() for chunk in vectors.chunks])
-    matrix = flat.to_numpy(zero_copy_only=False).reshape(len(vectors), -1)
+    matrix = flat.to_numpy(zero_copy_only=False).astype("float64", copy=False).reshape(len(vectors), -1)
     norms = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
     return matrix / np.where(norms == 0, 1.0, norms)
 
@@ -105,8 +105,8 @@ def top_k_similar(
     keys = [f"_on{i}" for i in range(len(on))] or ["_on0"]
     q_on = [F.col(q).alias(n) for (q, _), n in zip(on, keys)] or [F.lit(0).alias("_on0")]
     c_on = [F.col(c).alias(n) for (_, c), n in zip(on, keys)] or [F.lit(0).alias("_on0")]
-    q = queries.select(F.col(query_id).alias("_query"), F.col(query_vector).cast("array<double>").alias("_vector"), *q_on)
-    c = collection.select(F.col(row_id).cast("long").alias("_id"), F.col(row_vector).cast("array<double>").alias("_vector"), *c_on)
+    q = queries.select(F.col(query_id).alias("_query"), F.col(query_vector).alias("_vector"), *q_on)
+    c = collection.select(F.col(row_id).cast("long").alias("_id"), F.col(row_vector).alias("_vector"), *c_on)
     q_sizes = _large_keys(q, keys, queries.count(), queries_per_block, "_qb")
     c_sizes = _large_keys(c, keys, collection.count(), rows_per_block, "_cb")
     q_blocks = _with_blocks(q, "_query", keys, q_sizes, c_sizes, "_qb", "_cb")
@@ -147,7 +147,7 @@ def lsh_neighbours(
     """
     def vectors(df: DataFrame, ident: str, vector: str) -> DataFrame:
         unit = array_to_vector(F.col(vector).cast("array<double>"))
-        return df.select(F.col(ident).alias("_key"), F.col(vector).cast("array<double>").alias("_values"), unit.alias("_v"))
+        return df.select(F.col(ident).alias("_key"), F.col(vector).alias("_values"), unit.alias("_v"))
 
     rows, wanted = vectors(collection, row_id, row_vector), vectors(queries, query_id, query_vector)
     lsh = BucketedRandomProjectionLSH(

@@ -62,6 +62,11 @@ def top_rising(growth: DataFrame, k: int) -> DataFrame:
     return growth.orderBy(F.desc(F.round("growth", 1)), "keyword").limit(k)
 
 
+def top_falling(growth: DataFrame, k: int) -> DataFrame:
+    """The `k` fastest shrinking keywords, in the same ranking from the other end."""
+    return growth.orderBy(F.round("growth", 1), "keyword").limit(k)
+
+
 def trend_summary(
     growth: DataFrame, peaks: DataFrame, *, rising: int = 5, falling: int = 3, top: int = 10
 ) -> DataFrame:

@@ -94,6 +94,11 @@ def rising_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(top.select("keyword", "growth", "mean_first", "mean_second"), "growth", "mean_first", "mean_second", digits=1)
 
 
+@query(f"""SELECT keyword, round(growth, 1) AS growth FROM ({GROWTH}) ORDER BY round(growth, 1), keyword LIMIT 3""")
+def falling_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(rates.top_falling(growth(spark, sf_dir), 3).select("keyword", "growth"), "growth", digits=1)
+
+
 @query(f"SELECT category, peak_month, peak_n FROM ({PEAKS})")
 def peak_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seasons.peaks(order_months(spark, sf_dir)).select("category", "peak_month", "peak_n")

@@ -13,8 +13,8 @@ def build_collection(documents: DataFrame, path: str, *, category: str = "job_ca
     """Drop and rebuild the collection at `path`.
 
     `documents` has `row_id` (long), `id`, `document`, `metadata` and a vector. One folder per category
-    lets a filtered search read only its own files. Rows are spread over files before the write, so a
-    category with a third of the rows is many files from many tasks.
+    lets a filtered search read only its own files. Every task writes its own file per category, so a
+    category with a third of the rows is many files and no task gathers it.
     """
     unit = unit_vectors(documents, vector, vector).withColumn(category, F.col("metadata")[category])
     unit.write.mode("overwrite").partitionBy(category).parquet(path)
