@@ -15,8 +15,9 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
     with a third of all rows costs no more than any other.
     """
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    first = F.min_by(F.struct(*[F.col(c) for c in df.columns]), F.struct(*order_cols))
-    return df.groupBy(*keys).agg(first.alias("_first")).select("_first.*")
+    carried = [c for c in df.columns if c not in keys]
+    first = F.min_by(F.struct(*[F.col(c) for c in carried]), F.struct(*order_cols))
+    return df.groupBy(*keys).agg(first.alias("_first")).select(*[c if c in keys else f"_first.{c}" for c in df.columns])
 
 
 def with_digest(df: DataFrame, text: str, name: str = "text_key") -> DataFrame:

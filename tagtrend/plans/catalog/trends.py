@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from tagtrend.operators import counts, rates, seasons, segments, summary, tagging, timeline
 from tagtrend.plans import views
 from tagtrend.plans import vocabulary as v
-from tagtrend.session import cut_lineage
 from tagtrend.plans.catalog.registry import (
     FIRST_LAST, GROWTH, MONTH_RATES, ORDER_MONTHS, PARTS, PEAKS, POSTINGS, SEGMENT_RATES, query, quoted, rounded,
     sql_1d, sql_list, sql_rates,
 )
+from tagtrend.session import cut_lineage
+from tagtrend.sources import tables
 
 _A, _B = v.SEGMENTS
 
@@ -53,6 +54,13 @@ def month_category_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return timeline.month_category_table(views.counted_orders(spark, sf_dir), "ym", "category", v.PRIORITIES, weight="n")
 
 
+@query(f"SELECT strftime(o_orderdate, '%Y-%m') AS ym, {_WIDE} FROM orders GROUP BY 1")
+def published_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A result table published under a name and read back by it."""
+    tables.publish(month_category_pivot(spark, sf_dir), "month_category")
+    return tables.lookup(spark, "month_category")
+
+
 @query(f"SELECT category, keyword, n, total, round(rate, 6) AS rate FROM ({sql_rates(POSTINGS, 'category', v.PART_LIST)})")
 def group_keyword_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(posting_rates(spark, sf_dir, "category"), "rate")
