@@ -398,3 +398,37 @@ def run(
         results[name] = tables.read_stage(spark, f"{out}/{name}")
         tables.publish(results[name], name)
     return {"cleaned": cleaned, **results}
+
+
+def run_clusters(
+    spark: SparkSession, *, out: str, ks: tuple[int, ...] = p.K_RANGE, restarts: int = 10
+) -> dict[str, DataFrame]:
+    """From the cleaned stage under `out` to the vector collection, the labels and the cluster tables."""
+    cleaned = tables.read_stage(spark, f"{out}/cleaned")
+    build_collection(cleaned, f"{out}/collection")
+    tables.write_stage(cluster_postings(cleaned, ks=ks, restarts=restarts), f"{out}/clusters")
+    clustered = tables.read_stage(spark, f"{out}/clusters")
+    results = cluster_tables(clustered)
+    for name, frame in results.items():
+        tables.write_stage(frame, f"{out}/{name}")
+        results[name] = tables.read_stage(spark, f"{out}/{name}")
+        tables.publish(results[name], name)
+    return {"clusters": clustered, **results}
+
+
+def run_samples(spark: SparkSession, *, out: str, records: DataFrame | None = None, order: str = "n") -> DataFrame:
+    """From the cleaned stage under `out`, and raw records if given, to the sample set as JSON lines.
+
+    Postings rotate over the templates in the order of a hash of their id, which any partitioning keeps.
+    """
+    cleaned = tables.read_stage(spark, f"{out}/cleaned").withColumn("_order", F.xxhash64("공고ID"))
+    comparison = comparison_tables(cleaned)
+    parts = [
+        roadmap_samples(comparison, spark), choice_samples(comparison), compare_samples(comparison),
+        posting_samples(cleaned, order="_order"),
+    ]
+    if records is not None:
+        parts.append(record_samples(records, order=order))
+    tables.write_json_lines(sample_set(parts), f"{out}/samples")
+    schema = "kind string, question string, answer string, conversations array<struct<role: string, content: string>>, text string, split string"
+    return tables.read_json_lines(spark, f"{out}/samples", schema)

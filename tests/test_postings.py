@@ -84,19 +84,25 @@ def test_result_tables(spark, results):
     assert values(out["stage_report"].where("section = 'total'"), "n") == [(10,)]
 
 
-def test_documents_clusters_and_search(spark, results, tmp_path):
+def test_documents_clusters_and_search(spark, results):
     cleaned = results[0]["cleaned"]
     docs = postings.retrieval_documents(cleaned)
     first = docs.where("id = 'job_100'").first()
     assert first["document"].splitlines()[:3] == ["[공고제목] 백엔드 개발자 0", "[회사] 카카오 (대기업)", "[지역] 서울"]
     assert len(first["document"].splitlines()) == 8 and first["metadata"]["job_category"] == "백엔드"
     assert docs.count() == 7
-    clustered = postings.cluster_postings(cleaned, ks=(2, 3), restarts=2)
-    tables_ = postings.cluster_tables(clustered)
-    assert clustered.count() == 7 and sum(r["n"] for r in tables_["cluster_summary"].collect()) == 7
-    assert tables_["company_size"].where("token = 'Java'").first()["rate_a"] == 100.0
-    postings.build_collection(cleaned, str(tmp_path / "store"))
-    assert spark.read.parquet(str(tmp_path / "store")).where("job_category = '백엔드'").count() == 6
+    out = str(results[1] / "out")
+    made = postings.run_clusters(spark, out=out, ks=(2, 3), restarts=2)
+    assert made["clusters"].count() == 7 and sum(r["n"] for r in made["cluster_summary"].collect()) == 7
+    assert spark.table("company_size").where("token = 'Java'").first()["rate_a"] == 100.0
+    assert spark.read.parquet(f"{out}/collection").where("job_category = '백엔드'").count() == 6
+
+
+def test_sample_file(spark, results):
+    out = str(results[1] / "out")
+    rows = postings.run_samples(spark, out=out).collect()
+    assert sorted({r["kind"] for r in rows}) == ["A", "B", "C", "D"] and len(rows) == 119
+    assert all(r["conversations"][2]["content"] == r["answer"] for r in rows)
 
 
 def test_samples(spark, results):
