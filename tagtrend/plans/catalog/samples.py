@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tagtrend.functions import text
@@ -123,6 +123,41 @@ def template_cross(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cross(_counted(spark, sf_dir))
 
 
+# Samples by segment: the leading keywords of two dictionary categories.
+
+_CHOICES = " UNION ALL ".join(f"SELECT {i} AS template_no, {quoted(t)} AS template" for i, t in enumerate(v.CHOICE_TEMPLATES))
+_GROUPED = f"""SELECT segment, keyword, rate, CASE WHEN list_contains({sql_list(v.PART_KEYWORDS['item'])}, keyword) THEN 'item' ELSE 'colour' END AS dictionary
+FROM ({SEGMENT_RATES}) WHERE list_contains({sql_list(v.PART_KEYWORDS['item'] + v.PART_KEYWORDS['colour'])}, keyword)"""
+_LEADING = f"""SELECT segment, dictionary, string_agg(keyword || '(' || {sql_1d('rate')} || '%)', ', ' ORDER BY rk) AS listed, min(keyword) FILTER (WHERE rk = 1) AS leader
+FROM (SELECT *, row_number() OVER (PARTITION BY segment, dictionary ORDER BY rate DESC, keyword) AS rk FROM ({_GROUPED}) QUALIFY rk <= 3) GROUP BY ALL"""
+
+
+@query(f"""SELECT segment, CAST(template_no AS INTEGER) AS template_no, replace(template, '{{segment}}', segment) AS question,
+'Items: ' || i.listed || chr(10) || 'Colours: ' || c.listed || chr(10) || 'Start with ' || i.leader AS answer
+FROM (SELECT * FROM ({_LEADING}) WHERE dictionary = 'item') i JOIN (SELECT * FROM ({_LEADING}) WHERE dictionary = 'colour') c USING (segment), ({_CHOICES})""")
+def template_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per segment the three leading items and colours, with every question."""
+    segment_rates = trends.segment_rates(spark, sf_dir)
+    grouped = segment_rates.join(trends.dictionary_of(segment_rates), "keyword").where(F.col("dictionary").isin("item", "colour"))
+    window = Window.partitionBy("segment", "dictionary").orderBy(F.desc("rate"), "keyword")
+    ranked = grouped.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= 3)
+    item = F.concat("keyword", F.lit("("), text.one_decimal("rate"), F.lit("%)"))
+
+    def listed(dictionary: str) -> Column:
+        entry = F.when(F.col("dictionary") == dictionary, F.struct("rank", item.alias("x"), "keyword"))
+        return F.array_sort(F.collect_list(entry))
+
+    lists = ranked.groupBy("segment").agg(listed("item").alias("items"), listed("colour").alias("colours"))
+    answer = F.concat(
+        F.lit("Items: "), F.array_join("items.x", ", "), F.lit("\nColours: "), F.array_join("colours.x", ", "),
+        F.lit("\nStart with "), F.get("items.keyword", F.lit(0)),
+    )
+    rows = samples.each_template(lists, v.CHOICE_TEMPLATES)
+    return rows.select(
+        "segment", "template_no", text.fill_slots(F.col("template"), segment=F.col("segment")).alias("question"), answer.alias("answer")
+    )
+
+
 # Samples of the second kind: one per valid document, templates rotating over all documents in id order.
 
 _REQ = f"substr({CLEAN.format('text')}, 1, 400)"

@@ -72,10 +72,10 @@ _BY_GROUP = " UNION ALL ".join(f"SELECT {quoted(c)} AS dictionary, {quoted(k)} A
 @query(f"SELECT segment, dictionary, keyword, n, total, round(rate, 6) AS rate FROM ({SEGMENT_RATES}) JOIN ({_BY_GROUP}) USING (keyword)")
 def segment_category_keyword_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     by_segment = segment_rates(spark, sf_dir)
-    return rounded(by_segment.join(_dictionary(by_segment), "keyword"), "rate")
+    return rounded(by_segment.join(dictionary_of(by_segment), "keyword"), "rate")
 
 
-def _dictionary(df: DataFrame) -> DataFrame:
+def dictionary_of(df: DataFrame) -> DataFrame:
     """Keyword to dictionary category, a table as large as the dictionary."""
     return F.broadcast(tagging.dictionary_table(df, v.PART_KEYWORDS).select(F.col("category").alias("dictionary"), "keyword"))
 
@@ -275,7 +275,7 @@ def metrics_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
     by_segment = rates.keyword_rates(counted, ["segment"], "tags_all", v.PART_LIST, weight="n")
     return segments.metrics_bundle(
         counts.distribution(counted, "segment", "category", weight="n"),
-        by_segment.join(_dictionary(by_segment), "keyword"),
+        by_segment.join(dictionary_of(by_segment), "keyword"),
         rates.segment_ranking(by_segment, "segment", 10),
         rates.distinctive(rates.two_segments(by_segment, "segment", "keyword", "rate", _A, _B), _THRESHOLD),
         counts.category_share(counted, "segment", "category", "PROMO", weight="n"),

@@ -67,6 +67,11 @@ ROTATING_TEMPLATES = [
     "Rank the topics of this {lang} text from {source}.\n{req}",
     "Half a year for this {source} text in {lang}: what now?\n{req}",
 ]
+CHOICE_TEMPLATES = [
+    "Which item and which colour does {segment} ask for most?",
+    "What should I learn first for {segment}?",
+    "What do {segment} records have in common?",
+]
 COMPARE_TEMPLATES = [
     "How do the two segments differ?",
     "As a {job} person, which segment first?",
