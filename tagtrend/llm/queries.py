@@ -5,9 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tagtrend.llm import pfor, prefix_bpe
 from tagtrend.llm.recompression import substring_dedup
+from tagtrend.llm.sharding import with_slots, write_shards
+from tagtrend.llm.simhash import hexadecimal, near_duplicates
 from tagtrend.llm.suffixes import suffix_dedup
+from tagtrend.llm.tiling import matches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -43,3 +48,55 @@ k AS (SELECT t.doc_id, len(w) AS n_words, [x[1] FOR x IN list_zip(w, range(1, le
 FROM t LEFT JOIN l USING (doc_id))
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(n_words - len(kept) AS BIGINT) AS n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM k"""
 ORACLES["op1_suffix_dedup"] = ORACLES["op2_substring_dedup"] = _REPEATS
+
+
+@_query
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document; links are at most two differing bits."""
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", hexadecimal("fingerprint").alias("fingerprint"), "component_id")
+
+
+def vocabulary(name: str) -> str:
+    """The place of a public vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@_query
+def op7_patched_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, written in patched frame-of-reference segments and read back."""
+    segments = pfor.write_segments(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+    return pfor.digests(pfor.read_documents(segments))
+
+
+@_query
+def op9_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE ids of every document by prefix tables, and the bytes they decode to."""
+    import public_tokenizers
+
+    path, pattern = vocabulary("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    tokens = prefix_bpe.encode(table(spark, sf_dir, "documents"), path, pattern)
+    return prefix_bpe.digests(prefix_bpe.decode(tokens, path, pattern))
+
+
+@_query
+def op3_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with how much of it tiles cover."""
+    found = matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_words", "n_covered", F.size("tiles").alias("n_tiles"))
+
+
+@_query
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard and slot as read back from the written shards."""
+    written = write_shards(table(spark, sf_dir, "documents"))
+    text = F.coalesce("text", F.lit(""))
+    narrow = written.select(
+        "doc_id", (F.octet_length(text) + F.lit(8)).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.lit("key").alias("law"),
+        "shard", "grown_shard", "bucket", "place",
+    )
+    return with_slots(narrow).select(
+        "doc_id", "size", "text_crc32", "law", "shard", F.col("slot").cast("long").alias("slot"), "grown_shard"
+    )
