@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagtrend.llm import pfor, prefix_bpe
+from tagtrend.llm.decision_list import judged
 from tagtrend.llm.recompression import substring_dedup
 from tagtrend.llm.sharding import with_slots, write_shards
 from tagtrend.llm.simhash import hexadecimal, near_duplicates
@@ -100,3 +101,12 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_slots(narrow).select(
         "doc_id", "size", "text_crc32", "law", "shard", F.col("slot").cast("long").alias("slot"), "grown_shard"
     )
+
+
+@_query
+def op8_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text statistics of every document, the base verdict, and that of the learned rules."""
+    found = judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule"
+    )
