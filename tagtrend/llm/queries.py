@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagtrend.llm import pfor, prefix_bpe
+from tagtrend.llm import pfor, prefix_bpe, quality_model
 from tagtrend.llm.decision_list import judged
 from tagtrend.llm.recompression import substring_dedup
 from tagtrend.llm.sharding import with_slots, write_shards
@@ -110,3 +110,18 @@ def op8_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule"
     )
+
+
+def crc_remainder(column: str, modulus: int) -> Column:
+    """crc32 of an id written as text, modulo a number."""
+    return F.crc32(F.col(column).cast("string")) % modulus
+
+
+@_query
+def op6_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; a third of the ids is never learned from."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_model.fit(documents, table(spark, sf_dir, "labels"), crc_remainder("doc_id", 3) != 1)
+    return quality_model.scored(documents, model).select(
+        "doc_id", (crc_remainder("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
