@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagtrend.llm import pfor, prefix_bpe, quality_model
+from tagtrend.llm import pfor, pitman_yor, prefix_bpe, quality_model
 from tagtrend.llm.decision_list import judged
 from tagtrend.llm.recompression import substring_dedup
 from tagtrend.llm.sharding import with_slots, write_shards
@@ -125,3 +125,11 @@ def op6_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.scored(documents, model).select(
         "doc_id", (crc_remainder("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
+
+
+@_query
+def op10_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document by a hierarchical Pitman-Yor model, and by add-one unigrams."""
+    return pitman_yor.scored(table(spark, sf_dir, "documents"), crc_remainder("doc_id", 7) == 2).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
