@@ -1,8 +1,8 @@
-"""Session defaults and the shared checkpoint folder."""
+"""Session defaults and the tables written to the shared folder."""
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,24 +36,36 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise an iterative step's input in the shared checkpoint folder, so a lost executor costs a
-    re-read and not a recomputation.
+def shared_folder(spark: SparkSession) -> str:
+    """This application's folder on the storage that all executors share.
 
-    The cluster names the folder in `spark.checkpoint.dir`. Only a local session without one (tests) gets
-    a temporary folder; elsewhere a missing folder is an error, because a machine-local one would not be
-    readable from other executors.
+    The cluster names the place in `spark.checkpoint.dir`. Where that is unset, as in a local session, it is a folder
+    of the warehouse, which executors share as well; a machine's temporary folder is never used.
     """
+    place = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not place:
+        place = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stages"
+    return f"{place.rstrip('/')}/{spark.sparkContext.applicationId}"
+
+
+def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write a table once to the shared folder and read it back: the steps that use it do not compute it again, and a
+    lost executor costs a re-read. `release` removes all of them."""
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-            folder = tempfile.mkdtemp(prefix="tagtrend-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the stages that this application has written, once no result that reads them is needed."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Materialise an iterative step's input, so that a lost executor costs a re-read and not a recomputation."""
+    return stage(df, "lineage")
 
 
 def small_side(df: DataFrame, max_rows: int = 50_000) -> DataFrame:

@@ -9,9 +9,10 @@ from tagtrend.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
-        "tagtrend-tests", "local[4]", spark_sql_shuffle_partitions="4", spark_ui_enabled="false", spark_driver_memory="4g"
+        "tagtrend-tests", "local[4]", spark_sql_shuffle_partitions="4", spark_ui_enabled="false", spark_driver_memory="4g",
+        spark_checkpoint_dir=str(tmp_path_factory.mktemp("shared")),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
