@@ -31,13 +31,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @_query
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words under a 50-word window that an earlier document has too, by sorted sparse suffixes."""
-    return suffix_dedup(table(spark, sf_dir, "documents")).drop("spans")
+    return suffix_dedup(table(spark, sf_dir, "documents")).drop("spans", "kept")
 
 
 @_query
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words under a 50-word window that an earlier document has too, by recompression."""
-    return substring_dedup(table(spark, sf_dir, "documents")).drop("spans")
+    return substring_dedup(table(spark, sf_dir, "documents")).drop("spans", "kept")
 
 
 _REPEATS = r"""WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),

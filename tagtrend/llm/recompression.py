@@ -16,6 +16,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame
 
+from tagtrend.llm import repeats
 from tagtrend.llm.repeats import repeated_spans, window_starts
 from tagtrend.llm.words import Words, mix, runs
 
@@ -100,8 +101,15 @@ def anchors(words: Words, width: int = WIDTH, rounds: int = ROUNDS) -> tuple[np.
 def substring_dedup(documents: DataFrame, width: int = WIDTH) -> DataFrame:
     """Words of each document covered by `width` words that also stand in a document with a smaller doc_id.
 
-    Returns doc_id, n_words, n_removed, kept_sha256 and the removed spans [first, last) in words.
+    Returns doc_id, n_words, n_removed, kept_sha256, the removed spans [first, last) in words, and the kept text.
     """
     if width < 3:
         raise ValueError("a window has three words or more")
     return repeated_spans(documents, lambda words: anchors(words, width), width, "recompression")
+
+
+def without_repeats(documents: DataFrame, width: int = WIDTH) -> DataFrame:
+    """The documents with those words cut out; documents of which nothing is left go."""
+    if width < 3:
+        raise ValueError("a window has three words or more")
+    return repeats.without_repeats(documents, lambda words: anchors(words, width), width, "recompression")

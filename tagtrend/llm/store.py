@@ -1,33 +1,23 @@
-"""Tables written to the folder that all executors share, and checks shared by the operators."""
+"""Small helpers that the operators share."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
+from tagtrend.session import stage
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder named by `spark.checkpoint.dir`; there is no machine-local substitute."""
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    return folder
-
-
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write a table once and read it back: it is not computed again by the steps that share it, and a lost
-    executor costs a re-read."""
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+__all__ = ["fresh", "shuffle_tasks", "stage"]
 
 
 def shuffle_tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def need(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Only the named columns, whatever else the table holds."""
-    return df.select(*columns)
+def fresh(name: str, columns: Sequence[str]) -> str:
+    """A column name that the table does not have (Spark compares names without case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

@@ -50,7 +50,7 @@ def anchors(words: Words, width: int = WIDTH, gram: int = GRAM, reach: int = REA
 def suffix_dedup(documents: DataFrame, width: int = WIDTH) -> DataFrame:
     """Words of each document covered by `width` words that also stand in a document with a smaller doc_id.
 
-    Returns doc_id, n_words, n_removed, kept_sha256 and the removed spans [first, last) in words.
+    Returns doc_id, n_words, n_removed, kept_sha256, the removed spans [first, last) in words, and the kept text.
     """
     gram, reach = min(GRAM, width // 2), min(REACH, width // 2)
     return repeated_spans(documents, lambda words: anchors(words, width, gram, reach), width, "suffixes")
