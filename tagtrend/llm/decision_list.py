@@ -143,7 +143,7 @@ def learn(
     many as statistics times levels, reach the driver."""
     names = list(RATIOS)
     marked = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    rows = stats.join(marked, "doc_id").select("doc_id", "quality", *[ratio(n).alias(n) for n in names])
+    rows = stats.select("doc_id", *[ratio(n).alias(n) for n in names]).join(marked, "doc_id")
     shares = [i / levels for i in range(1, levels)]
     found = rows.agg(*[F.percentile_approx(n, shares, 10_000).alias(n) for n in names]).first()
     cuts = [sorted(set(found[n] or [])) for n in names]

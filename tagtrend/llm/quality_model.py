@@ -14,13 +14,14 @@ id are scored, never learned from; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tagtrend.llm.words import BLANK, BYTE_VALUE, bytes_of, mix, slices, span_hash
 
@@ -185,17 +186,13 @@ def fit(documents: DataFrame, labels: DataFrame, learn_from: Column, max_labelle
     return train(features, good, held, table)
 
 
-def scorer(documents: DataFrame, model: Model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def scored(documents: DataFrame, model: Model, name: str = "score") -> DataFrame:
+    """The documents, all other columns kept, with the probability that the quality is good in column `name`."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
+    rows = documents.drop(name)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            yield batch.append_column("score", pa.array(shared.value.scores(batch.column("text")), pa.float64()))
+            yield batch.append_column(name, pa.array(shared.value.scores(batch.column("text")), pa.float64()))
 
-    return run
-
-
-def scored(documents: DataFrame, model: Model) -> DataFrame:
-    """The documents, all columns kept, with `score`: the probability that the quality is good."""
-    schema = documents.schema.add("score", "double")
-    return documents.mapInArrow(scorer(documents, model), schema)
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField(name, DoubleType())]))

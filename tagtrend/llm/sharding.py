@@ -9,7 +9,8 @@ The order of a shard is (bucket, place in the bucket); both are kept in the file
 the buckets, and the same rows and seed give the same order whatever the number of tasks or retries.
 
 Defined results: rows with a null id form one id of their own; a null text has size 8; repeated rows stay repeated and
-are interchangeable; an empty table writes no bucket; columns other than the two named are kept in the files.
+are interchangeable; an empty table writes no bucket; other columns are kept in the files, but for those with the
+names of the new ones (shard, grown_shard, bucket, place, and the inner _key and _text), which give way.
 """
 
 from __future__ import annotations
@@ -49,7 +50,7 @@ def scatter(documents: DataFrame, shards: int = SHARDS, seed: int = SEED, bucket
 
 def write_shards(documents: DataFrame, shards: int = SHARDS, seed: int = SEED, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """Pass two: shuffle each bucket and write it; returns the written rows with shard, bucket and `place`."""
-    scattered = scatter(documents, shards, seed, bucket_bytes)
+    scattered = scatter(documents.drop("_text", "place"), shards, seed, bucket_bytes)
 
     def shuffle(key: tuple, rows: pa.Table) -> pa.Table:
         shard, bucket = (x.as_py() for x in key)

@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tagtrend.llm.store import fresh
 from tagtrend.llm.words import Words, slices, window_hash, words_of
 
 SEED = 5
@@ -154,6 +155,7 @@ def matches(documents: DataFrame, benchmark: DataFrame, seed: int = SEED, covera
 def decontaminate(documents: DataFrame, benchmark: DataFrame, seed: int = SEED, coverage: float = COVERAGE) -> DataFrame:
     """The documents that no benchmark item contaminates, with all their columns; rows without an id are judged by a
     name of their text."""
-    named = documents.withColumn("_row", F.xxhash64("doc_id", "text"))
-    leaked = matches(named.select(F.col("_row").alias("doc_id"), "text"), benchmark, seed, coverage)
-    return named.join(leaked.select(F.col("doc_id").alias("_row")).distinct(), "_row", "left_anti").drop("_row")
+    row = fresh("_row", documents.columns)
+    named = documents.withColumn(row, F.xxhash64("doc_id", "text"))
+    leaked = matches(named.select(F.col(row).alias("doc_id"), "text"), benchmark, seed, coverage)
+    return named.join(leaked.select(F.col("doc_id").alias(row)).distinct(), row, "left_anti").select(*documents.columns)
