@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from tagtrend.functions.text import as_column
 
-DATE_FORMATS = ("yyyy-MM-dd", "yyyy.MM.dd", "yyyy/MM/dd", "yyyyMMdd", "yyyy-MM-dd HH:mm:ss")
+DATE_FORMATS = ("yyyy-MM-dd", "yyyy.MM.dd", "yyyy/MM/dd", "yyyyMMdd", "yyyy-M-d", "yyyy.M.d", "yyyy/M/d")
+# A time of day may follow, after a blank or `T`, with or without seconds, their fraction and a zone.
+_TIME = r"[ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?\s*(Z|[+-]\d{2}:?\d{2})?$"
 EPOCH = "1970-01-01"
 
 
@@ -20,12 +22,16 @@ def lenient_date(c: str | Column, formats: Sequence[str] = DATE_FORMATS) -> Colu
 
     A format is only tried on texts of its shape: a failed parse costs far more than the shape test.
     """
-    text = F.trim(as_column(c))
+    text = F.regexp_replace(F.trim(as_column(c)), _TIME, "")
     return F.coalesce(*[F.when(F.rlike(text, F.lit(_shape(f))), F.try_to_date(text, f)) for f in formats])
 
 
 def _shape(date_format: str) -> str:
-    return "^" + re.sub("[A-Za-z]", r"\\d", re.escape(date_format).replace("\\-", "-").replace("\\ ", " ")) + "$"
+    """A pattern for the texts that a format can parse: a letter on its own stands for one digit or two."""
+    def digits(m: re.Match) -> str:
+        return r"\d{1,2}" if len(m[0]) == 1 else r"\d" * len(m[0])
+
+    return "^" + re.sub(r"y+|M+|d+", digits, date_format.replace(".", "[.]")) + "$"
 
 
 def lenient_number(c: str | Column) -> Column:

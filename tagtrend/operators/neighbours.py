@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import BucketedRandomProjectionLSH
-from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_BLOCK = 32_768
 QUERIES_PER_BLOCK = 4_096
 MAX_BROADCAST_KEYS = 100_000
+TABLES = 12
+BITS = 6
 _SLICE = 256
 
 
@@ -96,7 +96,7 @@ def top_k_similar(
     """`query_id, rank, row_id, score`: the `k` rows of greatest cosine per query, ties to the smaller id.
 
     `on` pairs a query column with a collection column that must be equal (the metadata filter); a query
-    whose filter matches nothing gets no rows. The search is exact: both sides are cut into blocks of
+    whose filter matches nothing, or is null, gets no rows. The search is exact: both sides are cut into blocks of
     bounded size per filter value, each pair of blocks is one matrix product in a task, and only the best
     `k` per query leave the task. No pair of rows is ever emitted, a hot filter value is just more blocks,
     and no task holds more than one block of each side. Row ids are long. `repeated_rows` says that a row may
@@ -107,8 +107,11 @@ def top_k_similar(
     c_on = [F.col(c).alias(n) for (_, c), n in zip(on, keys)] or [F.lit(0).alias("_on0")]
     q = queries.select(F.col(query_id).alias("_query"), F.col(query_vector).alias("_vector"), *q_on)
     c = collection.select(F.col(row_id).cast("long").alias("_id"), F.col(row_vector).alias("_vector"), *c_on)
-    q_sizes = _large_keys(q, keys, queries.count(), queries_per_block, "_qb")
-    c_sizes = _large_keys(c, keys, collection.count(), rows_per_block, "_cb")
+    if on:
+        # a null filter value equals nothing
+        q, c = q.dropna(subset=keys), c.dropna(subset=keys)
+    q_sizes = _large_keys(q, keys, q.count(), queries_per_block, "_qb")
+    c_sizes = _large_keys(c, keys, c.count(), rows_per_block, "_cb")
     q_blocks = _with_blocks(q, "_query", keys, q_sizes, c_sizes, "_qb", "_cb")
     c_blocks = _with_blocks(c, "_id", keys, c_sizes, q_sizes, "_cb", "_qb")
     id_type = q.schema["_query"].dataType.simpleString()
@@ -128,6 +131,31 @@ def top_k_similar(
     )
 
 
+def hash_planes(width: int, tables: int = TABLES, bits: int = BITS, seed: int = 42) -> np.ndarray:
+    """The normals of the hash planes, `tables * bits` rows: constants of the plan that follow from the seed."""
+    return np.round(np.random.Generator(np.random.PCG64(seed)).normal(size=(tables * bits, width)), 3)
+
+
+def _buckets(df: DataFrame, ident: str, vector: str, tables: int, bits: int, seed: int) -> DataFrame:
+    """`_key, _values, _bucket`: a row's bucket in each table, the sides of the table's planes on which it lies."""
+    kind = df.schema[ident].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                rows = _unit(pa.chunked_array([batch.column("_values")]))
+                side = (rows @ hash_planes(rows.shape[1], tables, bits, seed).T >= 0).reshape(len(rows), tables, bits)
+                cell = (side << np.arange(bits)).sum(axis=2) + (np.arange(tables) << bits)
+                lists = pa.FixedSizeListArray.from_arrays(pa.array(cell.astype(np.int64).ravel()), tables)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("_key"), batch.column("_values"), lists.cast(pa.list_(pa.int64()))], names=["_key", "_values", "_cells"]
+                )
+
+    rows = df.select(F.col(ident).alias("_key"), F.col(vector).cast("array<double>").alias("_values")).where(F.col(vector).isNotNull())
+    hashed = rows.mapInArrow(run, f"_key {kind}, _values array<double>, _cells array<long>")
+    return hashed.select(F.col("_key").alias(ident), "_values", F.explode("_cells").alias("_bucket"))
+
+
 def lsh_neighbours(
     queries: DataFrame,
     collection: DataFrame,
@@ -137,30 +165,18 @@ def lsh_neighbours(
     query_vector: str,
     row_id: str,
     row_vector: str,
-    bucket_length: float = 0.5,
-    tables: int = 8,
+    tables: int = TABLES,
+    bits: int = BITS,
     seed: int = 42,
 ) -> DataFrame:
-    """Approximate `top_k_similar`: a query meets only rows that share a random-projection bucket with it.
+    """Approximate `top_k_similar`: a query meets only the rows that share a bucket with it in one of the tables.
 
-    Buckets are the equality filter of the exact search, so a crowded bucket is split into blocks as well.
+    A bucket is the signs of the projections on `bits` random directions, so it depends on the direction of a vector
+    and not on its length; two vectors at angle a share it with probability (1 - a/pi)^bits, and unrelated ones in
+    one table of 2^bits. Buckets are the equality filter of the exact search, so a crowded one is split as well.
     """
-    def vectors(df: DataFrame, ident: str, vector: str) -> DataFrame:
-        unit = array_to_vector(F.col(vector).cast("array<double>"))
-        return df.select(F.col(ident).alias("_key"), F.col(vector).alias("_values"), unit.alias("_v"))
-
-    rows, wanted = vectors(collection, row_id, row_vector), vectors(queries, query_id, query_vector)
-    lsh = BucketedRandomProjectionLSH(
-        inputCol="_v", outputCol="_hashes", bucketLength=bucket_length, numHashTables=tables, seed=seed
-    ).fit(rows)
-
-    def bucketed(df: DataFrame, key: str) -> DataFrame:
-        hashed = lsh.transform(df).select(F.col("_key").alias(key), "_values", F.posexplode("_hashes"))
-        cell = F.get(vector_to_array("col"), F.lit(0)).cast("long")
-        return hashed.select(key, "_values", F.concat_ws(":", "pos", cell).alias("_bucket"))
-
     return top_k_similar(
-        bucketed(wanted, query_id), bucketed(rows, row_id), k, query_id=query_id, query_vector="_values",
-        row_id=row_id, row_vector="_values", on=[("_bucket", "_bucket")],
+        _buckets(queries, query_id, query_vector, tables, bits, seed), _buckets(collection, row_id, row_vector, tables, bits, seed),
+        k, query_id=query_id, query_vector="_values", row_id=row_id, row_vector="_values", on=[("_bucket", "_bucket")],
         repeated_rows=True,
     )

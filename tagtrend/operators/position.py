@@ -4,48 +4,34 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 10_000
-
-
-def with_position(
-    df: DataFrame,
-    by: str,
-    name: str = "position",
-    *,
-    tie_break: Sequence[str] = (),
-    rows_per_bucket: int = ROWS_PER_BUCKET,
-) -> DataFrame:
-    """Add the 0-based position of every row in the order of `by` (a numeric key without nulls).
-
-    An unpartitioned window sorts the whole table in one task. Here the key range is cut at approximate
-    quantiles, each bucket numbers its own rows, and a bucket's first position is the size of the buckets
-    before it. The cuts only balance the work: the bucket of a row is a function of its key, so the
-    numbering is exact and comes out the same when a task is re-run. Only the cuts and bucket sizes
-    (at most `MAX_BUCKETS` numbers) visit the driver.
+from tagtrend.session import stage
+
+_IN_TASK = (1 << 33) - 1
+
+
+def with_position(df: DataFrame, by: str, name: str = "position", *, tie_break: Sequence[str] = ()) -> DataFrame:
+    """Add the 0-based position of every row in the order of `by`, then `tie_break`; nulls come last.
+
+    An unpartitioned window sorts the whole table in one task. Here the rows are ranged over as many tasks as a shuffle
+    has, sorted in each and written once with their number in the task; a position is that plus the rows of the tasks
+    before. The range takes all order columns and a hash of the row, so a repeated `by`, or a third of the table
+    without one, is spread as well, and the numbering is the same whatever the partitions: only rows equal in every
+    column can trade places. One count per task visits the driver.
     """
-    order = [F.col(by), *[F.col(c) for c in tie_break]]
-    rows = df.select(by).count()
-    buckets = min(MAX_BUCKETS, -(-rows // rows_per_bucket))
-    if buckets <= 1:
-        window = Window.partitionBy("_bucket").orderBy(*order)
-        numbered = df.withColumn("_bucket", F.lit(0)).withColumn(name, (F.row_number().over(window) - 1).cast("long"))
-        return numbered.drop("_bucket")
-
-    key = F.col(by).cast("double")
-    shares = [i / buckets for i in range(1, buckets)]
-    cuts = df.agg(F.percentile_approx(key, shares, 10 * buckets).alias("cuts")).first()["cuts"]
-    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
-    bucketed = Bucketizer(splits=splits, inputCol="_key", outputCol="_bucket").transform(df.withColumn("_key", key))
-    sizes = {int(r["_bucket"]): r["count"] for r in bucketed.groupBy("_bucket").count().collect()}
+    spark = df.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    plain = [f.name for f in df.schema if not any(x in f.dataType.simpleString() for x in ("map<", "vector", "variant"))]
+    order = [F.col(c).asc_nulls_last() for c in (by, *tie_break)] + [F.xxhash64(*plain).asc()]
+    ranged = df.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+    placed = stage(ranged.withColumn("_id", F.monotonically_increasing_id()), "positions")
+    task = F.shiftright("_id", 33)
+    sizes = {r["_task"]: r["count"] for r in placed.groupBy(task.cast("int").alias("_task")).count().collect()}
     starts, total = [], 0
-    for b in range(len(splits) - 1):
+    for t in range(max(sizes, default=-1) + 1):
         starts.append(total)
-        total += sizes.get(b, 0)
-    window = Window.partitionBy("_bucket").orderBy(*order)
-    first = F.get(F.lit(starts).cast("array<long>"), F.col("_bucket").cast("int"))
-    return bucketed.withColumn(name, F.row_number().over(window) - 1 + first).drop("_bucket", "_key")
+        total += sizes.get(t, 0)
+    first = F.get(F.lit(starts or [0]).cast("array<long>"), task.cast("int"))
+    return placed.withColumn(name, F.col("_id").bitwiseAND(_IN_TASK) + first).drop("_id")

@@ -22,7 +22,8 @@ def rotating_template(
 ) -> DataFrame:
     """Template number = position in the order of `by` modulo the number of templates.
 
-    The position counts every row, so apply row filters after this step.
+    The position counts every row, so apply row filters after this step. Rows with equal `by` follow `tie_break`, then
+    a hash of the row, so the numbers do not depend on the partitions.
     """
     placed = with_position(df, by, "_pos", tie_break=tie_break)
     number = F.pmod(F.col("_pos"), F.lit(len(templates))).cast("int")
@@ -72,35 +73,16 @@ def flatten_record(record: Column, markers: Mapping[str, str]) -> Column:
     return F.concat(F.lit(markers["begin"]), F.array_join(turns, ""), F.lit(markers["end"]))
 
 
-def flatten_turns(
-    df: DataFrame, conversation: str, turn: str, role: str, text: str, markers: Mapping[str, str], *,
-    turns_per_piece: int = 64,
-) -> DataFrame:
-    """Flatten a long table of turns: `conversation, piece, text`, pieces in turn order making the sample.
+def flatten_turns(df: DataFrame, conversation: str, turn: str, role: str, text: str, markers: Mapping[str, str]) -> DataFrame:
+    """Flatten a long table of turns: `conversation, text`, one row per conversation with its turns in order.
 
-    A conversation of up to `turns_per_piece` turns is one row. A longer one is several, so that no task
-    and no cell has to hold a conversation of any length; turn numbers are unique in a conversation. The
-    begin and end markers enter as turns before the first and after the last, which spares a join on the
-    conversation.
+    A conversation is one training sample, so its text is one cell, whatever its length; each map task brings the
+    turns it has of a conversation together before the shuffle.
     """
-    piece = F.floor(F.col(turn) / turns_per_piece)
-    turns = df.select(
-        conversation, piece.alias("piece"), F.col(turn).cast("long").alias("_t"),
-        turn_text(text_or_empty(role), text_or_empty(text), markers).alias("_x"),
-    )
-
-    def marker(at: str, position: int, name: str) -> Column:
-        return F.struct(F.col(at).alias("piece"), F.lit(position).cast("long").alias("_t"), F.lit(markers[name]).alias("_x"))
-
-    ends = (
-        df.groupBy(conversation)
-        .agg(F.min(piece).alias("_first"), F.max(piece).alias("_last"))
-        .select(conversation, F.inline(F.array(marker("_first", -(2**63), "begin"), marker("_last", 2**63 - 1, "end"))))
-    )
-    pieces = turns.unionByName(ends).groupBy(conversation, "piece").agg(
-        F.array_sort(F.collect_list(F.struct("_t", "_x"))).alias("_turns")
-    )
-    return pieces.select(conversation, "piece", F.array_join(F.transform("_turns", lambda t: t["_x"]), "").alias("text"))
+    entry = F.struct(F.col(turn).cast("long").alias("t"), turn_text(text_or_empty(role), text_or_empty(text), markers).alias("x"))
+    turns = df.groupBy(conversation).agg(F.array_sort(F.collect_list(entry)).alias("_turns"))
+    body = F.array_join(F.transform("_turns", lambda t: t["x"]), "")
+    return turns.select(conversation, F.concat(F.lit(markers["begin"]), body, F.lit(markers["end"])).alias("text"))
 
 
 def cap_words(df: DataFrame, text: str, limit: int = 1024) -> DataFrame:

@@ -19,6 +19,8 @@ def _ranked(column: str) -> str:
     return f"SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY n DESC, value) AS rk FROM (SELECT cluster, {column} AS value, count(*) AS n FROM rec GROUP BY ALL)"
 
 
+WIDTH = 64  # of the given embeddings
+
 PROFILE = f"""WITH rec AS ({_RECORDS}),
 lg AS ({_ranked('lang')}), sr AS ({_ranked('source')}),
 tk AS (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY n DESC, value) AS rk FROM (SELECT cluster, value, count(*) AS n
@@ -103,8 +105,19 @@ def knn_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_near_means(spark, sf_dir, [("label", "group")]), "score")
 
 
-@query()
+_PLANES = ", ".join(
+    f"({i // neighbours.BITS}, {i % neighbours.BITS}, {[float(x) for x in plane]})" for i, plane in enumerate(neighbours.hash_planes(WIDTH))
+)
+_BUCKETED = """SELECT key, v, t, sum(CASE WHEN list_dot_product(v, p) >= 0 THEN 1 << b ELSE 0 END) AS bucket FROM {0}, planes GROUP BY ALL"""
+
+
+@query(f"""WITH planes(t, b, p) AS (VALUES {_PLANES}),
+q AS (SELECT label AS key, list(m ORDER BY i) AS v FROM ({_MEANS}) GROUP BY 1), c AS (SELECT vec_id AS key, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+met AS (SELECT DISTINCT x.key AS label, y.key AS vec_id, x.v AS a, y.v AS b FROM ({_BUCKETED.format('q')}) x JOIN ({_BUCKETED.format('c')}) y USING (t, bucket))
+SELECT label, CAST(row_number() OVER (PARTITION BY label ORDER BY s DESC, vec_id) AS INTEGER) AS rank, vec_id, round(s, 6) AS score
+FROM (SELECT label, vec_id, round(list_cosine_similarity(a, b), 9) AS s FROM met) QUALIFY rank <= 5""")
 def lsh_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As `knn_top5`, among the vectors that share a hash bucket with the mean."""
     return rounded(_near_means(spark, sf_dir, [], neighbours.lsh_neighbours), "score")
 
 

@@ -50,9 +50,8 @@ def render_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 _TURN = f"{quoted(_M['header_start'])} || role || {quoted(_M['header_end'])} || text || {quoted(_M['turn_end'])}"
 
 
-@query(f"""SELECT conv_id, piece, CASE WHEN piece = min(piece) OVER (PARTITION BY conv_id) THEN {quoted(_M['begin'])} ELSE '' END || body
-|| CASE WHEN piece = max(piece) OVER (PARTITION BY conv_id) THEN {quoted(_M['end'])} ELSE '' END AS text
-FROM (SELECT conv_id, turn // 64 AS piece, string_agg({_TURN}, '' ORDER BY turn) AS body FROM conversations GROUP BY ALL)""")
+@query(f"""SELECT conv_id, {quoted(_M['begin'])} || string_agg({_TURN}, '' ORDER BY turn) || {quoted(_M['end'])} AS text
+FROM conversations GROUP BY conv_id""")
 def chat_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = views.table(spark, sf_dir, "conversations")
     return samples.flatten_turns(turns, "conv_id", "turn", "role", "text", _M)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagtrend.operators.position import with_position
+
 BOM = "\ufeff"
 
 
@@ -19,9 +21,16 @@ def read_csv(spark: SparkSession, path: str, schema: str | None = None, *, multi
 
 
 def with_row_order(df: DataFrame, name: str = "_row") -> DataFrame:
-    """A unique number per row that grows in file order, as an order key for keep-first. It has gaps; for
-    contiguous positions use `operators.position`. Sources with a row number of their own should use that."""
-    return df.withColumn(name, F.monotonically_increasing_id())
+    """Number the rows of a table as it was read from files: by path, then place in the file. This is the order key
+    for keep-first and for surrogate ids.
+
+    Spark packs files into tasks by size, so a row's task says nothing about its file; within one block of one file
+    the running id follows the rows. Sources with a row number of their own should use that.
+    """
+    placed = df.withColumns({
+        "_path": F.col("_metadata.file_path"), "_block": F.col("_metadata.file_block_start"), "_run": F.monotonically_increasing_id(),
+    })
+    return with_position(placed, "_path", name, tie_break=["_block", "_run"]).drop("_path", "_block", "_run")
 
 
 def write_csv(df: DataFrame, path: str, *, bom: bool = True) -> None:

@@ -25,19 +25,30 @@ def test_hot_key_is_reduced_before_the_shuffle(spark):
     assert "partial_min_by" in plan and "Window" not in plan
 
 
-@pytest.mark.parametrize("rows_per_bucket", [10, 37, 10_000])
-def test_positions_are_contiguous(spark, rows_per_bucket):
+def test_positions_are_contiguous(spark):
     df = spark.range(0, 3000, 3).select((F.col("id") * F.col("id")).alias("k"))
-    got = position.with_position(df, "k", rows_per_bucket=rows_per_bucket).orderBy("k").collect()
+    got = position.with_position(df, "k").orderBy("k").collect()
     assert [r["position"] for r in got] == list(range(1000))
+    assert position.with_position(df.where("k < 0"), "k").count() == 0
 
 
 def test_positions_with_equal_keys(spark):
     df = spark.range(500).select(F.lit(1).alias("k"), "id").unionByName(spark.range(500, 700).select(F.lit(2).alias("k"), "id"))
-    got = position.with_position(df, "k", tie_break=["id"], rows_per_bucket=50).orderBy("k", "id").collect()
+    got = position.with_position(df, "k", tie_break=["id"]).orderBy("k", "id").collect()
     assert [r["position"] for r in got] == list(range(700))
 
 
+@pytest.mark.parametrize("rows", [5, 4000])
+def test_positions_of_null_keys_come_last(spark, rows):
+    df = spark.range(rows).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("k"), F.col("id").alias("x"))
+    one, many = (position.with_position(df.repartition(n), "k").collect() for n in (1, 7))
+    assert sorted(map(tuple, one), key=repr) == sorted(map(tuple, many), key=repr)
+    in_order = [r["k"] for r in sorted(one, key=lambda r: r["position"])]
+    assert [r["position"] for r in sorted(one, key=lambda r: r["position"])] == list(range(rows))
+    known = [k for k in in_order if k is not None]
+    assert in_order == sorted(known) + [None] * (rows - len(known))
+
+
 def test_surrogate_ids_and_back_fill(spark):
     a = combine.surrogate_ids(spark.createDataFrame([(7, "x"), (3, "y")], "k int, n string"), "k", "SR_", "id")
     assert values(a, "id", "n") == [("SR_0", "y"), ("SR_1", "x")]
@@ -47,7 +58,9 @@ def test_surrogate_ids_and_back_fill(spark):
 
 @pytest.mark.parametrize("raw, expected", [
     ("2026-05-18", date(2026, 5, 18)), ("2026.05.18", date(2026, 5, 18)), ("20260518", date(2026, 5, 18)),
-    ("2026-05-18 10:00:00", date(2026, 5, 18)), ("always open", None), (None, None), ("", None), ("2026-13-40", None),
+    ("2026-05-18 10:00:00", date(2026, 5, 18)), ("2026-05-18T10:00:00", date(2026, 5, 18)), ("2026-05-18T10:00:00.123Z", date(2026, 5, 18)),
+    ("2026-05-18 10:00", date(2026, 5, 18)), ("2026-5-8", date(2026, 5, 8)), ("2026.5.18", date(2026, 5, 18)), ("2026/5/8 9:30", date(2026, 5, 8)),
+    ("always open", None), ("2026-05-18 late", None), (None, None), ("", None), ("2026-13-40", None),
 ])
 def test_lenient_date(spark, raw, expected):
     df = spark.createDataFrame([(raw,)], "c string")

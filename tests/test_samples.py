@@ -28,17 +28,13 @@ def test_record_and_flattening(spark):
     assert row["t"] == "<|begin_of_text|>" + turn("system", "S") + turn("user", "Q?") + turn("assistant", "A!") + "<|end_of_text|>"
 
 
-def test_long_conversations_are_flattened_in_pieces(spark):
-    rows = [(1, t, "user", f"m{t}") for t in range(10)] + [(2, 0, "user", "only"), (3, 5, "user", "late")]
+def test_a_conversation_of_any_length_is_one_row(spark):
+    rows = [(1, t, "user", f"m{t}") for t in range(300)] + [(2, 0, "user", "only"), (3, 5, "user", None)]
     df = spark.createDataFrame(rows, "c int, t long, r string, x string").repartition(4)
-    got = samples.flatten_turns(df, "c", "t", "r", "x", v.CHAT_MARKERS, turns_per_piece=4)
-    whole = samples.flatten_turns(df, "c", "t", "r", "x", v.CHAT_MARKERS)
-    joined = {}
-    for row in sorted(got.collect()):
-        joined[row["c"]] = joined.get(row["c"], "") + row["text"]
-    assert joined == {r["c"]: r["text"] for r in whole.collect()}
-    assert got.where("c = 1").count() == 3
-    assert joined[3].startswith(v.CHAT_MARKERS["begin"]) and joined[3].endswith(v.CHAT_MARKERS["end"])
+    got = {r["c"]: r["text"] for r in samples.flatten_turns(df, "c", "t", "r", "x", v.CHAT_MARKERS).collect()}
+    turns = "".join(f"<|start_header_id|>user<|end_header_id|>\n\nm{t}<|eot_id|>\n" for t in range(300))
+    assert len(got) == 3 and got[1] == v.CHAT_MARKERS["begin"] + turns + v.CHAT_MARKERS["end"]
+    assert all(t.startswith(v.CHAT_MARKERS["begin"]) and t.endswith(v.CHAT_MARKERS["end"]) for t in got.values())
 
 
 def test_cap_words(spark):

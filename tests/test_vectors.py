@@ -57,17 +57,35 @@ def test_no_pairs_leave_a_block(spark):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
-def test_lsh_recall(spark):
-    rows = random_vectors(400, d=6, seed=3)
-    queries = [(i, v, g) for i, v, g in rows if i < 30]
-    c = spark.createDataFrame(rows, "id long, v array<double>, g int")
-    q = spark.createDataFrame(queries, "qid long, qv array<double>, qg int")
-    unit_c, unit_q = unit_vectors(c, "v", "v"), unit_vectors(q, "qv", "qv")
-    names = dict(query_id="qid", query_vector="qv", row_id="id", row_vector="v")
-    exact = {(r["qid"], r["id"]) for r in neighbours.top_k_similar(unit_q, unit_c, 5, **names).collect()}
-    near = neighbours.lsh_neighbours(unit_q, unit_c, 5, bucket_length=0.6, tables=12, **names).collect()
+NAMES = dict(query_id="qid", query_vector="qv", row_id="id", row_vector="v")
+
+
+@pytest.mark.parametrize("length", [1.0, 50.0])
+def test_lsh_recall_of_vectors_of_any_length(spark, length):
+    """Nearest neighbours are near here: each row is one of forty directions with a little noise."""
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(40, 16))
+    points = centres[np.arange(1200) % 40] + rng.normal(scale=0.35, size=(1200, 16))
+    rows = [(i, [float(x) for x in p * rng.uniform(0.1, 9)]) for i, p in enumerate(points)]
+    c = spark.createDataFrame(rows, "id long, v array<double>")
+    q = spark.createDataFrame([(i, [length * x for x in v]) for i, v in rows if i < 60], "qid long, qv array<double>")
+    exact = {(r["qid"], r["id"]) for r in neighbours.top_k_similar(q, c, 5, **NAMES).collect()}
+    near = neighbours.lsh_neighbours(q, c, 5, **NAMES).collect()
     assert len({(r["qid"], r["rank"]) for r in near}) == len(near) and all(r["rank"] <= 5 for r in near)
-    assert len(exact & {(r["qid"], r["id"]) for r in near}) / len(exact) > 0.9
+    assert len(exact & {(r["qid"], r["id"]) for r in near}) / len(exact) >= 0.9
+    met = neighbours._buckets(q, "qid", "qv", neighbours.TABLES, neighbours.BITS, 42).join(
+        neighbours._buckets(c, "id", "v", neighbours.TABLES, neighbours.BITS, 42), "_bucket"
+    )
+    assert met.select("qid", "id").distinct().count() < 0.25 * 60 * 1200
+
+
+@pytest.mark.parametrize("block", [4, 10_000])
+def test_null_filter_values_match_nothing(spark, block):
+    rows = [(i, [float(i % 7) + 1, 1.0], None if i % 2 else "a") for i in range(40)]
+    c = spark.createDataFrame(rows, "id long, v array<double>, g string")
+    q = spark.createDataFrame([(1, [1.0, 1.0], "a"), (2, [1.0, 1.0], None)], "qid long, qv array<double>, qg string")
+    got = neighbours.top_k_similar(q, c, 3, on=[("qg", "g")], rows_per_block=block, queries_per_block=block, **NAMES).collect()
+    assert {r["qid"] for r in got} == {1} and all(r["id"] % 2 == 0 for r in got) and len(got) == 3
 
 
 def test_unit_and_mean_vectors(spark):
