@@ -95,3 +95,10 @@ def cap_words(df: DataFrame, text: str, limit: int = 1024) -> DataFrame:
         .withColumn(text, F.array_join(F.slice("_words", 1, limit), " "))
         .drop("_words")
     )
+
+
+def cap_long(df: DataFrame, text: str, limit: int) -> DataFrame:
+    """As `cap_words`, but a sample within the limit keeps its blanks and line breaks as they are."""
+    whole = "_whole"
+    capped = cap_words(df.withColumn(whole, F.col(text)), text, limit)
+    return capped.withColumn(text, F.when(F.col("truncated"), F.col(text)).otherwise(F.col(whole))).drop(whole)

@@ -97,7 +97,7 @@ FROM ({MONTH_RATES}) GROUP BY keyword)"""
 ORDER_MONTHS = f"""SELECT ym, category, count(o_orderkey) AS n FROM
 (SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS ym FROM orders), (SELECT unnest({sql_list(v.PRIORITIES)}) AS category)
 LEFT JOIN orders ON strftime(o_orderdate, '%Y-%m') = ym AND o_orderpriority = category
-WHERE ym BETWEEN '{v.COMPLETE_MONTHS[0]}' AND '{v.COMPLETE_MONTHS[1]}' GROUP BY ALL"""
+WHERE ym < (SELECT strftime(max(o_orderdate) + INTERVAL 1 DAY, '%Y-%m') FROM orders) GROUP BY ALL"""
 
 
 def sql_peaks(counts: str) -> str:

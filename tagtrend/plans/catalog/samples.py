@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tagtrend.functions import text
-from tagtrend.operators import documents, rates, roadmap, samples, sampling, tagging
+from tagtrend.operators import combine, documents, rates, roadmap, samples, sampling, tagging
 from tagtrend.operators.rows import keep_where
 from tagtrend.plans import views
 from tagtrend.plans import vocabulary as v
@@ -131,12 +131,18 @@ _LEADING = f"""SELECT segment, dictionary, string_agg(keyword || '(' || {sql_1d(
 FROM (SELECT *, row_number() OVER (PARTITION BY segment, dictionary ORDER BY rate DESC, keyword) AS rk FROM ({_GROUPED}) QUALIFY rk <= 3) GROUP BY ALL"""
 
 
-@query(f"""SELECT segment, CAST(template_no AS INTEGER) AS template_no, replace(template, '{{segment}}', segment) AS question,
+_CHOICE = f"""SELECT segment, CAST(template_no AS INTEGER) AS template_no, replace(template, '{{segment}}', segment) AS question,
 'Items: ' || i.listed || chr(10) || 'Colours: ' || c.listed || chr(10) || 'Start with ' || i.leader AS answer
-FROM (SELECT * FROM ({_LEADING}) WHERE dictionary = 'item') i JOIN (SELECT * FROM ({_LEADING}) WHERE dictionary = 'colour') c USING (segment), ({_CHOICES})""")
+FROM (SELECT * FROM ({_LEADING}) WHERE dictionary = 'item') i JOIN (SELECT * FROM ({_LEADING}) WHERE dictionary = 'colour') c USING (segment), ({_CHOICES})"""
+
+
+@query(_CHOICE)
 def template_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per segment the three leading items and colours, with every question."""
-    segment_rates = trends.segment_rates(spark, sf_dir)
+    return _choice(trends.segment_rates(spark, sf_dir))
+
+
+def _choice(segment_rates: DataFrame) -> DataFrame:
     grouped = segment_rates.join(trends.dictionary_of(segment_rates), "keyword").where(F.col("dictionary").isin("item", "colour"))
     window = Window.partitionBy("segment", "dictionary").orderBy(F.desc("rate"), "keyword")
     ranked = grouped.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= 3)
@@ -230,24 +236,33 @@ def slot_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Samples of the fourth kind: one per document, with a section that only labelled documents have.
 
-_OPTIONAL = f"""SELECT doc_id, '**' || substr(source, 1, 60) || '**' || chr(10) || 'Duties: ' || coalesce(nullif(substr(duties, 1, 200), ''), 'none')
+_RECORD_QUESTION = sql_pick("template_no", {str(i): quoted(t) for i, t in enumerate(v.RECORD_TEMPLATES)}, "NULL").replace("= '", "= ").replace("' THEN", " THEN")
+_OPTIONAL = f"""SELECT doc_id, replace(replace(replace({_RECORD_QUESTION}, '{{source}}', source), '{{lang}}', lang), '{{duties}}', substr(duties, 1, 200)) AS question, '**' || substr(source, 1, 60) || '**' || chr(10) || 'Duties: ' || coalesce(nullif(substr(duties, 1, 200), ''), 'none')
 || chr(10) || CASE WHEN quality IS NOT NULL THEN 'Extra: quality ' || quality || chr(10) ELSE '' END || 'Field: ' || lang AS answer
-FROM (SELECT doc_id, source, lang, quality, trim(substr({CLEAN.format('text')}, 1, 300)) AS duties FROM documents LEFT JOIN labels USING (doc_id)) WHERE duties <> ''"""
+FROM (SELECT doc_id, source, lang, quality, (row_number() OVER (ORDER BY doc_id) - 1) % {len(v.RECORD_TEMPLATES)} AS template_no,
+trim(substr({CLEAN.format('text')}, 1, 300)) AS duties FROM documents LEFT JOIN labels USING (doc_id)) WHERE duties <> ''"""
 
 
-@query(_OPTIONAL)
-def optional_section(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _optional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    numbers = samples.rotating_template(views.table(spark, sf_dir, "documents").select("doc_id"), v.RECORD_TEMPLATES, "doc_id")
     labels = views.table(spark, sf_dir, "labels").select("doc_id", "quality")
     rows = views.documents(spark, sf_dir, "source", "lang", "text").select(
         "doc_id", "source", "lang", F.trim(text.cap(text.clean_text("text"), 300)).alias("duties")
     )
-    rows = keep_where(rows, F.col("duties") != "").join(labels, "doc_id", "left")
+    rows = keep_where(rows, F.col("duties") != "").join(labels, "doc_id", "left").join(numbers, "doc_id")
+    question = text.fill_slots(F.col("template"), source=F.col("source"), lang=F.col("lang"), duties=text.cap("duties", 200))
     extra = F.when(F.col("quality").isNotNull(), F.concat(F.lit("Extra: quality "), F.col("quality"), F.lit("\n")))
     answer = F.concat(
         F.lit("**"), text.cap("source", 60), F.lit("**\nDuties: "), text.first_present(text.cap("duties", 200), default="none"),
         F.lit("\n"), F.coalesce(extra, F.lit("")), F.lit("Field: "), F.col("lang"),
     )
-    return rows.select("doc_id", answer.alias("answer"))
+    return rows.select("doc_id", question.alias("question"), answer.alias("answer"))
+
+
+@query(_OPTIONAL)
+def optional_section(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One sample per document with a text, its questions rotating over all documents in id order."""
+    return _optional(spark, sf_dir)
 
 
 def _flat_sql(question: str, answer: str) -> str:
@@ -258,19 +273,27 @@ def _flat_sql(question: str, answer: str) -> str:
     return f"{quoted(_M['begin'])} || {turns} || {quoted(_M['end'])}"
 
 
-@query(f"""SELECT kind, {_flat_sql('question', 'answer')} AS text, CASE WHEN substr(md5(question || answer || '42'), 1, 4) < '199a' THEN 'eval' ELSE 'train' END AS split FROM (
-SELECT 'cross' AS kind, question, answer FROM ({_CROSS}) UNION ALL SELECT 'rotate', question, answer FROM ({_ROTATE}) UNION ALL SELECT 'slots', question, answer FROM ({_SLOTS}))""")
+_KINDS = " UNION ALL ".join(
+    f"SELECT '{kind}' AS kind, question, answer FROM ({part})"
+    for kind, part in (("cross", _CROSS), ("choice", _CHOICE), ("slots", _SLOTS), ("rotate", _ROTATE), ("record", _OPTIONAL))
+)
+
+
+@query(f"""SELECT kind, CASE WHEN len(words) > {v.MAX_WORDS} THEN array_to_string(words[1:{v.MAX_WORDS}], ' ') ELSE text END AS text, len(words) > {v.MAX_WORDS} AS truncated, split
+FROM (SELECT *, {_WORDS} AS words FROM (SELECT kind, {_flat_sql('question', 'answer')} AS text,
+CASE WHEN substr(md5(question || answer || '42'), 1, 4) < '199a' THEN 'eval' ELSE 'train' END AS split FROM ({_KINDS})))""")
 def sample_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All sample kinds as records, flattened and split."""
+    """All five sample kinds as records, flattened, capped and split."""
     counted = _counted(spark, sf_dir)
-    kinds = {"cross": _cross(counted), "rotate": _rotate(spark, sf_dir), "slots": _slots(_segment_rates(counted))}
-    rows = None
-    for kind, frame in kinds.items():
-        part = frame.select(F.lit(kind).alias("kind"), "question", "answer")
-        rows = part if rows is None else rows.unionByName(part)
+    segment_rates = _segment_rates(counted)
+    kinds = {
+        "cross": _cross(counted), "choice": _choice(segment_rates), "slots": _slots(segment_rates), "rotate": _rotate(spark, sf_dir),
+        "record": _optional(spark, sf_dir),
+    }
+    parts = [frame.select(F.lit(kind).alias("kind"), "question", "answer") for kind, frame in kinds.items()]
     record = samples.chat_record(v.SYSTEM_TEXT, F.col("question"), F.col("answer"))
-    keyed = rows.withColumn("_key", F.concat("question", "answer")).withColumn("text", samples.flatten_record(record, _M))
-    return sampling.hash_split(keyed, "_key").select("kind", "text", "split")
+    keyed = combine.union_sources(parts).withColumn("_key", F.concat("question", "answer")).withColumn("text", samples.flatten_record(record, _M))
+    return samples.cap_long(sampling.hash_split(keyed, "_key"), "text", v.MAX_WORDS).select("kind", "text", "truncated", "split")
 
 
 _PROFILES = """SELECT c_custkey, c_mktsegment AS job, 'firm ' || c_nationkey AS company,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagtrend.functions.dates import year_month
 from tagtrend.operators import counts, rates, seasons, segments, summary, tagging, timeline
 from tagtrend.plans import views
 from tagtrend.plans import vocabulary as v
@@ -37,7 +38,9 @@ def growth(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = timeline.month_category_counts(views.counted_orders(spark, sf_dir), "ym", "category", v.PRIORITIES, weight="n")
-    return counted.where(timeline.in_months("ym", *v.COMPLETE_MONTHS))
+    # the last month counts once its last day is there
+    last = views.table(spark, sf_dir, "orders").agg(F.max("o_orderdate")).scalar().cast("date")
+    return counted.where(F.col("ym") < year_month(F.date_add(last, 1)))
 
 
 @query(f"""SELECT strftime(o_orderdate, '%Y-%m') AS ym, count(*) AS n FROM orders

@@ -76,7 +76,9 @@ TREND_KEYWORDS = [
     "PostgreSQL", "Redis", "Kotlin", "FastAPI", "NestJS", "GCP", "CI/CD", "Linux",
 ]
 TREND_JOBS = ["백엔드", "프론트엔드", "AI_ML", "DevOps", "데이터", "모바일"]
-CLUSTER_KEYWORDS = TREND_KEYWORDS[:12]
+CLUSTER_KEYWORDS = [
+    "Python", "Java", "AWS", "React", "Spring", "Docker", "TypeScript", "Kubernetes", "MySQL", "Git", "LLM", "Go",
+]
 K_RANGE = (5, 7, 8, 9, 10, 12, 15)
 
 DOCUMENT_LABELS = ["공고제목", "회사", "지역", "직무", "기술스택", "주요업무", "자격요건", "우대사항"]
@@ -134,7 +136,7 @@ SPLIT_SEED, EVAL_SHARE, MAX_WORDS = 42, 0.1, 1024
 
 SYSTEM_PROMPT = (
     "당신은 IT 채용 시장 데이터를 기반으로 개발자 학습 로드맵을 제시하는 전문 어시스턴트입니다. "
-    "실제 채용공고 822개를 분석한 데이터를 바탕으로 구체적이고 실용적인 조언을 제공합니다."
+    "실제 채용공고 {n}개를 분석한 데이터를 바탕으로 구체적이고 실용적인 조언을 제공합니다."
 )
 PLAN_TEMPLATES = {
     "백엔드": [
@@ -258,7 +260,7 @@ ROADMAP_QUESTIONS = [
 ROADMAP_HEAD = "**{job} 개발자 학습 로드맵** ({company} 취업 목표)\n"
 ROADMAP_STEP = "📌 {step}단계 — {title}\n   필수 기술: {techs}\n"
 ROADMAP_TIP = "💡 팁: 단계별로 프로젝트를 완성하며 GitHub에 포트폴리오를 쌓으세요. 각 단계는 2~4주를 권장합니다."
-ROADMAP_TOP5 = "\n\n📊 채용 시장 데이터 (원티드 822개 공고 분석):\n   {size} TOP5 기술: {top5}"
+ROADMAP_TOP5 = "\n\n📊 채용 시장 데이터 (원티드 {n}개 공고 분석):\n   {size} TOP5 기술: {top5}"
 NO_DATA = "데이터 없음"
 
 # Samples of kind B: segment x question.

@@ -18,6 +18,9 @@ from tagtrend.plans import posting_values as p
 from tagtrend.session import cut_lineage
 from tagtrend.sources import collection, tables
 
+RAW_A = ["공고ID", "공고제목", "회사명", "지역", "경력", "주요업무", "자격요건", "우대사항", "혜택복지", "마감일", "상태", "링크", "수집일시"]
+RAW_B = ["공고제목", "회사명", "지역", "경력", "마감일", "링크", "수집일시"]
+RAW_C = ["공고제목", "회사명", "추가정보", "url"]
 COLUMNS = ["공고ID", "출처", "공고제목", "회사명", "지역", "경력", "주요업무", "자격요건", "우대사항", "혜택복지", "마감일", "상태", "링크", "수집일시"]
 
 
@@ -73,6 +76,16 @@ def timed(cleaned: DataFrame, months: tuple[str, str] = p.TREND_MONTHS) -> DataF
     return cleaned.where(timeline.in_months("게시년월", *months))
 
 
+def explore_tables(cleaned: DataFrame) -> dict[str, DataFrame]:
+    """The tables of the first look: postings per month of the wide window, the dated months, and how often each size
+    of company mentions the leading keywords."""
+    return {
+        "month_counts": timeline.month_counts(cleaned, "게시년월", *p.EDA_MONTHS),
+        "date_summary": timeline.month_counts(cleaned, "게시년월"),
+        "size_keywords": rates.keyword_rates(cleaned, ["회사규모"], "tech_all", p.TREND_KEYWORDS[:8]),
+    }
+
+
 def trend_tables(cleaned: DataFrame) -> dict[str, DataFrame]:
     """The tables of the trend stage and of the lookups built on them.
 
@@ -198,7 +211,8 @@ def _percents(name: str = "keyword") -> Column:
 
 
 def roadmap_samples(comparison: Mapping[str, DataFrame], spark: SparkSession) -> DataFrame:
-    """Kind A: every job and segment pair with every question; plan text and the segment's top five."""
+    """Kind A: every job and segment pair with every question; plan text and the segment's top five. `{n}`, the number
+    of postings, stays a slot until `sample_set` fills it."""
     top5 = _ranked_list(comparison["top_techs_per_size"].where("rank <= 5"), "회사규모", _percents())
     pairs = spark.createDataFrame(p.SAMPLE_SEGMENTS, "job string, size string, company string")
     plans = {
@@ -306,12 +320,14 @@ def record_samples(records: DataFrame, *, order: str) -> DataFrame:
     return rows.select(F.lit("E").alias("kind"), question.alias("question"), answer.alias("answer"))
 
 
-def sample_set(parts: list[DataFrame]) -> DataFrame:
-    """All kinds as records, with the flattened and capped training text and the split."""
-    rows = combine.union_sources(parts)
-    record = samples.chat_record(p.SYSTEM_PROMPT, F.col("question"), F.col("answer"))
+def sample_set(parts: list[DataFrame], postings: int) -> DataFrame:
+    """All kinds as records, with the flattened and capped training text and the split. `postings` is the number of
+    postings that the texts speak of."""
+    counted = {"n": F.lit(str(postings))}
+    rows = combine.union_sources(parts).withColumn("answer", text.fill_slots(F.col("answer"), **counted))
+    record = samples.chat_record(text.fill_slots(F.lit(p.SYSTEM_PROMPT), **counted), F.col("question"), F.col("answer"))
     built = rows.withColumn("conversations", record).withColumn("text", samples.flatten_record(F.col("conversations"), p.CHAT_MARKERS))
-    keyed = built.withColumn("_key", F.concat("question", "answer"))
+    keyed = samples.cap_long(built, "text", p.MAX_WORDS).withColumn("_key", F.concat("question", "answer"))
     return sampling.hash_split(keyed, "_key", seed=p.SPLIT_SEED, eval_share=p.EVAL_SHARE).drop("_key")
 
 
@@ -383,23 +399,34 @@ def answer_questions(
 def run(
     spark: SparkSession, *, site_a: list[str], site_b: str, site_c: str, out: str
 ) -> dict[str, DataFrame]:
-    """From raw CSV exports to stage tables and result tables under `out`."""
-    def raw(path: str) -> DataFrame:
-        return tables.with_row_order(tables.read_csv(spark, path))
+    """From raw CSV exports to stage tables and result tables under `out`; `exports` holds the tables that others read."""
+    def raw(path: str, columns: list[str]) -> DataFrame:
+        return tables.with_columns(tables.with_row_order(tables.read_csv(spark, path)), [*columns, "_row"])
 
-    integrated = integrate([raw(path) for path in site_a], raw(site_b), raw(site_c))
+    integrated = integrate([raw(path, RAW_A) for path in site_a], raw(site_b, RAW_B), raw(site_c, RAW_C))
     tables.write_stage(integrated, f"{out}/integrated")
     tables.write_stage(date_postings(tables.read_stage(spark, f"{out}/integrated")), f"{out}/dated")
     tables.write_stage(clean_postings(tables.read_stage(spark, f"{out}/dated")), f"{out}/cleaned")
     cleaned = tables.read_stage(spark, f"{out}/cleaned")
-    results = {**trend_tables(cleaned), **comparison_tables(cleaned), "stage_report": stage_report(cleaned)}
+    results = {**explore_tables(cleaned), **trend_tables(cleaned), **comparison_tables(cleaned), "stage_report": stage_report(cleaned)}
     for name, frame in results.items():
         tables.write_stage(frame, f"{out}/{name}")
         results[name] = tables.read_stage(spark, f"{out}/{name}")
         tables.publish(results[name], name)
+    export(cleaned, results, f"{out}/exports")
     return {"cleaned": cleaned, **results}
 
 
+def export(cleaned: DataFrame, results: Mapping[str, DataFrame], path: str) -> None:
+    """The hand-over files: the flat tables as CSV, the summaries as one JSON text per row."""
+    flat = ["tech_monthly", "tech_growth", "job_monthly_wide", "tech_frequency", "tech_ratio_by_size", "job_category_by_size"]
+    tables.write_csv(cleaned.select(*[c for c, kind in cleaned.dtypes if not kind.startswith("array")]), f"{path}/cleaned")
+    for name in flat:
+        tables.write_csv(results[name], f"{path}/{name}")
+    for name in ("metrics", "trend_summary", "size_keywords"):
+        tables.write_json_lines(results[name], f"{path}/{name}")
+
+
 def run_clusters(
     spark: SparkSession, *, out: str, ks: tuple[int, ...] = p.K_RANGE, restarts: int = 10
 ) -> dict[str, DataFrame]:
@@ -429,6 +456,9 @@ def run_samples(spark: SparkSession, *, out: str, records: DataFrame | None = No
     ]
     if records is not None:
         parts.append(record_samples(records, order=order))
-    tables.write_json_lines(sample_set(parts), f"{out}/samples")
-    schema = "kind string, question string, answer string, conversations array<struct<role: string, content: string>>, text string, split string"
+    tables.write_json_lines(sample_set(parts, cleaned.count()), f"{out}/samples")
+    schema = (
+        "kind string, question string, answer string, conversations array<struct<role: string, content: string>>, text string, "
+        "n_words int, truncated boolean, split string"
+    )
     return tables.read_json_lines(spark, f"{out}/samples", schema)

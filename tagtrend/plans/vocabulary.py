@@ -40,9 +40,7 @@ SCALE_RULES = {"big": ["LARGE", "STANDARD"], "public": ["PROMO", "MED"]}
 
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 PERIODS = {"first": ("1998-01", "1998-12"), "second": ("1999-01", "1999-12"), "recent_from": "2000-01"}
-MONTHS = ("1995-01", "2001-12")
-# The last month of orders has a single day; growth and peaks are taken over complete months.
-COMPLETE_MONTHS = ("1995-01", "2001-07")
+MONTHS = ("1998-01", "1999-12")  # the period of the monthly counts
 SEGMENTS = ("BUILDING", "MACHINERY")
 CLUSTER_LINKS = [("ECONOMY", 0), ("LARGE", 1), ("MEDIUM", 2), ("MEDIUM", 3), ("PROMO", 4), ("PROMO", 5), ("SMALL", 6), ("STANDARD", 7), ("STANDARD", 8)]
 
@@ -78,6 +76,12 @@ COMPARE_TEMPLATES = [
     "Do the stacks differ much?",
     "Moving from one to the other, what must a {job} person add?",
 ]
+RECORD_TEMPLATES = [
+    "What does this {lang} text from {source} ask for?\n{duties}",
+    "Is this {source} text a good start?\n{duties}",
+    "Sum up the {lang} text from {source}.\n{duties}",
+]
+MAX_WORDS = 1024
 COMPARE_JOBS = ["ring", "bolt", "gear", "rod"]
 
 PROMPT = (

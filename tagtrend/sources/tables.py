@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +22,11 @@ def read_csv(spark: SparkSession, path: str, schema: str | None = None, *, multi
     return reader.schema(schema).csv(path) if schema else reader.csv(path)
 
 
+def with_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The named columns and no other, in this order; a column that a file lacks is null."""
+    return df.select(*[F.col(f"`{c}`") if c in df.columns else F.lit(None).cast("string").alias(c) for c in columns])
+
+
 def with_row_order(df: DataFrame, name: str = "_row") -> DataFrame:
     """Number the rows of a table as it was read from files: by path, then place in the file. This is the order key
     for keep-first and for surrogate ids.

@@ -122,10 +122,11 @@ def test_samples(spark, results):
     assert text.endswith("   대기업 TOP5 기술: AWS(100.0%), Java(100.0%), Python(100.0%), Spring(100.0%), Docker(50.0%)")
     answers_e = [r["answer"] for r in e.collect()]
     assert any("정보 없음" in x and "서울 기반" in x for x in answers_e) and any("⭐ **우대사항**" in x for x in answers_e)
-    built = postings.sample_set([a, b, c, d, e])
+    built = postings.sample_set([a, b, c, d, e], 4321)
     row = built.first()
     assert built.count() == 121 and [t["role"] for t in row["conversations"]] == ["system", "user", "assistant"]
     assert row["text"].startswith("<|begin_of_text|>") and row["split"] in ("train", "eval")
+    assert "4321" in row["conversations"][0]["content"] and any("4321" in r["answer"] for r in built.where("kind = 'A'").collect())
     assert "{" not in "".join(r["question"] + r["answer"] for r in built.collect())
 
 

@@ -4,7 +4,7 @@ import json
 from conftest import values
 from pyspark.sql import functions as F
 
-from tagtrend.operators import neighbours
+from tagtrend.operators import dedup, neighbours
 from tagtrend.sources import collection, tables
 
 
@@ -47,6 +47,21 @@ def test_row_order_follows_the_file(spark, tmp_path):
     assert [r["n"] for r in df.orderBy("_row").collect()] == [str(i) for i in range(20)]
 
 
+def test_row_order_follows_the_files_whatever_their_size(spark, tmp_path):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for name, rows in (("00", 1), ("01", 3), ("02", 30_000)):
+        (folder / f"{name}.csv").write_text("n,k\n" + "\n".join(f"{name}-{i},{i % 2}" for i in range(rows)) + "\n")
+    for split in (True, False):
+        df = tables.with_row_order(tables.read_csv(spark, str(folder), multiline=not split))
+        got = [r["n"] for r in df.orderBy("_row").collect()]
+        assert got == ["00-0", *[f"01-{i}" for i in range(3)], *[f"02-{i}" for i in range(30_000)]]
+    first = {r["k"]: r["n"] for r in dedup.keep_first(df, ["k"], ["_row"]).collect()}
+    assert first == {"0": "00-0", "1": "01-1"}
+    lacking = tables.with_columns(df, ["n", "gone"]).columns
+    assert lacking == ["n", "gone"]
+
+
 def test_collection_is_partitioned_and_searched_by_category(spark, tmp_path):
     rows = [(i, f"job_{i}", f"text {i}", ("a" if i % 3 else "b",), [float(i + 1), 1.0]) for i in range(12)]
     df = spark.createDataFrame(rows, "row_id long, id string, document string, metadata struct<job_category: string>, vector array<double>")
