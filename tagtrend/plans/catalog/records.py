@@ -46,7 +46,7 @@ def dedup_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1""")
 def dedup_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = dedup.with_digest(views.table(spark, sf_dir, "documents"), "text")
-    return dedup.keep_first(documents, ["text_key"], ["doc_id"]).select("doc_id", "lang", "source", "n_chars", "text")
+    return dedup.keep_smallest(documents, ["text_key"], "doc_id").select("doc_id", "lang", "source", "n_chars", "text")
 
 
 @query("""SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part

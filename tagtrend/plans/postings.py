@@ -173,10 +173,7 @@ def retrieval_documents(cleaned: DataFrame) -> DataFrame:
 
 def build_collection(cleaned: DataFrame, path: str) -> None:
     """Vectorise the documents and rebuild the collection at `path`."""
-    rendered = vectors.text_vectors(retrieval_documents(cleaned), "document")
-    as_array = vectors.vector_to_array("vector")
-    rows = rendered.withColumn("row_id", F.xxhash64("id")).withColumn("vector", as_array)
-    collection.build_collection(rows, path)
+    collection.build_text_collection(retrieval_documents(cleaned), path)
 
 
 def cluster_postings(cleaned: DataFrame, *, ks: tuple[int, ...] = p.K_RANGE, restarts: int = 10) -> DataFrame:
@@ -380,6 +377,7 @@ def answer_questions(
     return answers.answer_report(
         detected,
         tags="tags_all",
+        topics=list(p.TOPIC_RULES),
         by_topic=[
             answers.study_sections(by_job, "직무카테고리", f),
             answers.cluster_sections(profiles, p.TOPIC_CLUSTERS, "cluster", f),

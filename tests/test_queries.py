@@ -47,7 +47,7 @@ def test_query_matches_sql(spark, database, name):
     assert got == table([d[0] for d in result.description], result.fetchall())
 
 
-@pytest.mark.parametrize("name", ["tfidf_vectors", "kmeans_final", "project_2d"])
+@pytest.mark.parametrize("name", ["kmeans_final", "project_2d"])
 def test_query_without_sql_has_rows(spark, name):
     frame = contract.queries()[name](spark, FOLDER)
     assert name not in contract.oracle_sql() and frame.count() > 0

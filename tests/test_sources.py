@@ -80,3 +80,16 @@ def test_collection_is_partitioned_and_searched_by_category(spark, tmp_path):
     plan = stored.where(F.col("job_category") == "b")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(job_category" in plan
     assert neighbours.ROWS_PER_BLOCK > 0
+
+
+def test_a_collection_of_texts_is_searched_by_text(spark, tmp_path):
+    texts = ["python data pipelines with spark", "java services and spring", "python web services", "spark streaming in java", "", None]
+    rows = [(f"job_{i}", t, ("a" if i % 2 else "b",)) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "id string, document string, metadata struct<job_category: string>")
+    path = str(tmp_path / "texts")
+    collection.build_text_collection(df, path)
+    queries = spark.createDataFrame([(1, "spark pipelines", None), (2, "spark pipelines", "a"), (3, "spark pipelines", "none"), (4, "zzz", None)], "q int, t string, c string")
+    near = collection.search_texts(spark, path, queries, query_id="q", text="t", category="c", k=2)
+    assert values(near.where("score > 0"), "q", "rank", "id") == [(1, 1, "job_0"), (1, 2, "job_3"), (2, 1, "job_3")]
+    same = collection.search_texts(spark, path, df.select(F.col("id").alias("q"), F.col("document").alias("t")).where("t <> ''"), query_id="q", text="t", k=1)
+    assert values(same.withColumn("score", F.round("score", 6)), "q", "id", "score") == [(f"job_{i}", f"job_{i}", 1.0) for i in range(4)]
