@@ -29,16 +29,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagtrend.llm.store import shuffle_tasks, stage
-from tagtrend.llm.words import LOWER, slices
+from tagtrend.llm.words import LOWER, Recent, bounds, bytes_of, looked_up, slices
 
 BLOCK = 512
 PERCENTILE = 95.0
 SEGMENT_IDS = 1 << 18
-KEPT_WORDS = 200_000
+KEPT_PARTS = 250_000
+LONGEST_KEPT = 256
+CALL_PARTS = 20_000
+SLICE_BYTES = 2 << 20
 _HEADER = np.dtype([("ids", "<u8"), ("block", "<u4"), ("blocks", "<u4")])
 _ENTRY = np.dtype([("offset", "<u8"), ("low", "<u4"), ("patches", "<u4"), ("width", "<u4")])
-_LOWER = LOWER.tobytes()
-_LETTER = bytes(range(65, 91)) + bytes(range(97, 123))
+_MARK = np.zeros(256, dtype=bool)
+for _a, _b in ((33, 48), (58, 65), (91, 97), (123, 127)):
+    _MARK[_a:_b] = True
 
 
 def pack(ids: np.ndarray, block: int = BLOCK, percentile: float = PERCENTILE) -> bytes:
@@ -101,42 +105,65 @@ def unpack(segment: bytes, start: int = 0, stop: int | None = None) -> np.ndarra
     return out.ravel()[start - first * block : stop - first * block]
 
 
-class WordIds(dict):
-    """Word -> its ids as little-endian bytes, by the tokenizer. White space ends every token of this tokenizer, and
-    so does the border between ASCII letters and ASCII punctuation, so words and their tails are looked up apart."""
+class WordIds:
+    """Texts to ids by the tokenizer. White space ends every token of this tokenizer, and so does the border between
+    ASCII letters and the ASCII punctuation at a word's end, so the distinct parts of a slice's words are encoded
+    together, once, and those used of late are kept."""
 
     def __init__(self, path: str):
-        super().__init__()
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.older = Tokenizer.from_file(path), {}
-
-    def _whole(self, data: bytes) -> bytes:
-        return np.array(self.tokenizer.encode(data.decode(), add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def _find(self, word: bytes) -> bytes:
-        if b"<|" in word or b"'" in word:  # may be a special token or a contraction
-            return self._whole(word)
-        low = word.translate(_LOWER)
-        if low != word:
-            return self[low]
-        head = word.rstrip(b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")
-        if head and len(head) < len(word) and head[-1] in _LETTER:
-            return self[head] + self[word[len(head) :]]
-        return self._whole(word)
-
-    def __missing__(self, word: bytes) -> bytes:
-        found = self.older.get(word)
-        if found is None:
-            found = self._find(word)
-        if len(self) >= KEPT_WORDS:
-            self.older = dict(self)
-            self.clear()
-        self[word] = found
+        self.tokenizer, self.kept = Tokenizer.from_file(path), Recent(KEPT_PARTS)
+
+    def _encoded(self, parts: list[bytes]) -> list[bytes]:
+        """The ids of each part: one call for all, parted by spaces, and each token given to the part it starts in."""
+        texts = [p.decode() for p in parts]
+        done = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+        begin = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])])
+        owner = np.searchsorted(begin, np.array([a for a, _ in done.offsets], dtype=np.int64), side="right") - 1
+        cuts = np.searchsorted(owner, np.arange(len(texts) + 1)) * 4
+        raw = np.array(done.ids, dtype="<u4").tobytes()
+        return [raw[a:b] for a, b in zip(cuts.tolist(), cuts[1:].tolist(), strict=False)]
+
+    def parts(self, parts: list[bytes]) -> list[bytes]:
+        """The ids of each part: those kept, and the others by the tokenizer."""
+        found = [self.kept.find(p) for p in parts]
+        new = [i for i, ids in enumerate(found) if ids is None]
+        for start in range(0, len(new), CALL_PARTS):
+            some = new[start : start + CALL_PARTS]
+            for i, ids in zip(some, self._encoded([parts[i] for i in some]), strict=True):
+                found[i] = ids
+                if len(parts[i]) <= LONGEST_KEPT:
+                    self.kept.keep(parts[i], ids)
         return found
 
-    def encode(self, text: bytes) -> bytes:
-        return b"".join(map(self.__getitem__, text.split()))
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the texts of a slice, one after the other, and how many each text has."""
+        data, offsets = bytes_of(texts.fill_null(""))
+        data, starts, ends = word_parts(data, *bounds(data, offsets))
+        ids, counts = looked_up(data, starts, ends, self.parts)
+        total = np.concatenate([[0], np.cumsum(counts)])
+        return ids, np.diff(total[np.searchsorted(starts, offsets)])
+
+
+def word_parts(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words cut into their letters and their tail of marks, in lower case, which the tokenizer drops anyway; words
+    that may hold a contraction or a special token stay whole and as written."""
+    if not len(starts):
+        return data, starts, ends
+    special = data == 39
+    special[:-1] |= (data[:-1] == 60) & (data[1:] == 124)
+    before = np.concatenate([[0], np.cumsum(special)])
+    whole = before[ends] > before[starts]
+    low = LOWER[data]
+    for a, b in zip(starts[whole].tolist(), ends[whole].tolist(), strict=True):
+        low[a:b] = data[a:b]
+    # where each word's last byte that is no mark stands
+    last = np.maximum.accumulate(np.where(_MARK[data], -1, np.arange(len(data))))[ends - 1]
+    cut = ~whole & (last >= starts) & (last < ends - 1) & (low[last] >= 97) & (low[last] <= 122)
+    heads, tails = np.where(cut, last + 1, ends), last[cut] + 1
+    order = np.argsort(np.concatenate([starts, tails]), kind="stable")
+    return low, np.concatenate([starts, tails])[order], np.concatenate([heads, ends[cut]])[order]
 
 
 @lru_cache(maxsize=2)
@@ -164,13 +191,13 @@ def _segments(path: str, end_id: int, segment_ids: int):
                 names=["task", "number", "first", "ids", "docs", "payload"],
             )
 
-        for batch in slices(batches):
-            texts = batch.column("text").cast(pa.binary()).to_pylist()
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts, strict=True):
-                data = coder.encode(text or b"") + end
-                docs.append({"doc_id": doc_id, "start": held, "n": len(data) // 4})
-                parts.append(data)
-                held += len(data) // 4
+        for batch in slices(batches, limit=SLICE_BYTES):
+            ids, counts = coder.encode(batch.column("text"))
+            cuts = np.concatenate([[0], np.cumsum(counts)]).tolist()
+            for doc_id, a, b in zip(batch.column("doc_id").to_pylist(), cuts, cuts[1:], strict=False):
+                docs.append({"doc_id": doc_id, "start": held, "n": b - a + 1})
+                parts += [ids[a:b].tobytes(), end]
+                held += b - a + 1
                 if held >= segment_ids:
                     yield flush()
                     first, number = first + held, number + 1
@@ -194,39 +221,38 @@ def write_segments(documents: DataFrame, path: str, end_id: int = 1, segment_ids
     return written.join(F.broadcast(before), "task").withColumn("first", F.col("first") + F.col("before")).drop("before")
 
 
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row in range(batch.num_rows):
+            one = batch.slice(row, 1)
+            docs, first = one.column("docs").flatten(), one.column("first")[0].as_py()
+            ids = unpack(one.column("payload")[0].as_py())
+            ends = np.concatenate([[0], np.cumsum(docs.field("n").to_numpy())]).astype(np.int32)
+            for i in range(0, len(docs), 1024):
+                part = docs.slice(i, 1024)
+                cuts = ends[i : i + len(part) + 1]
+                lists = pa.ListArray.from_arrays(pa.array(cuts - cuts[0]), pa.array(ids[cuts[0] : cuts[-1]].view(np.int32)))
+                yield pa.RecordBatch.from_arrays(
+                    [part.field("doc_id"), pa.array(part.field("start").to_numpy() + first), lists], names=["doc_id", "start", "ids"]
+                )
+
+
+def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in _read(batches):
+        lists = batch.column("ids")
+        data, ends = lists.flatten().to_numpy().astype("<i4"), np.cumsum([0, *lists.value_lengths().to_pylist()])
+        crc = [zlib.crc32(data[a:b].tobytes()) for a, b in zip(ends, ends[1:], strict=False)]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("start"), pa.array(np.diff(ends), pa.int64()), pa.array(crc, pa.int64())],
+            names=["doc_id", "start", "n_tokens", "ids_crc32"],
+        )
+
+
 def read_documents(segments: DataFrame) -> DataFrame:
     """doc_id, start and ids (array of int) of every document in the segments."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                one = batch.slice(row, 1)
-                docs, first = one.column("docs").flatten(), one.column("first")[0].as_py()
-                ids = unpack(one.column("payload")[0].as_py())
-                ends = np.concatenate([[0], np.cumsum(docs.field("n").to_numpy())]).astype(np.int32)
-                for i in range(0, len(docs), 1024):
-                    part = docs.slice(i, 1024)
-                    cuts = ends[i : i + len(part) + 1]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            part.field("doc_id"), pa.array(part.field("start").to_numpy() + first),
-                            pa.ListArray.from_arrays(pa.array(cuts - cuts[0]), pa.array(ids[cuts[0] : cuts[-1]].view(np.int32))),
-                        ],
-                        names=["doc_id", "start", "ids"],
-                    )
-
-    return segments.select("first", "docs", "payload").mapInArrow(run, "doc_id long, start long, ids array<int>")
-
-
-def digests(read: DataFrame) -> DataFrame:
-    """Per document: its ids' number and CRC-32 as little-endian unsigned 32-bit integers."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column("ids")
-            data, ends = lists.flatten().to_numpy().astype("<i4"), np.cumsum([0, *lists.value_lengths().to_pylist()])
-            crc = [zlib.crc32(data[a:b].tobytes()) for a, b in zip(ends, ends[1:], strict=False)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("start"), pa.array(np.diff(ends), pa.int64()), pa.array(crc, pa.int64())],
-                names=["doc_id", "start", "n_tokens", "ids_crc32"],
-            )
+    return segments.select("first", "docs", "payload").mapInArrow(_read, "doc_id long, start long, ids array<int>")
+
 
-    return read.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+def digests(segments: DataFrame) -> DataFrame:
+    """Per document read from the segments: its ids' number and their CRC-32 as little-endian unsigned 32-bit integers."""
+    return segments.select("first", "docs", "payload").mapInArrow(_digested, "doc_id long, start long, n_tokens long, ids_crc32 long")

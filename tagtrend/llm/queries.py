@@ -69,7 +69,7 @@ def vocabulary(name: str) -> str:
 def op7_patched_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, written in patched frame-of-reference segments and read back."""
     segments = pfor.write_segments(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
-    return pfor.digests(pfor.read_documents(segments))
+    return pfor.digests(segments)
 
 
 @_query

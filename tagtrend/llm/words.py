@@ -6,7 +6,7 @@ bytes, so that a task holds a few tens of megabytes however large its partition
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -15,6 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 20
+SLICE_ROWS = 4096
 BLANK = np.zeros(256, dtype=bool)
 BLANK[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -33,25 +34,31 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=8)
-def _powers(base: int, size: int) -> np.ndarray:
-    out = np.full(size, base, dtype=np.uint64)
+@lru_cache(maxsize=16)
+def _steps(base: int, stride: int, size: int) -> np.ndarray:
+    out = np.full(size, pow(base, stride, 1 << 64), dtype=np.uint64)
     out[0] = 1
     return np.multiply.accumulate(out)
 
 
-def powers(base: int, n: int) -> np.ndarray:
-    """1, base, base^2, ... modulo 2^64; tables grow in doublings and are kept."""
-    return _powers(base, max(1 << 16, 1 << int(n).bit_length()))[:n]
+def powers(base: int, at: np.ndarray) -> np.ndarray:
+    """base ** at modulo 2^64, from two short tables."""
+    high = at >> 12
+    size = 256
+    while len(high) and size <= high.max():
+        size *= 4
+    return _steps(base, 1 << 12, size)[high] * _steps(base, 1, 1 << 12)[at & 4095]
 
 
 def span_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
     """Karp-Rabin hash (base odd, modulo 2^64) of values[start:end] for many spans, by one prefix sum."""
     base = BASES[which]
     total = np.zeros(len(values) + 1, dtype=np.uint64)
-    np.cumsum(values * powers(base, len(values)), out=total[1:])
-    back = powers(pow(base, -1, 1 << 64), len(values) + 1)
-    return mix((total[ends] - total[starts]) * back[starts], which)
+    for i in range(0, len(values), 1 << 16):
+        part = values[i : i + (1 << 16)]
+        np.cumsum(part * powers(base, np.arange(i, i + len(part))), out=total[i + 1 : i + 1 + len(part)])
+        total[i + 1 : i + 1 + len(part)] += total[i]
+    return mix((total[ends] - total[starts]) * powers(pow(base, -1, 1 << 64), starts), which)
 
 
 def window_hash(values: np.ndarray, width: int, which: int = 0) -> np.ndarray:
@@ -87,6 +94,18 @@ def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of consecutive texts begin and end."""
+    solid = np.zeros(len(data) + 2, dtype=bool)
+    np.logical_not(BLANK[data], out=solid[1:-1])
+    begin = solid[1:-1] & ~solid[:-2]
+    end = solid[1:-1] & ~solid[2:]
+    inner = offsets[(offsets > 0) & (offsets < len(data))]
+    begin[inner] |= solid[1:-1][inner]
+    end[inner - 1] |= solid[1:-1][inner - 1]
+    return np.flatnonzero(begin), np.flatnonzero(end) + 1
+
+
 def words_of(texts: pa.Array, lower: bool = False) -> Words:
     """Split a slice of texts (null: no words) and name each word by its bytes."""
     if texts.null_count:
@@ -97,25 +116,36 @@ def words_of(texts: pa.Array, lower: bool = False) -> Words:
     data, offsets = bytes_of(texts)
     if lower:
         data = LOWER[data]
-    solid = np.zeros(len(data) + 2, dtype=bool)
-    np.logical_not(BLANK[data], out=solid[1:-1])
-    begin = solid[1:-1] & ~solid[:-2]
-    end = solid[1:-1] & ~solid[2:]
-    inner = offsets[(offsets > 0) & (offsets < len(data))]
-    begin[inner] |= solid[1:-1][inner]
-    end[inner - 1] |= solid[1:-1][inner - 1]
-    starts, ends = np.flatnonzero(begin), np.flatnonzero(end) + 1
+    starts, ends = bounds(data, offsets)
     names = span_hash(BYTE_VALUE[data], starts, ends)
     return Words(data, starts, ends, names, np.searchsorted(starts, offsets))
 
 
+def looked_up(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, find: Callable[[list[bytes]], list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of many byte spans, one after the other, and how many each has. `find` gives the ids of distinct spans
+    as little-endian bytes; spans are told apart by two 64-bit names."""
+    values = BYTE_VALUE[data]
+    names, check = span_hash(values, starts, ends, 0), span_hash(values, starts, ends, 1)
+    _, first, of = np.unique(names, return_index=True, return_inverse=True)
+    if not np.array_equal(check[first][of], check):
+        first = of = np.arange(len(names))
+    raw = data.tobytes()
+    found = find([raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)])
+    size = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+    flat, begin = np.frombuffer(b"".join(found), dtype="<u4"), np.cumsum(size) - size
+    counts = size[of]
+    before = np.cumsum(counts) - counts
+    return flat[np.arange(int(counts.sum())) + np.repeat(begin[of] - before, counts)], counts
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Record batches cut so that each holds about `limit` bytes of text, or one longer text."""
+    """Record batches cut so that each holds about `limit` bytes of text, or one longer text, and few enough rows."""
     for batch in batches:
         if not batch.num_rows:
             continue
         sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
-        cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // limit)) + 1
+        part = np.cumsum(sizes) // limit + np.arange(batch.num_rows) // SLICE_ROWS
+        cuts = np.flatnonzero(np.diff(part)) + 1
         for a, b in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
             yield batch.slice(int(a), int(b - a))
 
@@ -130,3 +160,24 @@ def runs(values: np.ndarray, breaks: np.ndarray | None = None) -> tuple[np.ndarr
         new[breaks[breaks < len(values)]] = True
     starts = np.flatnonzero(new)
     return starts, np.diff(np.append(starts, len(values)))
+
+
+class Recent(dict):
+    """Keeps what was used of late: two generations of at most `limit` entries."""
+
+    def __init__(self, limit: int):
+        super().__init__()
+        self.limit, self.older = limit, {}
+
+    def find(self, key: bytes) -> bytes | None:
+        found = self.get(key)
+        if found is None and key in self.older:
+            found = self.older[key]
+            self.keep(key, found)
+        return found
+
+    def keep(self, key: bytes, value: bytes) -> None:
+        if len(self) >= self.limit:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
