@@ -7,7 +7,8 @@ in step with the old one again. Two tokens fit if merging their bytes by rank wo
 is decided by walking down the merges that made them.
 
 Texts are cut by the pattern first. In a text whose only white space is space and newline the cut never joins what
-stands on both sides of a word's end, so the encoding of "white space and word" is kept per worker and looked up.
+stands on both sides of a word's end, so each distinct "white space and word" of a slice is encoded once, and what was
+used of late is kept per worker.
 
 Defined results: null is the empty text (no tokens); repeated rows and null ids pass through; other columns are ignored.
 """
@@ -16,7 +17,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -26,11 +27,15 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagtrend.llm.words import slices
+from tagtrend.llm.words import Recent, bounds, bytes_of, looked_up, slices
 
-KEPT_UNITS = 200_000
+KEPT_UNITS = 50_000
+KEPT_PIECES = 200_000
 KEPT_SEAMS = 1_000_000
-_UNIT = re.compile(rb"[ \n]*[^ \n]+|[ \n]+")
+LONGEST_KEPT = 256
+DECODED_ROWS = 256
+SLICE_BYTES = 2 << 20
+_ID = next(c for c in "IL" if array(c).itemsize == 4)
 _OTHER_SPACE = regex.compile(r"[^\S \n]")
 _ASCII_SPACE = [bytes([x]) for x in (9, 11, 12, 13, 28, 29, 30, 31)]
 _WIDE_SPACE = [b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a", b"\xe2\x80", b"\xe2\x81", b"\xe3\x80"]  # how the others begin in UTF-8
@@ -84,18 +89,20 @@ class Vocabulary:
         # Undo the later merge of the two sides, step by step; at each step the tokens at the seam stand there until
         # the rank `until`, and a merge across the seam with a lower rank would have come first. Of equal ranks the
         # merge further left comes first.
-        until = 1 << 60
+        until, pair, parts = 1 << 60, self.pair, self.parts
         while True:
-            across = self.pair.get((left, right))
+            across = pair.get((left, right))
             if across is not None and across < until:
                 return False
-            a, b = self.parts.get(left), self.parts.get(right)
-            if a is None and b is None:
-                return True
-            if b is None or (a is not None and left > right):
-                until, left = left, a[1]
-            else:
-                until, right = right + 1, b[0]
+            a = parts.get(left)
+            if a is None or left <= right:
+                b = parts.get(right)
+                if b is not None:
+                    until, right = right + 1, b[0]
+                    continue
+                if a is None:
+                    return True
+            until, left = left, a[1]
 
 
 class PrefixTable:
@@ -155,39 +162,53 @@ class PrefixTable:
         return out[::-1]
 
 
-class Encoder(dict):
-    """Bytes of white space and word -> its ids as little-endian bytes, computed where missing."""
+class Encoder:
+    """Texts to ids as little-endian bytes; pieces, and white space with the word behind it, are kept."""
 
     def __init__(self, vocabulary: Vocabulary):
-        super().__init__()
-        self.vocabulary, self.older = vocabulary, {}
+        self.vocabulary = vocabulary
+        self.units, self.pieces = Recent(KEPT_UNITS), Recent(KEPT_PIECES)
 
-    def __missing__(self, unit: bytes) -> bytes:
-        found = self.older.get(unit)
+    def _piece(self, data: bytes) -> bytes:
+        found = self.pieces.find(data)
         if found is None:
-            found = self.pieces(unit.decode())
-        if len(self) >= KEPT_UNITS:
-            self.older = dict(self)
-            self.clear()
-        self[unit] = found
+            whole = self.vocabulary.ranks.get(data)
+            found = array(_ID, PrefixTable(self.vocabulary, data).tokens() if whole is None else [whole]).tobytes()
+            self.pieces.keep(data, found)
         return found
 
-    def pieces(self, text: str) -> bytes:
-        ids: list[int] = []
-        for piece in self.vocabulary.pattern.findall(text):
-            data = piece.encode()
-            whole = self.vocabulary.ranks.get(data)
-            if whole is not None:
-                ids.append(whole)
-            else:
-                ids += PrefixTable(self.vocabulary, data).tokens()
-        return np.array(ids, dtype="<u4").tobytes()
+    def _unit(self, data: bytes) -> bytes:
+        found = self.units.find(data)
+        if found is None:
+            found = b"".join([self._piece(p.encode()) for p in self.vocabulary.pattern.findall(data.decode())])
+            if len(data) <= LONGEST_KEPT:
+                self.units.keep(data, found)
+        return found
 
-    def encode(self, data: bytes) -> bytes:
-        """The ids of one text given as UTF-8."""
-        if any(x in data for x in _ASCII_SPACE) or (any(x in data for x in _WIDE_SPACE) and _OTHER_SPACE.search(data.decode())):
-            return self.pieces(data.decode())
-        return b"".join(map(self.__getitem__, _UNIT.findall(data)))
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the texts of a slice, one after the other, and how many each text has."""
+        data, offsets = bytes_of(texts.fill_null(""))
+        _, ends = bounds(data, offsets)
+        # a unit ends where a word ends, or with the text; all units together are the text
+        ends = np.union1d(ends, offsets[1:][np.diff(offsets) > 0])
+        starts = np.concatenate([[0], ends[:-1]])[: len(ends)]
+        odd = np.flatnonzero([_odd(t) for t in texts.cast(pa.binary()).to_pylist()])
+        if len(odd):
+            text = np.searchsorted(offsets, starts, side="right") - 1
+            plain = ~np.isin(text, odd)
+            starts, ends = np.append(starts[plain], offsets[odd]), np.append(ends[plain], offsets[odd + 1])
+            order = np.argsort(starts, kind="stable")
+            starts, ends = starts[order], ends[order]
+        ids, counts = looked_up(data, starts, ends, lambda units: [self._unit(u) for u in units])
+        total = np.concatenate([[0], np.cumsum(counts)])
+        return ids, np.diff(total[np.searchsorted(starts, offsets)])
+
+
+def _odd(text: bytes | None) -> bool:
+    """Whether a text has white space other than space and newline, which can join what it stands between."""
+    if not text or not (any(x in text for x in _ASCII_SPACE) or any(x in text for x in _WIDE_SPACE)):
+        return False
+    return _OTHER_SPACE.search(text.decode()) is not None
 
 
 @lru_cache(maxsize=2)
@@ -198,56 +219,75 @@ def encoder(path: str, pattern: str) -> Encoder:
     return Encoder(Vocabulary(ranks, pattern))
 
 
-def encode(documents: DataFrame, path: str, pattern: str) -> DataFrame:
-    """doc_id and ids (array of int) of every row; `path` is the rank file, readable by every executor."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(path, pattern)
-        for batch in slices(batches):
-            found = [coder.encode(t or b"") for t in batch.column("text").cast(pa.binary()).to_pylist()]
-            ends = np.cumsum([0, *(len(x) // 4 for x in found)]).astype(np.int32)
-            flat = np.frombuffer(b"".join(found), dtype="<i4")
+Batches = Iterator[pa.RecordBatch]
+
+
+def _encoded(batches: Batches, path: str, pattern: str) -> Batches:
+    """doc_id, text -> doc_id, ids."""
+    coder = encoder(path, pattern)
+    for batch in slices(batches, limit=SLICE_BYTES):
+        ids, counts = coder.encode(batch.column("text"))
+        ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(ids.view("<i4")))
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists], names=["doc_id", "ids"])
+
+
+def _decoded(batches: Batches, path: str, pattern: str) -> Batches:
+    """doc_id, ids -> doc_id, ids, bytes."""
+    v = encoder(path, pattern).vocabulary
+    for batch in batches:
+        for i in range(0, batch.num_rows, DECODED_ROWS):
+            part = batch.slice(i, DECODED_ROWS)
+            lists = part.column("ids")
+            counts = lists.value_lengths().fill_null(0).to_numpy()
+            ids = lists.flatten().to_numpy().astype(np.int64)
+            size = v.size[ids]
+            ends = np.cumsum(size)
+            at = np.arange(int(size.sum())) + np.repeat(v.begin[ids] - (ends - size), size)
+            cuts = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])].astype(np.int32)
+            data = [None, pa.py_buffer(cuts.tobytes()), pa.py_buffer(v.bytes[at].tobytes())]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["doc_id", "ids"]
+                [part.column("doc_id"), lists, pa.Array.from_buffers(pa.binary(), part.num_rows, data)], names=["doc_id", "ids", "bytes"]
             )
 
-    narrow = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, ids array<int>")
+
+def _digested(batches: Batches) -> Batches:
+    for batch in batches:
+        lists = batch.column("ids")
+        data, ends = lists.flatten().to_numpy().astype("<i4"), np.cumsum([0, *lists.value_lengths().to_pylist()])
+        ids = [hashlib.sha256(data[a:b].tobytes()).hexdigest() for a, b in zip(ends, ends[1:], strict=False)]
+        texts = [hashlib.sha256(x).hexdigest() for x in batch.column("bytes").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array(np.diff(ends), pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string())],
+            names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+        )
+
+
+def _texts(documents: DataFrame) -> DataFrame:
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
+def encode(documents: DataFrame, path: str, pattern: str) -> DataFrame:
+    """doc_id and ids (array of int) of every row; `path` is the rank file, readable by every executor."""
+    return _texts(documents).mapInArrow(lambda x: _encoded(x, path, pattern), "doc_id long, ids array<int>")
 
 
 def decode(tokens: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id, ids and the bytes that the ids stand for; a null list gives no bytes."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = encoder(path, pattern).vocabulary
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            for i in range(0, batch.num_rows, 256):
-                part = batch.slice(i, 256)
-                lists = part.column("ids")
-                counts = lists.value_lengths().fill_null(0).to_numpy()
-                ids = lists.flatten().to_numpy().astype(np.int64)
-                size = v.size[ids]
-                ends = np.cumsum(size)
-                at = np.arange(int(size.sum())) + np.repeat(v.begin[ids] - (ends - size), size)
-                cuts = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
-                data = pa.py_buffer(v.bytes[at].tobytes())
-                binary = pa.Array.from_buffers(pa.binary(), part.num_rows, [None, pa.py_buffer(cuts.astype(np.int32).tobytes()), data])
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists, binary], names=["doc_id", "ids", "bytes"])
-
-    return tokens.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, bytes binary")
-
-
-def digests(decoded: DataFrame) -> DataFrame:
-    """Per document: the number of its ids, and the SHA-256 of them (little-endian unsigned 32-bit) and of its bytes."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column("ids")
-            data, ends = lists.flatten().to_numpy().astype("<i4"), np.cumsum([0, *lists.value_lengths().to_pylist()])
-            ids = [hashlib.sha256(data[a:b].tobytes()).hexdigest() for a, b in zip(ends, ends[1:], strict=False)]
-            texts = [hashlib.sha256(x).hexdigest() for x in batch.column("bytes").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.diff(ends), pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string())],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+    return tokens.select("doc_id", "ids").mapInArrow(lambda x: _decoded(x, path, pattern), "doc_id long, ids array<int>, bytes binary")
+
+
+def round_trip(documents: DataFrame, path: str, pattern: str) -> DataFrame:
+    """`decode` of `encode` in one pass of the tasks: doc_id, ids, bytes."""
+    return _texts(documents).mapInArrow(
+        lambda x: _decoded(_encoded(x, path, pattern), path, pattern), "doc_id long, ids array<int>, bytes binary"
+    )
+
 
-    return decoded.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+def digests(documents: DataFrame, path: str, pattern: str) -> DataFrame:
+    """Per document of `round_trip`: the number of ids, and the SHA-256 of them (little-endian unsigned 32-bit) and of
+    the decoded bytes. Only the digests leave the task."""
+    return _texts(documents).mapInArrow(
+        lambda x: _digested(_decoded(_encoded(x, path, pattern), path, pattern)),
+        "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string",
+    )

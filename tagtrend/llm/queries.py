@@ -78,8 +78,7 @@ def op9_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path, pattern = vocabulary("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    tokens = prefix_bpe.encode(table(spark, sf_dir, "documents"), path, pattern)
-    return prefix_bpe.digests(prefix_bpe.decode(tokens, path, pattern))
+    return prefix_bpe.digests(table(spark, sf_dir, "documents"), path, pattern)
 
 
 @_query
