@@ -32,6 +32,7 @@ NONZEROS = 4
 REACH = 2
 HIDDEN = 32
 STEPS = 1_500
+SLICE_BYTES = 1 << 19
 _CLASS = np.full(256, 2, dtype=np.uint8)  # 0 blank, 1 letter or digit, 2 mark
 _CLASS[BLANK] = 0
 for _a, _b in ((48, 58), (65, 91), (97, 123), (128, 256)):
@@ -177,7 +178,7 @@ def fit(documents: DataFrame, labels: DataFrame, learn_from: Column, max_labelle
     if not good.any() or good.all():
         empty = np.zeros(0)
         return Model(empty, empty, empty, (empty,) * 4, 1.0, float(good.mean()) if len(good) else 0.5)
-    parts = [b.column("text") for b in slices(iter(rows.to_batches()))]
+    parts = [b.column("text") for b in slices(iter(rows.to_batches()), limit=SLICE_BYTES)]
     table = word_vectors(iter(parts))
     features = np.vstack([pooled(p, table) for p in parts])
     held = (mix(rows.column("doc_id").to_numpy().astype(np.int64).view(np.uint64), 3) % np.uint64(5)) == 0
@@ -192,7 +193,7 @@ def scored(documents: DataFrame, model: Model, name: str = "score") -> DataFrame
     rows = documents.drop(name)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SLICE_BYTES):
             yield batch.append_column(name, pa.array(shared.value.scores(batch.column("text")), pa.float64()))
 
     return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField(name, DoubleType())]))
