@@ -149,7 +149,7 @@ def test_scores_are_a_distribution():
     order = np.argsort(names, kind="stable")
     word, n = np.unique(names, return_counts=True)
     body = [np.array([len(word), 3000], "<u4"), word, n.astype("<u4"), classes[order], np.zeros(3000, "<u4")]
-    blob = pa.StructArray.from_arrays([pa.array([0]), pa.array([b"".join(x.tobytes() for x in body)])], names=["block", "payload"])
+    blob = pa.StructArray.from_arrays([pa.array([0]), pa.array([pitman_yor.packed(b"".join(x.tobytes() for x in body))])], names=["block", "payload"])
     totals = pitman_yor.Totals(parts=1, hot=np.zeros(0, dtype=np.uint64))
     part = pitman_yor.Part(0, blob, totals)
     totals.words, totals.tokens = len(word), 3000
