@@ -136,3 +136,26 @@ def test_near_copies_of_awkward_rows(awkward, nothing, clashing):
     assert kept.where("doc_id IS NULL").count() == 1
     assert one_of_each(nothing).count() == 0
     assert one_of_each(clashing).columns == clashing.columns
+
+
+def kept_of(spark, texts):
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {r["doc_id"] for r in one_of_each(frame).collect()}
+
+
+def greedy(texts):
+    sets, want = [shingles(t) for t in texts], []
+    for i, mine in enumerate(sets):
+        if not any(len(mine & sets[k]) >= 0.8 * len(mine | sets[k]) for k in want):
+            want.append(i)
+    return set(want)
+
+
+def test_near_copies_meet_beside_a_smaller_id_of_the_same_words(spark):
+    rng = random.Random(6)
+    texts = []
+    for g in range(5):
+        base = [f"g{g}w{i}" for i in range(150)]
+        moved = [*base[:70], base[71], base[70], *base[72:]]
+        texts += [" ".join(rng.sample(base, len(base))), " ".join(base), " ".join(moved)]
+    assert kept_of(spark, texts) == greedy(texts) == {i for i in range(15) if i % 3 != 2}
