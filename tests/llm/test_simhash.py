@@ -159,3 +159,17 @@ def test_near_copies_meet_beside_a_smaller_id_of_the_same_words(spark):
         moved = [*base[:70], base[71], base[70], *base[72:]]
         texts += [" ".join(rng.sample(base, len(base))), " ".join(base), " ".join(moved)]
     assert kept_of(spark, texts) == greedy(texts) == {i for i in range(15) if i % 3 != 2}
+
+
+@pytest.mark.parametrize("edit,sizes", [("appended", (50, 35, 22)), ("cut", (40, 30, 20)), ("inserted", (41, 26, 13))])
+def test_near_copies_with_a_block_edited(spark, edit, sizes):
+    """Similarities of 0.80, 0.85 and 0.90 to the text before."""
+    texts = []
+    for size, least in zip(sizes, (0.8, 0.85, 0.9), strict=True):
+        for g in range(10):
+            base, block = [f"{size}g{g}w{i}" for i in range(204)], [f"{size}g{g}b{i}" for i in range(size)]
+            copy = {"appended": base + block, "cut": base[:-size], "inserted": base[:90] + block + base[90:]}[edit]
+            texts += [" ".join(base), " ".join(copy)]
+            one, two = shingles(texts[-2]), shingles(texts[-1])
+            assert least <= len(one & two) / len(one | two) < least + 0.01
+    assert kept_of(spark, texts) == set(range(0, len(texts), 2))  # recall 1
