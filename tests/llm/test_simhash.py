@@ -7,6 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
+from tagtrend.llm import near_copies
 from tagtrend.llm.components import components
 from tagtrend.llm.near_copies import one_of_each
 from tagtrend.llm.simhash import ball, hexadecimal, links, majority, near_duplicates, shingle_hashes, xxh64
@@ -173,3 +174,16 @@ def test_near_copies_with_a_block_edited(spark, edit, sizes):
             one, two = shingles(texts[-2]), shingles(texts[-1])
             assert least <= len(one & two) / len(one | two) < least + 0.01
     assert kept_of(spark, texts) == set(range(0, len(texts), 2))  # recall 1
+
+
+@pytest.mark.parametrize("setting", [{}, {"PART_TEXTS": 4}, {"PAIRS_PER_ROW": 0}])
+def test_near_copies_in_chains_leave_only_for_kept_ones(spark, monkeypatch, setting):
+    """One result, whatever the size of a set of linked texts and however its pairs are listed."""
+    for name, value in setting.items():
+        monkeypatch.setattr(near_copies, name, value, raising=False)
+    rng = random.Random(7)
+    words = [f"w{i}" for i in range(1200)]
+    texts = [" ".join(words[a : a + 204]) for a in range(0, 960, 20)]
+    texts += [" ".join(["x", *words[:203], f"y{i}"]) for i in range(12)]
+    rng.shuffle(texts)
+    assert kept_of(spark, texts) == greedy(texts)
