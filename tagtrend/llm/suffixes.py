@@ -2,8 +2,8 @@
 
 A suffix is kept at the position of the smallest `k`-word fingerprint among the first `reach` positions of a window,
 so every window holds a kept suffix that begins in it and has at least `width - reach + 1` words left in it. Suffixes
-are ordered by the name of that many first words; neighbours with equal names match that far and are extended left
-and right to whole windows, which are then compared by content.
+are ordered by the name (a hash) of that many first words; neighbours with equal names propose the windows that they
+stand for, which are then compared by content. No match is extended.
 
 Defined results are those of `recompression`: null text has no words, short texts and rows without an id keep
 everything, a document does not repeat itself, other columns are ignored.
