@@ -17,9 +17,3 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-def values(df, *columns):
-    """Rows as sorted tuples."""
-    rows = df.select(*columns).collect() if columns else df.collect()
-    return sorted((tuple(r) for r in rows), key=repr)

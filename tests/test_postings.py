@@ -3,7 +3,7 @@
 from datetime import date
 
 import pytest
-from conftest import values
+from helpers import values
 from pyspark.sql import functions as F
 
 from tagtrend.plans import posting_values as p

@@ -1,7 +1,7 @@
 import glob
 import json
 
-from conftest import values
+from helpers import values
 from pyspark.sql import functions as F
 
 from tagtrend.operators import dedup, neighbours

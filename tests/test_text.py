@@ -1,7 +1,7 @@
 import re
 
 import pytest
-from conftest import values
+from helpers import values
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

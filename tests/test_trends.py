@@ -2,7 +2,7 @@ import json
 
 import golden as g
 import pytest
-from conftest import values
+from helpers import values
 from pyspark.sql import functions as F
 
 from tagtrend.operators import counts, rates, seasons, segments, timeline

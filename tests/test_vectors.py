@@ -1,6 +1,6 @@
 import numpy as np
 import pytest
-from conftest import values
+from helpers import values
 from pyspark.sql import functions as F
 
 from tagtrend.functions.vectors import to_vector, unit_vectors
