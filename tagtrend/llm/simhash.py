@@ -22,13 +22,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagtrend.llm.components import components
-from tagtrend.llm.store import stage
+from tagtrend.llm.store import fresh, small_side, stage
 from tagtrend.llm.words import BLANK, Words, slices, words_of
 
 BITS = 64
 SEED = 42
 RADIUS = 2
 SHINGLE = 3
+MAX_BROADCAST = 500_000  # names of rows, 8 bytes each; beyond it the join shuffles
 # fixed values: the five primes of XXH64
 _P1, _P2, _P3, _P4, _P5 = (
     np.uint64(x) for x in (11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261)
@@ -122,15 +123,18 @@ def shingle_hashes(words: Words, shingle: int) -> tuple[np.ndarray, np.ndarray]:
     return xxh64(data, begin[head], begin[tail] + (words.ends - words.starts)[tail]), first
 
 
-def fingerprints(documents: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and fingerprint (as a signed long) of every row."""
+def fingerprints(documents: DataFrame, shingle: int = SHINGLE, carried: str | None = None) -> DataFrame:
+    """doc_id and fingerprint (as a signed long) of every row, and a long column `carried` along if it is named."""
+    names = ["doc_id", "fingerprint"] + [carried] * bool(carried)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             found = majority(*shingle_hashes(words_of(batch.column("text"), lower=True), shingle))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64))], names=["doc_id", "fingerprint"])
+            kept = [batch.column("doc_id"), pa.array(found.view(np.int64))] + [batch.column(n) for n in names[2:]]
+            yield pa.RecordBatch.from_arrays(kept, names=names)
 
-    narrow = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, fingerprint long")
+    narrow = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *names[2:])
+    return narrow.mapInArrow(run, ", ".join(f"`{n}` long" for n in names))
 
 
 def ball(half: int) -> list[int]:
@@ -153,16 +157,36 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     return pairs.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)
 
 
-def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """doc_id, fingerprint (long) and component_id, the smallest doc_id of the documents reachable by links."""
-    prints = stage(fingerprints(documents, shingle), "simhash-prints")
+def _rooted(prints: DataFrame, radius: int) -> DataFrame:
+    """The smallest fingerprint reachable from each row's own as `root`."""
     roots = components(links(prints, radius), "a", "b", "simhash")
-    rooted = prints.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").withColumn(
+    return prints.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").withColumn(
         "root", F.coalesce("root", "fingerprint")
     )
+
+
+def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """doc_id, fingerprint (long) and component_id, the smallest doc_id of the documents reachable by links."""
+    rooted = _rooted(stage(fingerprints(documents, shingle), "simhash-prints"), radius)
     lowest = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return rooted.join(lowest, "root").select("doc_id", "fingerprint", "component_id")
 
 
+def one_of_each(documents: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """The documents of which each component keeps the one with the smallest id, with all their columns.
+
+    A row is known by the hash of its id and text, so that rows which share an id but not a text are judged apart;
+    repeated rows are one document and stay together. Rows without an id stay only where their whole component has
+    none, the one of smallest hash. The names of the rows that go are broadcast if they are few, so that no text is
+    shuffled; otherwise they are joined by a shuffle.
+    """
+    row = fresh("_row", documents.columns)
+    named = documents.withColumn(row, F.xxhash64("doc_id", "text"))
+    rooted = stage(_rooted(stage(fingerprints(named, shingle, row), "simhash-prints"), radius), "simhash-rooted")
+    first = rooted.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", row))[row].alias("first"))
+    gone = rooted.join(first, "root").where(F.col(row) != F.col("first")).select(row).distinct()
+    return named.join(small_side(gone, MAX_BROADCAST), row, "left_anti").select(*documents.columns)
+
+
 def hexadecimal(column: str) -> Column:
     return F.lower(F.lpad(F.hex(column), 16, "0"))

@@ -6,9 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
-from tagtrend.session import stage
+from tagtrend.session import small_side, stage
 
-__all__ = ["fresh", "shuffle_tasks", "stage"]
+__all__ = ["fresh", "shuffle_tasks", "small_side", "stage"]
 
 
 def shuffle_tasks(spark: SparkSession) -> int:

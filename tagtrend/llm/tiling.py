@@ -25,13 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagtrend.llm.store import fresh
+from tagtrend.llm.store import fresh, small_side
 from tagtrend.llm.words import Words, slices, window_hash, words_of
 
 SEED = 5
 COVERAGE = 0.6
 BLOCK_WORDS = 200_000
 _FILTER_BITS = 20
+MAX_BROADCAST = 500_000  # names of rows, 8 bytes each; beyond it the join shuffles
 MATCH = "doc_id long, item_id long, n_words int, n_covered int, tiles array<struct<item_start:int,doc_start:int,length:int>>"
 _TILES = pa.list_(pa.struct([("item_start", pa.int32()), ("doc_start", pa.int32()), ("length", pa.int32())]))
 
@@ -154,8 +155,9 @@ def matches(documents: DataFrame, benchmark: DataFrame, seed: int = SEED, covera
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame, seed: int = SEED, coverage: float = COVERAGE) -> DataFrame:
     """The documents that no benchmark item contaminates, with all their columns; rows without an id are judged by a
-    name of their text."""
+    name of their text. The names of the leaked rows are broadcast if they are few, so that no text is shuffled."""
     row = fresh("_row", documents.columns)
     named = documents.withColumn(row, F.xxhash64("doc_id", "text"))
     leaked = matches(named.select(F.col(row).alias("doc_id"), "text"), benchmark, seed, coverage)
-    return named.join(leaked.select(F.col("doc_id").alias(row)).distinct(), row, "left_anti").select(*documents.columns)
+    gone = small_side(leaked.select(F.col("doc_id").alias(row)).distinct(), MAX_BROADCAST)
+    return named.join(gone, row, "left_anti").select(*documents.columns)

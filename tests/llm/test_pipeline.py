@@ -22,7 +22,7 @@ def planted(spark, tmp_path_factory):
     item = spark.read.parquet(f"{FOLDER}/benchmark.parquet").first()["text"]
     passage, base = fresh(70), fresh(300)
     near = list(base)
-    near[100], near[200] = "altered", "words"
+    near[299] = "altered"  # one shingle of 298
     rows = {
         5000: base, 5001: base, 5002: near, 5003: fresh(150) + passage + fresh(20), 5004: fresh(30) + passage + fresh(150),
         5005: fresh(60) + item.split() + fresh(60), 5006: [w + "***" for w in fresh(200)], 5007: fresh(250),

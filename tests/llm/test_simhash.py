@@ -7,10 +7,9 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
-from tagtrend.llm import near_copies
+from tagtrend.llm import simhash
 from tagtrend.llm.components import components
-from tagtrend.llm.near_copies import one_of_each
-from tagtrend.llm.simhash import ball, hexadecimal, links, majority, near_duplicates, shingle_hashes, xxh64
+from tagtrend.llm.simhash import ball, hexadecimal, links, majority, near_duplicates, one_of_each, shingle_hashes, xxh64
 from tagtrend.llm.words import LOWER, words_of
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -101,89 +100,49 @@ def test_near_duplicates(spark, awkward, nothing, clashing):
     assert near_duplicates(nothing).count() == 0
 
 
-def shingles(text):
-    words = (text or "").lower().split()
-    return {" ".join(words[i : i + 5]) for i in range(len(words) - 4)} or {" ".join(words)}
+def kept_by_brute_force(rows):
+    """The first row by (id, none last) of every component of fingerprints."""
+    prints = [brute_print(t) for _, t in rows]
+    distinct = sorted(set(prints))
+    root = roots(distinct, [(a, b) for a in distinct for b in distinct if (a ^ b).bit_count() <= 2])
+    best = {}
+    for (d, _), p in zip(rows, prints, strict=True):
+        best[root[p]] = min(best.get(root[p], (True, 0)), (d is None, d or 0))
+    return sorted((not none, d) for none, d in best.values())
 
 
-def test_near_copies_leave_once(spark, tiny_batches):
+def test_one_of_each_keeps_the_first_of_every_component(spark, tiny_batches):
     rng = random.Random(5)
     vocabulary = [f"v{i}" for i in range(3000)]
     rows = []
-    for i in range(30):
+    for _ in range(30):
         base = [rng.choice(vocabulary) for _ in range(200)]
         rows.append(" ".join(base))
-        for edits in (0, 1, 2, 3, 60):
+        for edits in (0, 1, 2, 60):
             copy = list(base)
             for at in rng.sample(range(200), edits):
                 copy[at] = rng.choice(vocabulary)
             rows.append(" ".join(copy))
-    frame = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
-    kept = {r["doc_id"] for r in one_of_each(frame).collect()}
-    alike = lambda a, b: len(a & b) >= 0.8 * len(a | b)
-    sets = [shingles(t) for t in rows]
-    want = []
-    for i in range(len(rows)):
-        if not any(alike(sets[i], sets[k]) for k in want):
-            want.append(i)
-    assert kept == set(want)
-
-
-def test_near_copies_of_awkward_rows(awkward, nothing, clashing):
+    rows = list(enumerate(rows))
+    rng.shuffle(rows)
+    kept = one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((True, r["doc_id"]) for r in kept) == kept_by_brute_force(rows)
+    assert len(kept) < 120
+
+
+@pytest.mark.parametrize("limit", [simhash.MAX_BROADCAST, 0])
+def test_one_of_each_of_awkward_rows(awkward, nothing, clashing, monkeypatch, limit):
+    monkeypatch.setattr(simhash, "MAX_BROADCAST", limit)
     kept = one_of_each(awkward)
     assert kept.columns == awkward.columns
-    # 2 is a copy of 1, 4 of 3 (null and empty are one text), 5 has no words either, 7 repeats what 6 repeats
-    assert sorted(r["doc_id"] for r in kept.where("doc_id IS NOT NULL").collect()) == [1, 3, 6, 8, 9, 10, 10]
-    assert kept.where("doc_id IS NULL").count() == 1
+    # 2 and the row without an id are copies of 1; null, empty and blank texts are alike; so are 6 and 7; 10 is one document twice
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3, 6, 8, 9, 10, 10]
+    assert one_of_each(awkward.where("doc_id IS NULL")).count() == 1
     assert one_of_each(nothing).count() == 0
     assert one_of_each(clashing).columns == clashing.columns
 
 
-def kept_of(spark, texts):
-    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    return {r["doc_id"] for r in one_of_each(frame).collect()}
-
-
-def greedy(texts):
-    sets, want = [shingles(t) for t in texts], []
-    for i, mine in enumerate(sets):
-        if not any(len(mine & sets[k]) >= 0.8 * len(mine | sets[k]) for k in want):
-            want.append(i)
-    return set(want)
-
-
-def test_near_copies_meet_beside_a_smaller_id_of_the_same_words(spark):
-    rng = random.Random(6)
-    texts = []
-    for g in range(5):
-        base = [f"g{g}w{i}" for i in range(150)]
-        moved = [*base[:70], base[71], base[70], *base[72:]]
-        texts += [" ".join(rng.sample(base, len(base))), " ".join(base), " ".join(moved)]
-    assert kept_of(spark, texts) == greedy(texts) == {i for i in range(15) if i % 3 != 2}
-
-
-@pytest.mark.parametrize("edit,sizes", [("appended", (50, 35, 22)), ("cut", (40, 30, 20)), ("inserted", (41, 26, 13))])
-def test_near_copies_with_a_block_edited(spark, edit, sizes):
-    """Similarities of 0.80, 0.85 and 0.90 to the text before."""
-    texts = []
-    for size, least in zip(sizes, (0.8, 0.85, 0.9), strict=True):
-        for g in range(10):
-            base, block = [f"{size}g{g}w{i}" for i in range(204)], [f"{size}g{g}b{i}" for i in range(size)]
-            copy = {"appended": base + block, "cut": base[:-size], "inserted": base[:90] + block + base[90:]}[edit]
-            texts += [" ".join(base), " ".join(copy)]
-            one, two = shingles(texts[-2]), shingles(texts[-1])
-            assert least <= len(one & two) / len(one | two) < least + 0.01
-    assert kept_of(spark, texts) == set(range(0, len(texts), 2))  # recall 1
-
-
-@pytest.mark.parametrize("setting", [{}, {"PART_TEXTS": 4}, {"PAIRS_PER_ROW": 0}])
-def test_near_copies_in_chains_leave_only_for_kept_ones(spark, monkeypatch, setting):
-    """One result, whatever the size of a set of linked texts and however its pairs are listed."""
-    for name, value in setting.items():
-        monkeypatch.setattr(near_copies, name, value, raising=False)
-    rng = random.Random(7)
-    words = [f"w{i}" for i in range(1200)]
-    texts = [" ".join(words[a : a + 204]) for a in range(0, 960, 20)]
-    texts += [" ".join(["x", *words[:203], f"y{i}"]) for i in range(12)]
-    rng.shuffle(texts)
-    assert kept_of(spark, texts) == greedy(texts)
+def test_rows_that_share_an_id_but_not_a_text_are_judged_apart(spark):
+    rows = [(1, "a b c d e"), (2, "a b c d e"), (2, "quite another text stands here")]
+    kept = one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["text"][0]) for r in kept) == [(1, "a"), (2, "q")]
