@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagtrend.llm import near_copies, prefix_bpe, quality_model, recompression, tiling
+from tagtrend.llm import prefix_bpe, quality_model, recompression, simhash, tiling
 from tagtrend.llm.queries import crc_remainder, vocabulary
 from tagtrend.llm.store import fresh, stage
 
@@ -28,8 +28,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of exact and near copies (five-word shingles, similarity 0.8)."""
-    return near_copies.one_of_each(docs).select(*docs.columns)
+    """One document of each group of exact and near copies (fingerprints of three-word shingles, at most two bits apart)."""
+    return simhash.one_of_each(docs).select(*docs.columns)
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
