@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagtrend.llm import pfor, pitman_yor, prefix_bpe, quality_model
+from tagtrend.llm import alignment, pfor, pitman_yor, prefix_bpe, quality_model
 from tagtrend.llm.decision_list import judged
 from tagtrend.llm.recompression import substring_dedup
 from tagtrend.llm.sharding import with_slots, write_shards
@@ -132,3 +132,9 @@ def op10_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pitman_yor.scored(table(spark, sf_dir, "documents"), crc_remainder("doc_id", 7) == 2).select(
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
+
+
+@_query
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of every document's ids by two tokenizers, and how often its links occur in all documents."""
+    return alignment.digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
