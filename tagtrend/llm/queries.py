@@ -14,6 +14,7 @@ from tagtrend.llm.sharding import with_slots, write_shards
 from tagtrend.llm.simhash import hexadecimal, near_duplicates
 from tagtrend.llm.suffixes import suffix_dedup
 from tagtrend.llm.tiling import matches
+from tagtrend.llm.tree_forest import near_vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -138,3 +139,9 @@ def op10_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups and links of every document's ids by two tokenizers, and how often its links occur in all documents."""
     return alignment.digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
+@_query
+def op12_tree_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector at a cosine of 0.95, found in the leaves of a random-projection forest."""
+    return near_vectors(table(spark, sf_dir, "embeddings"))
