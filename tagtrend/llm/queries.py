@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagtrend.llm import alignment, pfor, pitman_yor, prefix_bpe, quality_model
+from tagtrend.llm.anchor_bounds import hard_negatives
 from tagtrend.llm.decision_list import judged
 from tagtrend.llm.recompression import substring_dedup
 from tagtrend.llm.sharding import with_slots, write_shards
@@ -145,3 +146,29 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_tree_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and component of every vector at a cosine of 0.95, found in the leaves of a random-projection forest."""
     return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@_query
+def op13_anchor_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, by bounds along a spanning tree of these."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
+ORACLES["op13_anchor_bounds"] = """WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+[floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS q FROM embeddings
+WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT a.vec_id AS anchor_id, x.vec_id AS id, a.label = x.label AS same, CAST(list_inner_product(a.q, x.q) AS BIGINT) AS score
+FROM r a JOIN r x ON a.vec_id <> x.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, id, score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (SELECT p.anchor_id, p.id AS positive_id, s.id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id) AS rank
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5"""
+ORACLES["op12_tree_forest"] = """WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0 AND len([1 FOR x IN embedding IF x <> 0]) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95),
+c AS (SELECT a AS vec_id, a AS reached FROM l UNION SELECT c.vec_id, l.b FROM c JOIN l ON c.reached = l.a),
+m AS (SELECT vec_id, min(reached) AS lowest FROM c GROUP BY vec_id), n AS (SELECT a AS vec_id, count(*) AS links FROM l GROUP BY a)
+SELECT e.vec_id, coalesce(n.links, 0) AS n_links, coalesce(m.lowest, e.vec_id) AS component_id, e.vec_id = coalesce(m.lowest, e.vec_id) AS kept
+FROM embeddings e LEFT JOIN m USING (vec_id) LEFT JOIN n USING (vec_id)"""
