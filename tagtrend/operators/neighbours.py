@@ -1,4 +1,4 @@
-"""Exact and bucketed top-k similarity between a query table and a vector collection."""
+"""Exact top-k similarity between a query table and a vector collection."""
 
 from __future__ import annotations
 
@@ -13,15 +13,14 @@ from pyspark.sql import functions as F
 ROWS_PER_BLOCK = 32_768
 QUERIES_PER_BLOCK = 4_096
 MAX_BROADCAST_KEYS = 100_000
-TABLES = 12
-BITS = 6
 _SLICE = 256
 _SPARSE_SLICE = 64
 
 
-def _unit(vectors: pa.ChunkedArray) -> np.ndarray:
+def unit_rows(vectors: pa.ChunkedArray | pa.Array) -> np.ndarray:
     """Unit rows of an Arrow list column, read as one flat buffer."""
-    flat = pa.concat_arrays([chunk.flatten() for chunk in vectors.chunks])
+    chunks = vectors.chunks if isinstance(vectors, pa.ChunkedArray) else [vectors]
+    flat = pa.concat_arrays([chunk.flatten() for chunk in chunks])
     matrix = flat.to_numpy(zero_copy_only=False).astype("float64", copy=False).reshape(len(vectors), -1)
     norms = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
     return matrix / np.where(norms == 0, 1.0, norms)
@@ -40,7 +39,7 @@ def _sparse(vectors: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarra
 def _scores(queries: pa.ChunkedArray, rows: pa.ChunkedArray) -> Iterator[np.ndarray]:
     """Cosines of a slice of queries with all rows, slice by slice."""
     if not pa.types.is_struct(queries.type):
-        wanted, collection = _unit(queries), _unit(rows)
+        wanted, collection = unit_rows(queries), unit_rows(rows)
         for start in range(0, len(wanted), _SLICE):
             yield np.round(wanted[start : start + _SLICE] @ collection.T, 9)
         return
@@ -127,7 +126,6 @@ def top_k_similar(
     on: Sequence[tuple[str, str]] = (),
     rows_per_block: int = ROWS_PER_BLOCK,
     queries_per_block: int = QUERIES_PER_BLOCK,
-    repeated_rows: bool = False,
 ) -> DataFrame:
     """`query_id, rank, row_id, score`: the `k` rows of greatest cosine per query, ties to the smaller id.
 
@@ -136,8 +134,7 @@ def top_k_similar(
     bounded size per filter value, each pair of blocks is one matrix product in a task, and only the best
     `k` per query leave the task. No pair of rows is ever emitted, a hot filter value is just more blocks,
     and no task holds more than one block of each side. Vectors are arrays, or structs of indices and values where they
-    are sparse. `repeated_rows` says that a row may
-    share several filter values with a query and must count once.
+    are sparse.
     """
     keys = [f"_on{i}" for i in range(len(on))] or ["_on0"]
     q_on = [F.col(q).alias(n) for (q, _), n in zip(on, keys)] or [F.lit(0).alias("_on0")]
@@ -158,62 +155,9 @@ def top_k_similar(
         .cogroup(c_blocks.groupBy(*cell))
         .applyInArrow(lambda a, b: _block_top_k(a, b, k), f"_query {id_type}, _id {row_type}, score double")
     )
-    if repeated_rows:
-        partial = partial.dropDuplicates(["_query", "_id"])
     best = Window.partitionBy("_query").orderBy(F.desc("score"), "_id")
     return (
         partial.withColumn("rank", F.row_number().over(best))
         .where(F.col("rank") <= k)
         .select(F.col("_query").alias(query_id), "rank", F.col("_id").alias(row_id), "score")
     )
-
-
-def hash_planes(width: int, tables: int = TABLES, bits: int = BITS, seed: int = 42) -> np.ndarray:
-    """The normals of the hash planes, `tables * bits` rows: constants of the plan that follow from the seed."""
-    return np.round(np.random.Generator(np.random.PCG64(seed)).normal(size=(tables * bits, width)), 3)
-
-
-def _buckets(df: DataFrame, ident: str, vector: str, tables: int, bits: int, seed: int) -> DataFrame:
-    """`_key, _values, _bucket`: a row's bucket in each table, the sides of the table's planes on which it lies."""
-    kind = df.schema[ident].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                rows = _unit(pa.chunked_array([batch.column("_values")]))
-                side = (rows @ hash_planes(rows.shape[1], tables, bits, seed).T >= 0).reshape(len(rows), tables, bits)
-                cell = (side << np.arange(bits)).sum(axis=2) + (np.arange(tables) << bits)
-                lists = pa.FixedSizeListArray.from_arrays(pa.array(cell.astype(np.int64).ravel()), tables)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("_key"), batch.column("_values"), lists.cast(pa.list_(pa.int64()))], names=["_key", "_values", "_cells"]
-                )
-
-    rows = df.select(F.col(ident).alias("_key"), F.col(vector).cast("array<double>").alias("_values")).where(F.col(vector).isNotNull())
-    hashed = rows.mapInArrow(run, f"_key {kind}, _values array<double>, _cells array<long>")
-    return hashed.select(F.col("_key").alias(ident), "_values", F.explode("_cells").alias("_bucket"))
-
-
-def lsh_neighbours(
-    queries: DataFrame,
-    collection: DataFrame,
-    k: int = 5,
-    *,
-    query_id: str,
-    query_vector: str,
-    row_id: str,
-    row_vector: str,
-    tables: int = TABLES,
-    bits: int = BITS,
-    seed: int = 42,
-) -> DataFrame:
-    """Approximate `top_k_similar`: a query meets only the rows that share a bucket with it in one of the tables.
-
-    A bucket is the signs of the projections on `bits` random directions, so it depends on the direction of a vector
-    and not on its length; two vectors at angle a share it with probability (1 - a/pi)^bits, and unrelated ones in
-    one table of 2^bits. Buckets are the equality filter of the exact search, so a crowded one is split as well.
-    """
-    return top_k_similar(
-        _buckets(queries, query_id, query_vector, tables, bits, seed), _buckets(collection, row_id, row_vector, tables, bits, seed),
-        k, query_id=query_id, query_vector="_values", row_id=row_id, row_vector="_values", on=[("_bucket", "_bucket")],
-        repeated_rows=True,
-    )

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagtrend.functions.vectors import to_vector, unit_vectors
-from tagtrend.operators import clusters, counts, neighbours, rates, vectors
+from tagtrend.operators import cells, clusters, counts, neighbours, rates, vectors
 from tagtrend.plans import views
 from tagtrend.plans import vocabulary as v
 from tagtrend.plans.catalog.registry import DOCUMENTS, query, rounded, sql_rates
+from tagtrend.session import fresh_path
 
 _RECORDS = f"SELECT label AS cluster, lang, source, tags_all FROM embeddings JOIN ({DOCUMENTS}) ON vec_id = doc_id"
 
@@ -18,8 +19,6 @@ def _ranked(column: str) -> str:
     return f"SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY n DESC, value) AS rk FROM (SELECT cluster, {column} AS value, count(*) AS n FROM rec GROUP BY ALL)"
 
 
-WIDTH = 64  # of the given embeddings
-
 PROFILE = f"""WITH rec AS ({_RECORDS}),
 lg AS ({_ranked('lang')}), sr AS ({_ranked('source')}),
 tk AS (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY n DESC, value) AS rk FROM (SELECT cluster, value, count(*) AS n
@@ -77,47 +76,60 @@ def mean_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _knn_sql(condition: str) -> str:
-    return f"""SELECT label, CAST(row_number() OVER (PARTITION BY label ORDER BY s DESC, vec_id) AS INTEGER) AS rank, vec_id, round(s, 6) AS score FROM (
-SELECT q.label, e.vec_id, round(list_cosine_similarity(q.v, CAST(e.embedding AS DOUBLE[])), 9) AS s
-FROM (SELECT label, list(m ORDER BY i) AS v FROM ({_MEANS}) GROUP BY 1) q JOIN embeddings e ON {condition}) QUALIFY rank <= 5"""
+    return f"""SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY s DESC, vec_id) AS INTEGER) AS rank, vec_id, round(s, 6) AS score FROM (
+SELECT q.vec_id AS query_id, e.vec_id, round(list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[])), 9) AS s
+FROM (SELECT * FROM embeddings WHERE vec_id % 20 = 0) q JOIN embeddings e ON {condition}) QUALIFY rank <= 5"""
+
+
+def _asked(collection: DataFrame) -> DataFrame:
+    """The stated query set: every row whose id is divisible by 20."""
+    return collection.where(F.col("vec_id") % 20 == 0).withColumnRenamed("vec_id", "query_id")
 
 
-def _near_means(spark: SparkSession, sf_dir: str, on: list[tuple[str, str]], search=neighbours.top_k_similar) -> DataFrame:
+def _nearest(spark: SparkSession, sf_dir: str, on: list[tuple[str, str]]) -> DataFrame:
     collection = views.table(spark, sf_dir, "embeddings")
-    queries = vectors.mean_vectors(collection, "label", "embedding")
-    extra = {"on": on} if on else {}
-    return search(
-        queries, collection.withColumnRenamed("label", "group"), 5, query_id="label", query_vector="mean",
-        row_id="vec_id", row_vector="embedding", **extra,
+    near = neighbours.top_k_similar(
+        _asked(collection), collection, 5, query_id="query_id", query_vector="embedding", row_id="vec_id", row_vector="embedding", on=on
     )
+    return rounded(near, "score")
 
 
 @query(_knn_sql("true"))
 def knn_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The five vectors nearest to each group's mean, over the whole collection."""
-    return rounded(_near_means(spark, sf_dir, []), "score")
+    """The five vectors nearest to each of the query set, over the whole collection."""
+    return _nearest(spark, sf_dir, [])
 
 
 @query(_knn_sql("e.label = q.label"))
 def knn_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The five vectors nearest to each group's mean among the group's own."""
-    return rounded(_near_means(spark, sf_dir, [("label", "group")]), "score")
+    """The five vectors nearest to each of the query set among those of its own group."""
+    return _nearest(spark, sf_dir, [("label", "label")])
 
 
-_PLANES = ", ".join(
-    f"({i // neighbours.BITS}, {i % neighbours.BITS}, {[float(x) for x in plane]})" for i, plane in enumerate(neighbours.hash_planes(WIDTH))
-)
-_BUCKETED = """SELECT key, v, t, sum(CASE WHEN list_dot_product(v, p) >= 0 THEN 1 << b ELSE 0 END) AS bucket FROM {0}, planes GROUP BY ALL"""
+def _cell_index(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    collection = views.table(spark, sf_dir, "embeddings")
+    path = fresh_path(spark, "cells")
+    cells.build_cells(collection, path, row_id="vec_id", vector="embedding")
+    return path, _asked(collection)
 
 
-@query(f"""WITH planes(t, b, p) AS (VALUES {_PLANES}),
-q AS (SELECT label AS key, list(m ORDER BY i) AS v FROM ({_MEANS}) GROUP BY 1), c AS (SELECT vec_id AS key, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
-met AS (SELECT DISTINCT x.key AS label, y.key AS vec_id, x.v AS a, y.v AS b FROM ({_BUCKETED.format('q')}) x JOIN ({_BUCKETED.format('c')}) y USING (t, bucket))
-SELECT label, CAST(row_number() OVER (PARTITION BY label ORDER BY s DESC, vec_id) AS INTEGER) AS rank, vec_id, round(s, 6) AS score
-FROM (SELECT label, vec_id, round(list_cosine_similarity(a, b), 9) AS s FROM met) QUALIFY rank <= 5""")
-def lsh_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As `knn_top5`, among the vectors that share a hash bucket with the mean."""
-    return rounded(_near_means(spark, sf_dir, [], neighbours.lsh_neighbours), "score")
+@query(_knn_sql("true"))
+def cell_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As `knn_top5`, from an index of k-means cells, until the bound rules out all cells that were not read."""
+    path, asked = _cell_index(spark, sf_dir)
+    near = cells.search_cells(spark, path, asked, 5, query_id="query_id", query_vector="embedding", exact=True)
+    return rounded(near, "score").withColumnRenamed("id", "vec_id")
+
+
+@query("SELECT count(*) AS n_queries, true AS recall_of_90, true AS under_30_of_rows FROM embeddings WHERE vec_id % 20 = 0")
+def cell_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the nearest cells alone hold nine in ten of the exact neighbours, at less than 30 % of the rows."""
+    path, asked = _cell_index(spark, sf_dir)
+    near = cells.search_cells(spark, path, asked, 5, query_id="query_id", query_vector="embedding")
+    exact = _nearest(spark, sf_dir, []).select("query_id", F.col("vec_id").alias("id"))
+    found = exact.join(near.select("query_id", "id", F.lit(1).alias("hit")), ["query_id", "id"], "left").agg(F.count("hit") / F.count("*")).scalar()
+    read = cells.compared(spark, path, asked, query_vector="embedding").select(F.col("compared") / F.col("all_rows")).scalar()
+    return asked.agg(F.count("*").alias("n_queries")).select("n_queries", (found >= 0.9).alias("recall_of_90"), (read < 0.3).alias("under_30_of_rows"))
 
 
 def _document_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,22 +40,28 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """This application's folder on the storage that all executors share.
 
-    The cluster names the place in `spark.checkpoint.dir`. Where that is unset, as in a local session, it is a folder
-    of the warehouse, which executors share as well; a machine's temporary folder is never used.
+    The cluster names the place in `spark.checkpoint.dir`. Only a local session, whose executors are one process, may
+    leave it unset and gets a folder of its warehouse; elsewhere that could be a disk of one machine.
     """
     place = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not place:
+        if not re.match(r"local(\[[^\]]*\])?$", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         place = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stages"
     return f"{place.rstrip('/')}/{spark.sparkContext.applicationId}"
 
 
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing has been written to."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write a table once to the shared folder and read it back: the steps that use it do not compute it again, and a
     lost executor costs a re-read. `release` removes all of them."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def release(spark: SparkSession) -> None:
