@@ -6,8 +6,8 @@ are linked. Links are counted over the corpus, so that every link can be told fr
 
 The first tokenizer is a byte-level BPE that reads a space and the text, the second a piece model that puts the space
 there itself. Neither joins what stands before a space that follows solid characters to what stands behind it (for the
-piece model this is read off its pieces, for the first off its kind), so texts are cut there, every distinct part of a
-slice is encoded and aligned once, and what was used of late is kept by the worker. Other tokenizers get whole texts.
+piece model this is read off its pieces, for the first off its kind), so texts are cut there, and every distinct part
+of a slice is encoded and aligned once. Other tokenizers get whole texts.
 
 One token's bytes end with the other's where both end together. So only pairs of which one is a suffix of the other
 can be linked: they are listed from the vocabularies, each token has at most as many partners as it has bytes, and the
@@ -21,10 +21,10 @@ empty result; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
-from array import array
-from collections.abc import Iterator, Sequence
+import os
+from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -33,13 +33,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagtrend.llm.store import stage
-from tagtrend.llm.words import BYTE_VALUE, Recent, bytes_of, slices, span_hash
+from tagtrend.llm.words import BYTE_VALUE, bytes_of, slices, span_hash
 
 SLICE_BYTES = 2 << 20
-KEPT_PARTS = 60_000
-LONGEST_KEPT = 256
 CALL_BYTES = 1 << 16
-_ID = next(c for c in "il" if array(c).itemsize == 4)
 _SPACE = "▁"
 _MARK = _SPACE.encode()
 # bytes that surely end a character which is no white space
@@ -51,29 +48,45 @@ _SOLID[[0x85, 0xA0, *range(0x80, 0x8B), 0xA8, 0xA9, 0xAF, 0x9F]] = False
 _VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTE = {chr(b): b for b in _VISIBLE} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(_VISIBLE))}
 
-Part = tuple[bytes, bytes, bytes, bytes, bytes, bytes]  # ids of both, group ends, links, link kinds, groups as text
+_NONE = np.zeros(0, dtype=np.int64)
 
 
-def group_ends(ends_a: Sequence[int], ends_b: Sequence[int]) -> list[tuple[int, int]]:
+def group_ends(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where both lists are cut: the number of tokens of each up to every byte offset at which both have an end."""
-    index_a = {end: i for i, end in enumerate(ends_a, 1)}
-    index_b = {end: i for i, end in enumerate(ends_b, 1)}
-    return [(index_a[end], index_b[end]) for end in sorted(index_a.keys() & index_b.keys())]
-
-
-def linked(ends_a: Sequence[int], ends_b: Sequence[int], cuts: Sequence[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Positions of the pairs that end together: in each slice the tokens that end with it, commonly the last of each;
-    tokens without bytes end where their neighbour does."""
-    out, a0, b0 = [], 0, 0
-    for a1, b1 in cuts:
-        left, right = a1 - 1, b1 - 1
-        while left > a0 and ends_a[left - 1] == ends_a[left]:
-            left -= 1
-        while right > b0 and ends_b[right - 1] == ends_b[right]:
-            right -= 1
-        out += [(i, j) for i in range(left, a1) for j in range(right, b1)]
-        a0, b0 = a1, b1
-    return out
+    size = max(int(ends_a[-1]) if len(ends_a) else 0, int(ends_b[-1]) if len(ends_b) else 0) + 1
+    index_a, index_b = np.zeros(size, dtype=np.int64), np.zeros(size, dtype=np.int64)
+    index_a[ends_a] = np.arange(1, len(ends_a) + 1)
+    index_b[ends_b] = np.arange(1, len(ends_b) + 1)
+    common = np.flatnonzero((index_a > 0) & (index_b > 0))
+    return index_a[common], index_b[common]
+
+
+def linked(ends_a: np.ndarray, ends_b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The pairs that end together, as positions in either list, and the group of each: in each slice the tokens that
+    end with it, commonly the last of each; tokens without bytes end where their neighbour does."""
+    left = np.maximum(np.searchsorted(ends_a, ends_a[cut_a - 1]), np.append(0, cut_a[:-1])[: len(cut_a)])
+    right = np.maximum(np.searchsorted(ends_b, ends_b[cut_b - 1]), np.append(0, cut_b[:-1])[: len(cut_b)])
+    wide = cut_b - right
+    count = (cut_a - left) * wide
+    group = np.repeat(np.arange(len(cut_a)), count)
+    at = np.arange(len(group)) - np.repeat(np.cumsum(count) - count, count)
+    return left[group] + at // wide[group], right[group] + at % wide[group], group
+
+
+@dataclass
+class Found:
+    """Parts in a row: which they are, whether their ids spell them, and per part its rows in each list of numbers."""
+
+    parts: np.ndarray
+    good: np.ndarray
+    counts: list[np.ndarray]  # per list: rows of each part
+    rows: list[np.ndarray]  # ids of both, group ends and links (pairs of positions in the part), kinds of the links
+    texts: list[bytes]
+
+
+def _digits(size: int, mark: str) -> np.ndarray:
+    """Each number below `size` in decimal with a mark behind it, filled up with zero bytes."""
+    return np.array([f"{i}{mark}" for i in range(size)], dtype="S").view(np.uint8).reshape(size, -1) if size else np.zeros((0, 1), dtype=np.uint8)
 
 
 class Aligner:
@@ -90,10 +103,11 @@ class Aligner:
         self.bytes_a = [_unmapped(names.get(i, "")) for i in range(max(names, default=-1) + 1)]
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(_SPACE, " ").encode() for i, p in enumerate(pieces)]
-        self.size_a, self.size_b = [*map(len, self.bytes_a)], [*map(len, self.bytes_b)]
         self.cuts = self._parts_stand_alone(pieces)
         self.kinds = self._linkable()
-        self.kept = Recent(KEPT_PARTS)
+        self.flat_a, self.flat_b = _flat(self.bytes_a), _flat(self.bytes_b)
+        # by list and by whether a token ends its group
+        self.digits = [[_digits(len(self.bytes_a), ","), _digits(len(self.bytes_a), "|")], [_digits(len(self.bytes_b), ","), _digits(len(self.bytes_b), ";")]]
 
     def _parts_stand_alone(self, pieces: list[str]) -> bool:
         inner = any(_SPACE in p.lstrip(_SPACE) for p in pieces)
@@ -116,64 +130,77 @@ class Aligner:
         pairs += [i * n + j for j, x in enumerate(self.bytes_b) for k in range(1, len(x) + 1) for i in of_a.get(x[k:], ())]
         return np.unique(np.array(pairs, dtype=np.int64))
 
-    def ids(self, parts: list[str]) -> Iterator[tuple[list[int], list[int]]]:
-        """The ids of each part (which begins with the space). Parts that stand alone are encoded in a row, and the
-        ids dealt out by their bytes."""
-        if not self.cuts:
-            for p in parts:
-                yield self.a.encode(p, add_special_tokens=False).ids, self.b.encode(p[1:])
-            return
-        whole = "".join(parts)
-        ends = [*accumulate(len(p.encode()) for p in parts)]
-        ids_a, ids_b = self.a.encode(whole, add_special_tokens=False).ids, self.b.encode(whole[1:])
-        lists = []
-        for ids, size in ((ids_a, self.size_a), (ids_b, self.size_b)):
-            total = np.cumsum(np.array(size)[ids]) if ids else np.zeros(0, dtype=np.int64)
-            cut = np.searchsorted(total, ends, side="right").tolist()
-            lists.append((ids, [0, *cut]))
-        for i in range(len(parts)):
-            yield tuple(ids[cut[i] : cut[i + 1]] for ids, cut in lists)
-
-    def align(self, part: str, ids_a: list[int], ids_b: list[int]) -> Part | None:
-        """The groups and links of one part; None where either's tokens do not spell it."""
-        data = part.encode()
-        if b"".join([self.bytes_a[i] for i in ids_a]) != data or b"".join([self.bytes_b[i] for i in ids_b]) != data:
-            return None
-        ends_a = [*accumulate([self.size_a[i] for i in ids_a])]
-        ends_b = [*accumulate([self.size_b[i] for i in ids_b])]
-        cuts = group_ends(ends_a, ends_b)
-        links = linked(ends_a, ends_b, cuts)
-        n, text, a0, b0 = len(self.bytes_b), [], 0, 0
-        for a1, b1 in cuts:
-            text.append(f"{','.join(map(str, ids_a[a0:a1]))}|{','.join(map(str, ids_b[b0:b1]))};")
-            a0, b0 = a1, b1
-        kinds = np.searchsorted(self.kinds, np.array([ids_a[i] * n + ids_b[j] for i, j in links], dtype=np.int64)).astype(np.int32)
-        flat = [array(_ID, [x for pair in pairs for x in pair]).tobytes() for pairs in (cuts, links)]
-        return array(_ID, ids_a).tobytes(), array(_ID, ids_b).tobytes(), *flat, kinds.tobytes(), "".join(text).encode()
-
-    def found(self, parts: list[bytes]) -> list[Part | None]:
-        """Each part's groups and links: those kept, and the others by the tokenizers in calls of a bounded size."""
-        out: list[Part | None] = [self.kept.find(p) for p in parts]
-        new, call, size = [i for i, x in enumerate(out) if x is None], [], 0
-        for i in [*new, -1]:
+    def found(self, parts: list[bytes]) -> list[Found]:
+        """The groups and links of all parts, from calls of a bounded size."""
+        out, call, size = [], [], 0
+        for i in [*range(len(parts)), -1]:
             if call and (i < 0 or size + len(parts[i]) > CALL_BYTES):
-                self._call(call, parts, out)
+                out.append(self.call(np.array(call), [parts[k] for k in call]))
                 call, size = [], 0
             if i >= 0:
+                part = parts[i]
                 # alone: what may join the part behind it, or have ids that do not spell it
-                if not _SOLID[parts[i][-1]] or _MARK in parts[i] or 0 in parts[i]:
-                    self._call([i], parts, out)
+                if not self.cuts or not _SOLID[part[-1]] or _MARK in part or 0 in part:
+                    out.append(self.call(np.array([i]), [part]))
                 else:
                     call.append(i)
-                    size += len(parts[i])
+                    size += len(part)
         return out
 
-    def _call(self, call: list[int], parts: list[bytes], out: list[Part | None]) -> None:
-        texts = [parts[i].decode() for i in call]
-        for i, text, (ids_a, ids_b) in zip(call, texts, self.ids(texts), strict=True):
-            out[i] = self.align(text, ids_a, ids_b)
-            if out[i] is not None and len(parts[i]) <= LONGEST_KEPT:
-                self.kept.keep(parts[i], out[i])
+    def call(self, which: np.ndarray, parts: list[bytes]) -> Found:
+        """Parts in a row, each beginning with the space, encoded as one text."""
+        raw = b"".join(parts)
+        whole, data = raw.decode(), np.frombuffer(raw, dtype=np.uint8)
+        ids_a = np.array(self.a.encode_batch_fast([whole], add_special_tokens=False)[0].ids, dtype=np.int64)
+        ids_b = np.array(self.b.encode(whole[1:]), dtype=np.int64)
+        ends = []
+        for ids, (bytes_, begin, size) in ((ids_a, self.flat_a), (ids_b, self.flat_b)):
+            total = np.cumsum(size[ids])
+            spelled = len(total) > 0 and total[-1] == len(data)
+            if spelled:
+                at = np.arange(len(data)) + np.repeat(begin[ids] - (total - size[ids]), size[ids])
+                spelled = np.array_equal(bytes_[at], data)
+            if not spelled:
+                none = np.zeros(len(parts), dtype=np.int64)
+                return Found(which, none.astype(bool), [none] * 5, [_NONE, _NONE, np.zeros((0, 2)), np.zeros((0, 2)), _NONE], [b""] * len(parts))
+            ends.append(total)
+        part_ends = np.cumsum([len(p) for p in parts])
+        cut_a, cut_b = group_ends(*ends)
+        of_group = np.searchsorted(part_ends, ends[0][cut_a - 1])
+        groups = np.bincount(of_group, minlength=len(parts))
+        last = np.cumsum(groups) - 1
+        up_to_a, up_to_b = cut_a[last], cut_b[last]
+        left, right, group = linked(*ends, cut_a, cut_b)
+        kinds = np.searchsorted(self.kinds, ids_a[left] * len(self.bytes_b) + ids_b[right])
+        links = np.bincount(of_group[group], minlength=len(parts))
+        zero_a, zero_b = up_to_a - np.diff(up_to_a, prepend=0), up_to_b - np.diff(up_to_b, prepend=0)
+        own_cuts = np.stack([cut_a - zero_a[of_group], cut_b - zero_b[of_group]], axis=1)
+        own_links = np.stack([left - zero_a[of_group[group]], right - zero_b[of_group[group]]], axis=1)
+        counts = [np.diff(up_to_a, prepend=0), np.diff(up_to_b, prepend=0), groups, links, links]
+        return Found(which, np.ones(len(parts), dtype=bool), counts, [ids_a, ids_b, own_cuts, own_links, kinds], self._written(ids_a, ids_b, cut_a, cut_b, last))
+
+    def _written(self, ids_a: np.ndarray, ids_b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray, last: np.ndarray) -> list[bytes]:
+        """The groups of each part as text: a group's ids of both lists one behind the other."""
+        ends = [np.zeros(len(ids), dtype=np.int64) for ids in (ids_a, ids_b)]
+        ends[0][cut_a - 1] = ends[1][cut_b - 1] = 1
+        of_a, of_b = np.cumsum(ends[0]) - ends[0], np.cumsum(ends[1]) - ends[1]
+        width = max(x.shape[1] for pair in self.digits for x in pair)
+        out = np.zeros((len(ids_a) + len(ids_b), width), dtype=np.uint8)
+        places = np.arange(len(ids_a)) + np.append(0, cut_b)[of_a], np.arange(len(ids_b)) + cut_a[of_b]
+        for place, ids, end, tables in zip(places, (ids_a, ids_b), ends, self.digits, strict=True):
+            for mark, table in enumerate(tables):
+                mine = end == mark
+                out[place[mine], : table.shape[1]] = table[ids[mine]]
+        length = np.count_nonzero(out, axis=1)
+        stop = np.cumsum(length)[cut_a[last] + cut_b[last] - 1].tolist()
+        text = out[out != 0].tobytes()
+        return [text[a:b] for a, b in zip([0, *stop], stop, strict=False)]
+
+
+def _flat(tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The tokens' bytes one after the other, where each begins, and how many it has."""
+    size = np.array([len(t) for t in tokens], dtype=np.int64)
+    return np.frombuffer(b"".join(tokens), dtype=np.uint8), np.cumsum(size) - size, size
 
 
 def _unmapped(token: str) -> bytes:
@@ -183,7 +210,8 @@ def _unmapped(token: str) -> bytes:
 
 @lru_cache(maxsize=2)
 def aligner(path_a: str, path_b: str) -> Aligner:
-    """One per worker."""
+    """One per worker; Spark deals out the work, so its calls use one thread."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return Aligner(path_a, path_b)
 
 
@@ -206,46 +234,45 @@ class Aligned:
         if not np.array_equal(check[first][of], check):
             first = of = np.arange(len(names))
         raw = data.tobytes()
-        parts = coder.found([raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)])
+        found = coder.found([raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)])
         text = np.searchsorted(offsets, starts, side="right") - 1
-        spelled = np.array([p is not None for p in parts], dtype=bool)
+        # what each distinct part has in the lists, which stand in the order of the calls
+        order = np.concatenate([_NONE, *(f.parts for f in found)])
+        place = np.empty(len(order), dtype=np.int64)
+        place[order] = np.arange(len(order))
+        self.count = [np.concatenate([_NONE, *(f.counts[i] for f in found)]) for i in range(5)]
+        self.rows = [np.concatenate([f.rows[i] for f in found]) if found else np.zeros((0, 2) if i in (2, 3) else 0) for i in range(5)]
+        self.written = [t for f in found for t in f.texts]
+        spelled = np.concatenate([np.zeros(0, dtype=bool), *(f.good for f in found)])[place]
         good = np.ones(len(offsets) - 1, dtype=bool)
         good[text[~spelled[of]]] = False
         keep = good[text]
-        self.parts = [p or (b"",) * 6 for p in parts]
-        self.of, self.texts = of[keep], len(good)
+        self.of = place[of[keep]]
         self.first = np.searchsorted(text[keep], np.arange(len(good) + 1))
 
-    def numbers(self, which: int, width: int = 1) -> tuple[np.ndarray, np.ndarray]:
-        """One of the number lists of all texts, one after the other, and how many rows of `width` each text has."""
-        size = np.fromiter((len(p[which]) for p in self.parts), dtype=np.int64, count=len(self.parts)) // (4 * width)
-        flat = np.frombuffer(b"".join([p[which] for p in self.parts]), dtype="<i4").reshape(-1, width)
-        counts = size[self.of]
-        total = np.concatenate([[0], np.cumsum(counts)])
-        begin = (np.cumsum(size) - size)[self.of]
-        rows = flat[np.arange(total[-1]) + np.repeat(begin - total[:-1], counts)]
-        return rows, np.diff(total[self.first])
+    def counts(self, which: int) -> np.ndarray:
+        """How many rows of a list each text has."""
+        return np.diff(np.concatenate([[0], np.cumsum(self.count[which][self.of])])[self.first])
 
-    def counts(self, which: int, width: int = 1) -> np.ndarray:
-        size = np.fromiter((len(p[which]) for p in self.parts), dtype=np.int64, count=len(self.parts)) // (4 * width)
-        return np.diff(np.concatenate([[0], np.cumsum(size[self.of])])[self.first])
+    def numbers(self, which: int) -> np.ndarray:
+        """One of the lists of all texts, one after the other."""
+        size = self.count[which]
+        begin, counts = (np.cumsum(size) - size)[self.of], size[self.of]
+        total = np.concatenate([[0], np.cumsum(counts)])
+        return self.rows[which][np.arange(total[-1]) + np.repeat(begin - total[:-1], counts)].astype(np.int32)
 
-    def shifted(self, which: int) -> tuple[np.ndarray, np.ndarray]:
+    def shifted(self, which: int) -> np.ndarray:
         """Pairs of token positions, counted within the text instead of the part."""
-        pairs, per_text = self.numbers(which, 2)
-        size = np.fromiter((len(p[which]) for p in self.parts), dtype=np.int64, count=len(self.parts)) // 8
-        out = pairs.astype(np.int64)
+        pairs, counts = self.numbers(which), self.count[which][self.of]
         for side in (0, 1):
-            n = np.fromiter((len(p[side]) for p in self.parts), dtype=np.int64, count=len(self.parts)) // 4
-            before = np.concatenate([[0], np.cumsum(n[self.of])])
+            before = np.concatenate([[0], np.cumsum(self.count[side][self.of])])
             at = before[:-1] - np.repeat(before[self.first[:-1]], np.diff(self.first))
-            out[:, side] += np.repeat(at, size[self.of])
-        return out.astype(np.int32), per_text
+            pairs[:, side] += np.repeat(at, counts).astype(np.int32)
+        return pairs
 
     def digests(self) -> list[str]:
         """SHA-256 of each text's groups; nothing for a text without tokens."""
-        texts, of = [p[5] for p in self.parts], self.of.tolist()
-        first = self.first.tolist()
+        texts, of, first = self.written, self.of.tolist(), self.first.tolist()
         joined = (b"".join([texts[k] for k in of[a:b]])[:-1] for a, b in zip(first, first[1:], strict=False))
         return [hashlib.sha256(x).hexdigest() if x else "" for x in joined]
 
@@ -275,8 +302,7 @@ def aligned(documents: DataFrame, path_a: str, path_b: str) -> DataFrame:
         coder = aligner(path_a, path_b)
         for batch in slices(batches, limit=SLICE_BYTES):
             found = Aligned(coder, batch.column("text"))
-            (ids_a, n_a), (ids_b, n_b) = found.numbers(0), found.numbers(1)
-            columns = [batch.column("doc_id"), _lists(ids_a.ravel(), n_a), _lists(ids_b.ravel(), n_b), _pair_lists(*found.shifted(2)), _pair_lists(*found.shifted(3))]
+            columns = [batch.column("doc_id"), *(_lists(found.numbers(i), found.counts(i)) for i in (0, 1)), *(_pair_lists(found.shifted(i), found.counts(i)) for i in (2, 3))]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids_a", "ids_b", "group_ends", "links"])
 
     return _texts(documents).mapInArrow(run, ALIGNED)
@@ -288,10 +314,9 @@ def _digested(path_a: str, path_b: str):
         coder = aligner(path_a, path_b)
         for batch in slices(batches, limit=SLICE_BYTES):
             found = Aligned(coder, batch.column("text"))
-            kinds, n_links = found.numbers(4)
             columns = [
-                batch.column("doc_id"), pa.array(found.counts(0)), pa.array(found.counts(1)), pa.array(found.counts(2, 2)),
-                pa.array(n_links), pa.array(found.digests(), pa.string()), _lists(kinds.ravel(), n_links),
+                batch.column("doc_id"), *(pa.array(found.counts(i)) for i in range(4)), pa.array(found.digests(), pa.string()),
+                _lists(found.numbers(4), found.counts(4)),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "kinds"])
 
