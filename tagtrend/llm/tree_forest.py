@@ -8,7 +8,7 @@ verified by its cosine, and joined by union.
 The trees grow in rounds. A round takes the nodes with more rows than a leaf may have, draws a bounded number of rows
 of each by a hash, cuts the node on these up to `LEVELS` times, and sends its rows down. So no tree is built on one
 machine, every vector is indexed, and the depth follows the number of rows. Directions come from a seed; the cuts are a
-table that is joined to the rows by node. A cut moves off the median where too much lies close to it. What no cut can
+table that is joined to the rows by node; between rounds a row is its class and a node, without its vector. A cut moves off the median where too much lies close to it. What no cut can
 part (many vectors almost alike) stays a leaf of any size: its rows are dealt into blocks, every two blocks are one
 task's matrix product, and only counts and a spanning forest of the links leave the task, never the pairs.
 
@@ -33,15 +33,16 @@ from tagtrend.llm.store import stage
 from tagtrend.llm.words import mix
 
 SIMILARITY = 0.95
-TREES = 10
-LEAF = 256  # rows beyond which a node is cut
+TREES = 8
+LEAF = 512  # rows beyond which a node is cut
 LEVELS = 8  # cuts one below the other in a round
-SAMPLE = 8_192  # rows of a node that a round draws, on average
+SAMPLE = 16_384  # rows of a node that a round draws, on average
 SPILL = 0.25  # of the distance of two linked vectors along a direction
 CROWDED = 0.15  # of the rows that may lie close to the median
 LOPSIDED = 0.85  # of the rows on one side: the cut is not worth it
 BLOCK = 2_048  # rows of a side of a matrix product
 SEED = 71
+TREE_BITS = 56  # below the number of the tree in a node's name
 _SLICE = 4_096
 _PLACES = (0.5, 0.42, 0.58, 0.34, 0.66, 0.26, 0.74, 0.2, 0.8)
 
@@ -81,85 +82,81 @@ def _place(values: np.ndarray, margin: float) -> float | None:
     return best[1]
 
 
-def _cuts(size: int, margin: float):
-    """Drawn rows of a node -> its cuts as a heap; one that would not part the rows is missing (NaN), and so are those
-    below it."""
+def _cuts(size: int, margin: float, leaf: int):
+    """Drawn rows of a node -> its cuts as a heap. NaN stands where no cut would part the rows, infinity where the rows
+    are few enough without one."""
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        tree, node, depth = (x.as_py() for x in key)
-        along = unit_rows(_one(table.column("vector")), size) @ directions(tree, depth, size)
-        heap, parts = np.full((1 << LEVELS) - 1, np.nan), {0: np.arange(len(along))}
+        node, depth, of_node = (x.as_py() for x in key)
+        along = unit_rows(_one(table.column("vector")), size) @ directions(node >> TREE_BITS, depth, size)
+        heap, parts = np.full((1 << LEVELS) - 1, np.inf), {0: np.arange(len(along))}
         for at in range(len(heap)):
             mine = parts.pop(at, None)
-            if mine is None or len(mine) < 2:
+            if mine is None or len(mine) * of_node <= leaf / 2 * len(along):
                 continue
             values = along[mine, (at + 1).bit_length() - 1]
-            cut = _place(values, margin)
+            cut = _place(values, margin) if len(mine) > 1 else None
+            heap[at] = np.nan if cut is None else cut
             if cut is not None:
-                heap[at] = cut
                 parts[2 * at + 1], parts[2 * at + 2] = mine[values <= cut + margin], mine[values > cut - margin]
-        return pa.table({"tree": pa.array([tree], pa.int32()), "node": pa.array([node], pa.int64()), "cuts": pa.array([heap], pa.list_(pa.float64()))})
+        return pa.table({"node": pa.array([node], pa.int64()), "cuts": pa.array([heap], pa.list_(pa.float64()))})
 
     return run
 
 
 def _below(node: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The name of the node at a place of a round's heap: a 63-bit hash of the path from the root."""
-    return (mix(mix(node.astype(np.uint64), 1) ^ at.astype(np.uint64), 2) >> np.uint64(1)).astype(np.int64)
+    """The name of the node at a place of a round's heap: the tree, and a hash of the path from its root."""
+    path = mix(mix(node.astype(np.uint64), 1) ^ at.astype(np.uint64), 2) >> np.uint64(64 - TREE_BITS)
+    return ((node >> TREE_BITS) << TREE_BITS) | path.astype(np.int64)
 
 
 def _descended(size: int, margin: float):
-    """Rows with the cuts of their node -> the rows again at each node below that they reach."""
-    bottom = (1 << LEVELS) - 1
-
+    """Rows with the cuts of their node -> each node below that a row reaches."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(i, _SLICE) for b in batches for i in range(0, b.num_rows, _SLICE)):
             rows, along = unit_rows(batch.column("vector"), size), np.empty((batch.num_rows, LEVELS))
             heaps = batch.column("cuts").flatten().to_numpy().reshape(batch.num_rows, -1)
-            trees, depths = batch.column("tree").to_numpy(), batch.column("depth").to_numpy()
+            nodes, depths = batch.column("node").to_numpy(), batch.column("depth").to_numpy()
+            trees = nodes >> TREE_BITS
             for tree, depth in {*zip(trees.tolist(), depths.tolist(), strict=True)}:
                 mine = (trees == tree) & (depths == depth)
                 along[mine] = rows[mine] @ directions(tree, depth, size)
             who, at, ended = np.arange(len(rows)), np.zeros(len(rows), dtype=np.int64), []
             for level in range(LEVELS):
                 cut = heaps[who, at]
-                go = ~np.isnan(cut)
-                ended.append((who[~go], at[~go]))
+                go = np.isfinite(cut)
+                ended.append((who[~go], at[~go], np.isnan(cut[~go])))
                 who, at, cut = who[go], at[go], cut[go]
                 left, right = along[who, level] <= cut + margin, along[who, level] > cut - margin
                 who, at = np.concatenate([who[left], who[right]]), np.concatenate([2 * at[left] + 1, 2 * at[right] + 2])
-            who, at = (np.concatenate(x) for x in zip(*ended, (who, at), strict=True))
-            taken = batch.select(["class", "vector", "tree"]).take(pa.array(who))
-            node = _below(batch.column("node").to_numpy()[who], at)
-            # at a missing cut the node is a leaf, as cutting it again would not part it
-            columns = [*taken.columns, pa.array(node), pa.array((depths[who] + LEVELS).astype(np.int32)), pa.array(at < bottom)]
-            yield pa.RecordBatch.from_arrays(columns, names=["class", "vector", "tree", "node", "depth", "final"])
+            who, at, whole = (np.concatenate(x) for x in zip(*ended, (who, at, np.zeros(len(who), dtype=bool)), strict=True))
+            taken = batch.select(["class", "key"]).take(pa.array(who))
+            columns = [*taken.columns, pa.array(_below(nodes[who], at)), pa.array((depths[who] + LEVELS).astype(np.int32)), pa.array(whole)]
+            yield pa.RecordBatch.from_arrays(columns, names=["class", "key", "node", "depth", "whole"])
 
     return run
 
 
-def leaves(rows: DataFrame, size: int, margin: float, trees: int, leaf: int) -> DataFrame:
-    """class, tree, node and of_node (the node's rows) for every leaf that a row (class, vector) reaches."""
-    narrow = ["class", "tree", "node", "of_node"]
-    kind = f"class long, vector {rows.schema['vector'].dataType.simpleString()}, tree int, node long, depth int, final boolean"
-    here = rows.select(
-        "class", "vector", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), F.lit(0).cast("long").alias("node"), F.lit(0).alias("depth"), F.lit(False).alias("final")
-    )
-    done = None
+def leaves(classes: DataFrame, size: int, margin: float, trees: int, leaf: int) -> DataFrame:
+    """class, node and of_node (the node's rows) for every leaf that a class (class, key, vector) reaches; a node's
+    upper bits are its tree."""
+    roots = F.explode(F.array(*[F.lit(t << TREE_BITS).cast("long") for t in range(trees)]))
+    here = classes.select("class", "key", roots.alias("node"), F.lit(0).alias("depth"), F.lit(False).alias("whole"))
+    vectors, done = classes.select("class", "vector"), None
     while True:
-        sizes = here.groupBy("tree", "node").agg(F.count("*").alias("of_node"), F.max("final").alias("closed"))
+        sizes = here.groupBy("node").agg(F.count("*").alias("of_node"), F.max("whole").alias("closed"))
         sizes = stage(sizes.withColumn("closed", F.col("closed") | (F.col("of_node") <= leaf)), "forest-sizes")
-        sized = here.drop("final").join(sizes, ["tree", "node"])
-        closed = sized.where("closed").select(*narrow)
+        sized = here.drop("whole").join(sizes, "node")
+        closed = sized.where("closed").select("class", "node", "of_node")
         done = closed if done is None else done.unionByName(closed)
         if sizes.where("NOT closed").isEmpty():
             return done
-        more = sized.where("NOT closed")
-        drawn = F.pmod(F.xxhash64("vector", "tree"), F.lit(1 << 30)) * F.col("of_node") < F.lit(SAMPLE << 30)
-        cuts = more.where(drawn).groupBy("tree", "node", "depth").applyInArrow(_cuts(size, margin), "tree int, node long, cuts array<double>")
-        known = more.join(stage(cuts, "forest-cuts"), ["tree", "node"], "left").select(
-            "class", "vector", "tree", "node", "depth", F.coalesce("cuts", F.array_repeat(F.lit(float("nan")), (1 << LEVELS) - 1)).alias("cuts")
-        )
-        here = stage(known.mapInArrow(_descended(size, margin), kind), "forest-rows")
+        more = sized.where("NOT closed").join(vectors, "class")
+        # a part of the node's rows by a hash of the row
+        drawn = F.pmod(F.xxhash64("key", "node"), F.lit(1 << 30)) * F.col("of_node") < F.lit(SAMPLE << 30)
+        cuts = more.where(drawn).groupBy("node", "depth", "of_node").applyInArrow(_cuts(size, margin, leaf), "node long, cuts array<double>")
+        whole = F.array_repeat(F.lit(float("nan")), (1 << LEVELS) - 1)
+        known = more.join(stage(cuts, "forest-cuts"), "node", "left").select("class", "key", "vector", "node", "depth", F.coalesce("cuts", whole).alias("cuts"))
+        here = stage(known.mapInArrow(_descended(size, margin), "class long, key long, node long, depth int, whole boolean"), "forest-rows")
 
 
 class Union:
@@ -189,17 +186,16 @@ class Union:
                 self.up = up
 
 
-def _met_before(tree: int, node: int, lists: pa.Array) -> np.ndarray:
-    """Per row a bit for each leaf before this one, in order of tree and node, that two rows or more of it share."""
+def _met_before(node: int, lists: pa.Array) -> np.ndarray:
+    """Per row a bit for each leaf before this one, in order of tree and name, that two rows or more of it share."""
     at = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
-    names = lists.flatten()
-    trees, nodes = names.field("tree").to_numpy(), names.field("node").to_numpy()
-    earlier = (trees < tree) | ((trees == tree) & (nodes < node))
-    _, number, count = np.unique(np.stack([trees[earlier], nodes[earlier]]), axis=1, return_inverse=True, return_counts=True)
+    names = lists.flatten().to_numpy(zero_copy_only=False)
+    earlier = names < node
+    _, number, count = np.unique(names[earlier], return_inverse=True, return_counts=True)
     shared = np.cumsum(count > 1) - 1
-    use = count[number.ravel()] > 1
+    use = count[number] > 1
     bits = np.zeros((len(lists), 64 * (int(shared[-1]) // 64 + 1 if len(shared) else 1)), dtype=bool)
-    bits[at[earlier][use], shared[number.ravel()[use]]] = True
+    bits[at[earlier][use], shared[number[use]]] = True
     return np.packbits(bits, axis=1).view(np.uint64)
 
 
@@ -207,10 +203,10 @@ def _links_within(size: int, similarity: float):
     """The rows of two blocks of a leaf -> per class the number of its links that meet here first (a = b), and a
     spanning forest of these links (links = 0)."""
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        tree, node, one, two = (x.as_py() for x in key)
+        node, one, two = (x.as_py() for x in key)
         rows = unit_rows(_one(table.column("vector")), size)
         block, classes, n = (_one(table.column(c)).to_numpy() for c in ("block", "class", "n"))
-        before = _met_before(tree, node, _one(table.column("leaves")))
+        before = None
         first, second = np.flatnonzero(block == one), np.flatnonzero(block == two)
         links, sets = np.zeros(len(rows), dtype=np.int64), Union(len(rows))
         for start in range(0, len(first), 128):
@@ -218,6 +214,10 @@ def _links_within(size: int, similarity: float):
             a, b = first[start + a], second[b]
             if one == two:
                 a, b = a[a < b], b[a < b]
+            if not len(a):
+                continue
+            if before is None:
+                before = _met_before(node, _one(table.column("leaves")))
             new = np.ones(len(a), dtype=bool)
             for word in range(before.shape[1]):
                 new &= (before[a, word] & before[b, word]) == 0
@@ -249,20 +249,23 @@ def near_vectors(vectors: DataFrame, vector: str = "embedding", similarity: floa
     )
     rows = source.where(usable)
     classes = rows.groupBy("vector").agg(F.min("vec_id").alias("lowest"), F.count("*").alias("n"))
-    classes = stage(classes.withColumn("class", F.monotonically_increasing_id()), "forest-classes")  # as written, so for good
-    size = classes.agg(F.max(F.size("vector"))).first()[0]
+    classes = classes.withColumns({"class": F.monotonically_increasing_id(), "key": F.xxhash64("lowest", "vector")})
+    classes = stage(classes, "forest-classes")  # the class is a number as written, so for good
+    size, n = classes.agg(F.max(F.size("vector")), F.count("*")).first()
     if size is None:
         return apart
     # linked vectors are at most this far apart, and a root of the dimensions less along a random direction
     margin = SPILL * float(np.sqrt(2 * max(0.0, 1 - similarity) / size))
-    found = stage(leaves(classes.select("class", "vector"), size, margin, trees, leaf), "forest-leaves").where("of_node > 1")
-    own = found.groupBy("class").agg(F.collect_list(F.struct("tree", "node", "of_node")).alias("leaves"))  # a few per tree
-    each = classes.select("class", "vector", "n").join(own, "class").select("*", F.explode("leaves").alias("leaf"))
+    found = stage(leaves(classes, size, margin, trees if n > leaf else 1, leaf), "forest-leaves").where("of_node > 1")
+    own = found.groupBy("class").agg(F.collect_list(F.struct("node", "of_node")).alias("reached"))  # a few per tree
+    each = classes.select("class", "key", "vector", "n").join(own, "class").select(
+        "class", "key", "vector", "n", F.col("reached")["node"].alias("leaves"), F.explode("reached").alias("leaf")
+    )
     blocks = F.ceil(F.col("leaf.of_node") / BLOCK).cast("int")
-    dealt = each.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("vector"), "blocks").cast("int"))
+    dealt = each.withColumn("blocks", blocks).withColumn("block", F.pmod("key", "blocks").cast("int"))
     beside = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(F.least(x, "block").alias("one"), F.greatest(x, "block").alias("two")))
-    sides = dealt.withColumn("pair", F.explode(beside)).select("leaf.tree", "leaf.node", "pair.one", "pair.two", "block", "class", "n", "vector", "leaves")
-    met = stage(sides.groupBy("tree", "node", "one", "two").applyInArrow(_links_within(size, similarity), "a long, b long, links long"), "forest-links")
+    sides = dealt.withColumn("pair", F.explode(beside)).select("leaf.node", "pair.one", "pair.two", "block", "class", "n", "vector", "leaves")
+    met = stage(sides.groupBy("node", "one", "two").applyInArrow(_links_within(size, similarity), "a long, b long, links long"), "forest-links")
 
     links = met.where("links > 0").groupBy(F.col("a").alias("class")).agg(F.sum("links").alias("links"))
     roots = components(met.where("links = 0"), "a", "b", "forest").withColumnRenamed("node", "class")

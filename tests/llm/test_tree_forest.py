@@ -60,12 +60,13 @@ def planted(count, size, groups, members, angle, seed=1):
     return [(int(i), every[at].tolist()) for i, at in enumerate(order)]
 
 
-def test_recall_over_many_leaves(spark):
-    """Pairs up to the threshold itself; leaves of 64 rows and two rounds of cuts. All that is found is right."""
+def test_recall_over_many_leaves(spark, monkeypatch):
+    """Pairs up to the threshold itself; leaves of 24 rows and two rounds of cuts. All that is found is right."""
+    monkeypatch.setattr(tree_forest, "LEVELS", 5)
     rows = planted(4000, 64, 800, 2, math.acos(0.95))
     frame = spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA)
     want = {r[0]: r for r in brute(rows)}
-    found = {r[0]: r for r in got(near_vectors(frame, leaf=16))}
+    found = {r[0]: r for r in got(near_vectors(frame, leaf=24))}
     assert found.keys() == want.keys() and all(found[i][1] <= want[i][1] for i in want)
     recall = sum(r[1] for r in found.values()) / sum(r[1] for r in want.values())
     assert recall >= 0.99, recall
