@@ -162,14 +162,14 @@ def kmeans_final(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.label_clusters(rows, "vector", model).select("vec_id", "cluster")
 
 
-@query("""WITH t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-zß-öø-ÿ]+')) AS w FROM documents),
+@query(f"""WITH t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{v.TERM_PATTERN}')) AS w FROM documents),
 tf AS (SELECT doc_id, CAST('0x' || substr(md5(w), 1, 8) AS BIGINT) % 262144 AS slot, count(*) AS n FROM t GROUP BY ALL),
 df AS (SELECT slot, ln(((SELECT count(*) FROM documents) + 1.0) / (count(*) + 1.0)) AS idf FROM tf GROUP BY slot),
 w AS (SELECT doc_id, slot, n * idf AS x FROM tf JOIN df USING (slot))
 SELECT doc_id, count(*) AS terms, round(sqrt(sum(x * x)), 6) AS norm, round(max(x) / nullif(sqrt(sum(x * x)), 0), 6) AS heaviest FROM w GROUP BY doc_id""")
 def tfidf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hashed TF-IDF of whole texts in long form: terms, norm and largest unit weight of each document."""
-    weights = vectors.term_weights(views.documents(spark, sf_dir, "text"), "doc_id", "text", pattern="[a-zß-öø-ÿ]+")
+    weights = vectors.term_weights(views.documents(spark, sf_dir, "text"), "doc_id", "text", pattern=v.TERM_PATTERN)
     square = F.sqrt(F.sum(F.col("weight") * F.col("weight")))
     return rounded(
         weights.groupBy("doc_id").agg(F.count("*").alias("terms"), square.alias("norm"), (F.max("weight") / F.nullif(square, F.lit(0.0))).alias("heaviest")),

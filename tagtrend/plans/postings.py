@@ -153,16 +153,21 @@ def stage_report(cleaned: DataFrame) -> DataFrame:
     )
 
 
-def retrieval_documents(cleaned: DataFrame) -> DataFrame:
-    """`id, document, metadata` of every posting with more than 50 characters of duties or requirements."""
+def _document_lines() -> list[tuple[str, Column | str]]:
+    """The labelled lines of a posting as a retrieval document."""
     values: list[Column | str] = [
         "공고제목", F.concat(F.col("회사명"), F.lit(" ("), F.col("회사규모"), F.lit(")")), "지역", "직무카테고리", "tech_all",
         text.cap("주요업무_clean", 500), text.cap("자격요건_clean", 500), text.cap("우대사항_clean", 300),
     ]
+    return list(zip(p.DOCUMENT_LABELS, values))
+
+
+def retrieval_documents(cleaned: DataFrame) -> DataFrame:
+    """`id, document, metadata` of every posting with more than 50 characters of duties or requirements."""
     return documents.retrieval_documents(
         documents.with_text(cleaned, ["주요업무_clean", "자격요건_clean"], 50),
         ident="공고ID",
-        lines=list(zip(p.DOCUMENT_LABELS, values)),
+        lines=_document_lines(),
         metadata={
             "title": ("공고제목", 100), "company": ("회사명", 50), "company_size": ("회사규모", None), "region": ("지역", 30),
             "job_category": ("직무카테고리", None), "tech_stack": ("tech_all", 200), "source": ("출처", None),
@@ -359,13 +364,11 @@ def answer_questions(
 ) -> DataFrame:
     """An answer for every question. `ident` is a unique long number of a posting."""
     f = p.ANSWER_FORMATS
-    keywords = [k for words in p.KEYWORDS.values() for k in words]
-    asked = tagging.tag_records(questions, question, p.KEYWORDS, per_category=False)
-    detected = answers.detect(asked, question, p.TOPIC_RULES, p.INTENT_RULES)
+    detected = answers.detect(questions, question, p.TOPIC_RULES, p.INTENT_RULES)
     listed = documents.with_text(cleaned, ["주요업무_clean", "자격요건_clean"], 50)
+    rendered = listed.withColumn("_document", documents.labelled_lines(_document_lines()))
     near = answers.retrieve_samples(
-        detected, listed, sorted(set(keywords)), [*p.JOB_RULES, p.OTHER_JOB], topic="topic", question_tags="tags_all",
-        doc_id=ident, doc_category="직무카테고리", doc_tags="tech_all",
+        detected, rendered, topic="topic", question=question, doc_id=ident, doc_category="직무카테고리", doc_text="_document"
     )
     found = answers.sample_sections(
         near, listed, doc_id=ident, title=text.cap("공고제목", 100), company=text.cap("회사명", 50), tags=F.col("tech_all"), formats=f
@@ -376,7 +379,7 @@ def answer_questions(
     profiles = cluster_tables(clustered)["cluster_summary"]
     return answers.answer_report(
         detected,
-        tags="tags_all",
+        question=question,
         topics=list(p.TOPIC_RULES),
         by_topic=[
             answers.study_sections(by_job, "직무카테고리", f),

@@ -93,9 +93,9 @@ def tagged_documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFra
 
 
 def retrievable_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with category and tags, over the whole text."""
-    tagged = tagged_documents(spark, sf_dir)
-    return classify(tagged, "text", v.TOPIC_RULES, "other", "category").select("doc_id", "category", "tags_all")
+    """Documents with their category, over the whole text."""
+    rows = documents(spark, sf_dir, "text").withColumn("_lower", F.lower("text"))
+    return classify(rows, "_lower", v.TOPIC_RULES, "other", "category").select("doc_id", "category", "text")
 
 
 def cluster_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,9 +105,8 @@ def cluster_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every user turn, with the dictionary tags of its whole text."""
-    turns = table(spark, sf_dir, "conversations").where(F.col("role") == "user").select("conv_id", "turn", "text")
-    return tag_records(turns, "text", v.DOCUMENT_KEYWORDS, per_category=False)
+    """Every user turn."""
+    return table(spark, sf_dir, "conversations").where(F.col("role") == "user").select("conv_id", "turn", "text")
 
 
 def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:

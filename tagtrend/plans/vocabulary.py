@@ -132,3 +132,6 @@ ANSWER_FORMATS = {
     "overview": "## Overview\nMost common: {top}",
 }
 ANSWER_FOOTER = "---\nSource: all records of the period."
+
+#: A term of the documents' languages in lower case, as every engine's regular expressions read it.
+TERM_PATTERN = "[a-zß-öø-ÿ]+"
