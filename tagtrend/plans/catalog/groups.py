@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagtrend.functions.vectors import to_vector, unit_vectors
-from tagtrend.operators import cells, clusters, counts, neighbours, rates, vectors
+from tagtrend.operators import cells, clusters, counts, lloyd, neighbours, rates, vectors
 from tagtrend.plans import views
 from tagtrend.plans import vocabulary as v
 from tagtrend.plans.catalog.registry import DOCUMENTS, query, rounded, sql_rates
@@ -191,16 +191,16 @@ def nearest_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 def kmeans_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What holds of a finished k-means: each row's centre is its nearest, and each centre is the mean of its rows."""
     rows = views.table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    model = vectors.best_kmeans(to_vector(rows, "embedding", "vector"), "vector", 10, restarts=3)
-    labelled = vectors.label_clusters(to_vector(rows, "embedding", "vector"), "vector", model).drop("vector")
+    model = vectors.best_kmeans(rows, "embedding", 10)
+    labelled = vectors.label_clusters(rows.withColumn("vector", F.col("embedding")), "vector", model)
     means = vectors.mean_vectors(labelled, "cluster", "embedding")
     near = vectors.nearest_centre(labelled, "embedding", means, "cluster", "mean")
-    centres = spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())], "cluster int, centre array<double>")
+    centres = spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(model.centres)], "cluster int, centre array<double>")
     apart = F.aggregate(F.zip_with("mean", "centre", lambda a, b: F.abs(a - b)), F.lit(0.0), lambda x, y: F.greatest(x, y))
     same = means.join(centres, "cluster").agg(F.max(apart) < 1e-3).scalar()
     return near.agg(
         F.count_distinct("cluster").cast("int").alias("clusters"), F.count("*").alias("n"), F.count_if(F.col("cluster") == F.col("nearest")).alias("own_centre_is_nearest"),
-    ).select("*", same.alias("centres_are_means"), F.lit(model.summary.numIter < vectors.MAX_ITER).alias("converged"))
+    ).select("*", same.alias("centres_are_means"), F.lit(model.converged).alias("converged"))
 
 
 @query("SELECT unnest([5, 7, 8, 9, 10, 12, 15]) AS k, true AS converged, true AS silhouette_in_range, true AS cheaper_than_one_cluster")
@@ -227,11 +227,29 @@ def projection_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_STEP = """c{n} AS (SELECT vec_id, e, arg_min(label, d * 1000 + label * 1e-9) AS label FROM (SELECT vec_id, e, m.label,
+round(list_sum([(x[1] - x[2]) * (x[1] - x[2]) FOR x IN list_zip(e, m.c)]), 9) AS d FROM rows_, m{n} m) GROUP BY ALL),
+m{next} AS (SELECT label, list(x ORDER BY i) AS c FROM (SELECT label, i, avg(e[i]) AS x FROM c{n}, generate_series(1, 64) AS g(i) GROUP BY ALL) GROUP BY 1)"""
+
+
+@query(f"""WITH rows_ AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings), m0 AS (SELECT label, list(m ORDER BY i) AS c FROM ({_MEANS}) GROUP BY 1),
+{', '.join(_STEP.format(n=i, next=i + 1) for i in range(4))}
+SELECT vec_id, label AS cluster FROM c3""")
+def kmeans_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three steps of k-means from the groups' means, then each row's nearest centre."""
+    rows = views.table(spark, sf_dir, "embeddings")
+    means = vectors.mean_vectors(rows, "label", "embedding").orderBy("label").collect()  # a row per group
+    fit = lloyd.fit_many(rows, "embedding", [(len(means), 0)], max_iter=3, tolerance=0.0, start=[[r["mean"] for r in means]])[0]
+    near = lloyd.nearest(rows.select("vec_id", "embedding"), "embedding", fit, "at")
+    labels = F.array(*[F.lit(r["label"]) for r in means])
+    return near.select("vec_id", F.element_at(labels, F.col("at") + 1).alias("cluster"))
+
+
 @query()
 def text_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents clustered on their text vectors, the best of ten fits, then profiled."""
     rows = _document_vectors(spark, sf_dir).select("doc_id", "vector")
-    labelled = vectors.label_clusters(rows, "vector", vectors.best_kmeans(rows, "vector", 9)).drop("vector")
+    labelled = vectors.label_clusters(rows, "vector", vectors.best_kmeans(rows, "vector", 9))
     records = views.tagged_documents(spark, sf_dir, "lang", "source").join(labelled, "doc_id")
     return rounded(clusters.cluster_profile(records, "cluster", "lang", "source", "tags_all"), "top_category_pct")
 
