@@ -217,16 +217,29 @@ def sweep_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("SELECT count(*) AS n, true AS centred, true AS uncorrelated, true AS ordered FROM embeddings")
-def projection_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What holds of two principal components: over the centred rows they are uncorrelated, the first is the wider."""
-    rows = vectors.project_2d(_embedding_vectors(spark, sf_dir), "vector")
+def _projected(rows: DataFrame) -> DataFrame:
+    """What holds of two principal components: centred, uncorrelated, the first the wider."""
     return rows.agg(
-        F.count("*").alias("n"), F.stddev("x").isNotNull().alias("centred"), (F.abs(F.corr("x", "y")) < 1e-6).alias("uncorrelated"),
-        (F.var_pop("x") >= F.var_pop("y")).alias("ordered"),
+        F.count("*").alias("n"), (F.greatest(F.abs(F.avg("x")), F.abs(F.avg("y"))) < 1e-9).alias("centred"), (F.abs(F.corr("x", "y")) < 1e-6).alias("uncorrelated"),
+        (F.var_pop("x") >= F.var_pop("y")).alias("ordered"), (F.var_pop("x") + F.var_pop("y")).alias("wide"),
     )
 
 
+@query("""SELECT count(*) AS n, true AS centred, true AS uncorrelated, true AS ordered, true AS wider_than_any_two_columns FROM embeddings""")
+def projection_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of the given vectors: beside the above, no two columns spread the rows further."""
+    table = views.table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    columns = table.select(F.posexplode("embedding").alias("i", "x")).groupBy("i").agg(F.var_pop("x").alias("wide"))
+    widest = columns.agg(F.slice(F.sort_array(F.collect_list("wide"), asc=False), 1, 2).alias("w")).select(F.get("w", F.lit(0)) + F.get("w", F.lit(1))).scalar()
+    return _projected(vectors.project_2d(table, "embedding")).withColumn("wider_than_any_two_columns", F.col("wide") >= widest).drop("wide")
+
+
+@query("SELECT count(*) AS n, true AS centred, true AS uncorrelated, true AS ordered FROM documents")
+def text_projection_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of the wide, sparse text vectors."""
+    return _projected(vectors.project_2d(_document_vectors(spark, sf_dir).select("doc_id", "vector"), "vector")).drop("wide")
+
+
 _STEP = """c{n} AS (SELECT vec_id, e, arg_min(label, d * 1000 + label * 1e-9) AS label FROM (SELECT vec_id, e, m.label,
 round(list_sum([(x[1] - x[2]) * (x[1] - x[2]) FOR x IN list_zip(e, m.c)]), 9) AS d FROM rows_, m{n} m) GROUP BY ALL),
 m{next} AS (SELECT label, list(x ORDER BY i) AS c FROM (SELECT label, i, avg(e[i]) AS x FROM c{n}, generate_series(1, 64) AS g(i) GROUP BY ALL) GROUP BY 1)"""

@@ -6,7 +6,7 @@ from helpers import values
 from pyspark.sql import functions as F
 
 from tagtrend.functions.vectors import to_vector, unit_vectors
-from tagtrend.operators import cells, clusters, neighbours, vectors
+from tagtrend.operators import cells, clusters, neighbours, projection, vectors
 from tagtrend.session import shared_folder
 
 
@@ -160,6 +160,42 @@ def test_projection_keeps_rows_and_spread(spark):
     assert len(got) == 90 and np.var([r["x"] for r in got]) > 1
 
 
+@pytest.mark.parametrize("narrow", [512, 2])
+def test_projection_equals_exact_components(spark, monkeypatch, narrow):
+    """Exact for narrow rows; the range finder agrees where the spectrum falls."""
+    monkeypatch.setattr(projection, "NARROW", narrow)
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 20)) * 0.7 ** np.arange(20) + 5
+    centred = x - x.mean(axis=0)
+    want = centred @ np.linalg.svd(centred, full_matrices=False)[2][:2].T
+    sparse = [(i, (list(range(0, 60, 3)), [float(v) for v in r])) for i, r in enumerate(x)]
+    for df in (
+        spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)] + [(900, None)], "id int, v array<double>"),
+        spark.createDataFrame(sparse, "id int, v struct<indices:array<int>,values:array<double>>"),
+    ):
+        got = {r["id"]: (r["x"], r["y"]) for r in vectors.project_2d(df, "v").collect()}
+        assert got.pop(900, (None, None)) == (None, None)
+        out = np.array([got[i] for i in range(300)])
+        out *= np.sign((out * want).sum(axis=0))
+        assert np.allclose(out, want, atol=1e-3 if narrow == 2 else 1e-8)
+
+
+@pytest.mark.skipif(not os.path.exists(GIVEN), reason="the given tables are not here")
+def test_projection_of_the_given_vectors(spark):
+    df = spark.read.parquet(GIVEN).select("vec_id", "embedding")
+    x = np.array([r["embedding"] for r in df.orderBy("vec_id").collect()], dtype=float)
+    centred = x - x.mean(axis=0)
+    got = np.array([(r["x"], r["y"]) for r in vectors.project_2d(df, "embedding").orderBy("vec_id").collect()])
+    want = centred @ np.linalg.svd(centred, full_matrices=False)[2][:2].T
+    assert np.allclose(np.abs(got), np.abs(want), atol=1e-6) and np.abs(got.mean(axis=0)).max() < 1e-9
+
+
+def test_projection_of_nothing_and_of_one_row(spark):
+    df = spark.createDataFrame([(1, [1.0, 2.0]), (2, None)], "id int, v array<double>")
+    assert [tuple(r) for r in vectors.project_2d(df, "v").orderBy("id").collect()] == [(1, 0.0, 0.0), (2, None, None)]
+    assert vectors.project_2d(df.where("false"), "v").count() == 0
+
+
 def test_text_vectors_are_unit(spark):
     df = spark.createDataFrame([(1, "a b c"), (2, "a d"), (3, "e f")], "id int, t string")
     norms = [np.linalg.norm(r["vector"].toArray()) for r in vectors.text_vectors(df, "t", features=64).collect()]
