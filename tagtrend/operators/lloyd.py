@@ -153,7 +153,7 @@ def _sums_of_task(shared: Broadcast, place: Broadcast, width: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.full(len(some), i, dtype=np.int32)), pa.array(some.astype(np.int32)), pa.array(counts[i][some]),
-                        pa.array(costs[i][some]), pa.array(square[i][some]), pa.array([sums[i][c].tobytes() for c in some], pa.binary()),
+                        pa.array(costs[i][some]), pa.array(square[i][some]), pa.array([_packed(sums[i][c]) for c in some], pa.binary()),
                     ],
                     names=["fit", "centre", "n", "cost", "squares", "sum"],
                 )
@@ -164,18 +164,36 @@ def _sums_of_task(shared: Broadcast, place: Broadcast, width: int):
 _PART = "fit int, centre int, n long, cost double, squares double, sum binary"
 
 
+def _packed(x: np.ndarray) -> bytes:
+    """A line of numbers as its entries other than zero, where these take less room."""
+    at = np.flatnonzero(x)
+    if 12 * len(at) >= 8 * len(x):
+        return b"\0" + x.tobytes()
+    return b"\1" + len(x).to_bytes(8, "little") + at.astype("<i4").tobytes() + x[at].tobytes()
+
+
+def _add(total: np.ndarray | None, part: bytes) -> np.ndarray:
+    """The sum with a packed line."""
+    if part[0] == 0:
+        line = np.frombuffer(part, dtype=np.float64, offset=1)
+        return line.copy() if total is None else total + line
+    out = np.zeros(int.from_bytes(part[1:9], "little")) if total is None else total
+    n = (len(part) - 9) // 12
+    out[np.frombuffer(part, dtype="<i4", count=n, offset=9)] += np.frombuffer(part, dtype=np.float64, count=n, offset=9 + 4 * n)
+    return out
+
+
 def _added(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The parts of one centre, added as they come."""
     n, cost, squares, total = 0, 0.0, 0.0, None
     for batch in batches:
         for i in range(batch.num_rows):
-            part = np.frombuffer(batch.column("sum")[i].as_buffer())
-            total = part.copy() if total is None else total + part
+            total = _add(total, batch.column("sum")[i].as_py())
         n += sum(batch.column("n").to_pylist())
         cost += sum(batch.column("cost").to_pylist())
         squares += sum(batch.column("squares").to_pylist())
     yield pa.RecordBatch.from_arrays(
-        [*(pa.array([x.as_py()], pa.int32()) for x in key), pa.array([n]), pa.array([cost]), pa.array([squares]), pa.array([total.tobytes()], pa.binary())],
+        [*(pa.array([x.as_py()], pa.int32()) for x in key), pa.array([n]), pa.array([cost]), pa.array([squares]), pa.array([_packed(total)], pa.binary())],
         names=["fit", "centre", "n", "cost", "squares", "sum"],
     )
 
@@ -198,7 +216,7 @@ class Scan:
         for row in found.to_pylist():
             counts, costs, sums, squares = out[row["fit"]]
             at = row["centre"]
-            counts[at], costs[at], squares[at], sums[at] = row["n"], row["cost"], row["squares"], np.frombuffer(row["sum"])
+            counts[at], costs[at], squares[at], sums[at] = row["n"], row["cost"], row["squares"], _add(None, row["sum"])
         return out
 
     def one(self) -> np.ndarray:
@@ -214,12 +232,12 @@ class Scan:
             for batch, rows in _read(batches, place.value, width):
                 away = _distances(rows, [shared.value])[0].min(axis=1)
                 taken = np.flatnonzero(batch.column("draw").to_numpy() * cost < wanted * away)
-                vectors = pa.array([rows.take(t).tobytes() for t in taken], pa.binary())
+                vectors = pa.array([_packed(rows.take(t)) for t in taken], pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column("draw").take(pa.array(taken)), vectors], names=["draw", "row"])
 
         draw = F.pmod(F.xxhash64("vector", F.lit(number)), F.lit(1 << 40)) / float(1 << 40)
         found = self.rows.select(draw.alias("draw"), "vector").mapInArrow(run, "draw double, row binary").distinct().orderBy("draw", "row").toArrow()
-        return np.array([np.frombuffer(x) for x in found.column("row").to_pylist()]).reshape(-1, width)
+        return np.array([_add(None, x) for x in found.column("row").to_pylist()]).reshape(-1, width)
 
 
 def _plus_plus(points: np.ndarray, weights: np.ndarray, k: int, seed: int) -> np.ndarray:
@@ -239,8 +257,7 @@ def _plus_plus(points: np.ndarray, weights: np.ndarray, k: int, seed: int) -> np
     for _ in range(10):
         near = (squares[:, None] + (centres * centres).sum(axis=1) - 2 * points @ centres.T).argmin(axis=1)
         total = np.bincount(near, weights, len(centres))
-        sums = np.zeros_like(centres)
-        np.add.at(sums, near, points * weights[:, None])
+        sums = np.where(near == np.arange(len(centres))[:, None], weights, 0.0) @ points
         centres = np.where(total[:, None] > 0, sums / np.where(total > 0, total, 1)[:, None], centres)
     return centres
 
