@@ -18,8 +18,9 @@ null ids come first; an empty table gives an empty result; other columns are ign
 
 from __future__ import annotations
 
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -37,9 +38,10 @@ SEGMENT_IDS = 1 << 18
 KEPT_PARTS = 250_000
 LONGEST_KEPT = 256
 CALL_PARTS = 20_000
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 4 << 20
 _HEADER = np.dtype([("ids", "<u8"), ("block", "<u4"), ("blocks", "<u4")])
 _ENTRY = np.dtype([("offset", "<u8"), ("low", "<u4"), ("patches", "<u4"), ("width", "<u4")])
+_PRINTABLE, _CLOSED = re.compile(rb"[!-~]+"), re.compile(rb"[A-Za-z]+|[0-9]|[^A-Za-z0-9]+")
 _MARK = np.zeros(256, dtype=bool)
 for _a, _b in ((33, 48), (58, 65), (91, 97), (123, 127)):
     _MARK[_a:_b] = True
@@ -114,6 +116,20 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.kept = Tokenizer.from_file(path), Recent(KEPT_PARTS)
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        vocabulary = self.tokenizer.get_vocab()
+        self.closing = np.zeros(max(vocabulary.values(), default=-1) + 1, dtype=bool)
+        self.closing[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
+
+    def _plain(self, parts: list[bytes], closings: list[int]) -> list[bytes] | None:
+        """The ids of parts that are known to end at their so many-th closing token; None if the numbers disagree."""
+        done = self.tokenizer.encode_batch_fast([b" ".join(parts).decode()], add_special_tokens=False)[0]
+        ids = np.array(done.ids, dtype="<u4")
+        ends, last = np.flatnonzero(self.closing[ids]) + 1, np.cumsum(closings)
+        if len(ends) != last[-1]:
+            return None
+        raw, cuts = ids.tobytes(), (ends[last - 1] * 4).tolist()
+        return [raw[a:b] for a, b in zip([0, *cuts], cuts, strict=False)]
 
     def _encoded(self, parts: list[bytes]) -> list[bytes]:
         """The ids of each part: one call for all, parted by spaces, and each token given to the part it starts in."""
@@ -127,16 +143,31 @@ class WordIds:
 
     def parts(self, parts: list[bytes]) -> list[bytes]:
         """The ids of each part: those kept, and the others by the tokenizer."""
-        found = [self.kept.find(p) for p in parts]
-        new = [i for i, ids in enumerate(found) if ids is None]
-        for start in range(0, len(new), CALL_PARTS):
-            some = new[start : start + CALL_PARTS]
-            for i, ids in zip(some, self._encoded([parts[i] for i in some]), strict=True):
-                found[i] = ids
-                if len(parts[i]) <= LONGEST_KEPT:
-                    self.kept.keep(parts[i], ids)
+        found = self.kept.find_all(parts)
+        plain: list[tuple[int, int]] = []
+        others: list[int] = []
+        for i, ids in enumerate(found):
+            if ids is None:
+                n = 1 if parts[i].isalpha() else closings(parts[i])
+                if n:
+                    plain.append((i, n))
+                else:
+                    others.append(i)
+        for start in range(0, len(plain), CALL_PARTS):
+            some, n = zip(*plain[start : start + CALL_PARTS], strict=True)
+            texts = [parts[i] for i in some]
+            self._found(found, some, texts, self._plain(texts, n) or self._encoded(texts))
+        for start in range(0, len(others), CALL_PARTS):
+            some = others[start : start + CALL_PARTS]
+            texts = [parts[i] for i in some]
+            self._found(found, some, texts, self._encoded(texts))
         return found
 
+    def _found(self, found: list, some: Sequence[int], texts: list[bytes], ids: list[bytes]) -> None:
+        for i, one in zip(some, ids, strict=True):
+            found[i] = one
+        self.kept.keep_all([(t, x) for t, x in zip(texts, ids, strict=True) if len(t) <= LONGEST_KEPT])
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the texts of a slice, one after the other, and how many each text has."""
         data, offsets = bytes_of(texts.fill_null(""))
@@ -146,6 +177,14 @@ class WordIds:
         return ids, np.diff(total[np.searchsorted(starts, offsets)])
 
 
+def closings(part: bytes) -> int:
+    """How many tokens of a part of printable ASCII close a word (one for each run of letters, digit and run of marks);
+    0 for other parts and those that may hold a contraction or a special token."""
+    if not _PRINTABLE.fullmatch(part) or b"'" in part or b"<|" in part:
+        return 0
+    return len(_CLOSED.findall(part))
+
+
 def word_parts(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The words cut into their letters and their tail of marks, in lower case, which the tokenizer drops anyway; words
     that may hold a contraction or a special token stay whole and as written."""

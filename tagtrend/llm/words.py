@@ -121,21 +121,37 @@ def words_of(texts: pa.Array, lower: bool = False) -> Words:
     return Words(data, starts, ends, names, np.searchsorted(starts, offsets))
 
 
-def looked_up(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, find: Callable[[list[bytes]], list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of many byte spans, one after the other, and how many each has. `find` gives the ids of distinct spans
-    as little-endian bytes; spans are told apart by two 64-bit names."""
+def joined(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The spans of an array one after the other, and where each begins (one more: the end)."""
+    size = ends - starts
+    first = np.concatenate([[0], np.cumsum(size)])
+    return values[np.arange(int(first[-1])) + np.repeat(starts - first[:-1], size)], first
+
+
+def distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One span of each distinct content, and which of these each span is; told apart by two 64-bit names."""
     values = BYTE_VALUE[data]
     names, check = span_hash(values, starts, ends, 0), span_hash(values, starts, ends, 1)
     _, first, of = np.unique(names, return_index=True, return_inverse=True)
     if not np.array_equal(check[first][of], check):
         first = of = np.arange(len(names))
-    raw = data.tobytes()
-    found = find([raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)])
+    return first, of
+
+
+def spread(found: list[bytes], of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids (little-endian bytes) of the entries `of` of a list, one after the other, and how many each has."""
     size = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
-    flat, begin = np.frombuffer(b"".join(found), dtype="<u4"), np.cumsum(size) - size
-    counts = size[of]
-    before = np.cumsum(counts) - counts
-    return flat[np.arange(int(counts.sum())) + np.repeat(begin[of] - before, counts)], counts
+    begin = np.cumsum(size) - size
+    ids, first = joined(np.frombuffer(b"".join(found), dtype="<u4"), begin[of], (begin + size)[of])
+    return ids, np.diff(first)
+
+
+def looked_up(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, find: Callable[[list[bytes]], list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of many byte spans, one after the other, and how many each has. `find` gives the ids of distinct spans
+    as little-endian bytes."""
+    first, of = distinct(data, starts, ends)
+    raw = data.tobytes()
+    return spread(find([raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]), of)
 
 
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -163,7 +179,7 @@ def runs(values: np.ndarray, breaks: np.ndarray | None = None) -> tuple[np.ndarr
 
 
 class Recent(dict):
-    """Keeps what was used of late: two generations of at most `limit` entries."""
+    """Keeps what was used of late: two generations of at most twice `limit` entries."""
 
     def __init__(self, limit: int):
         super().__init__()
@@ -176,6 +192,21 @@ class Recent(dict):
             self.keep(key, found)
         return found
 
+    def find_all(self, keys: list[bytes]) -> list[bytes | None]:
+        out = list(map(self.get, keys))
+        if self.older:
+            for i, found in enumerate(out):
+                if found is None:
+                    out[i] = self.find(keys[i])
+        return out
+
+    def keep_all(self, items: list[tuple[bytes, bytes]]) -> None:
+        for a in range(0, len(items), self.limit):
+            if len(self) >= self.limit:
+                self.older = dict(self)
+                self.clear()
+            self.update(items[a : a + self.limit])
+
     def keep(self, key: bytes, value: bytes) -> None:
         if len(self) >= self.limit:
             self.older = dict(self)
