@@ -7,8 +7,9 @@ in step with the old one again. Two tokens fit if merging their bytes by rank wo
 is decided by walking down the merges that made them.
 
 Texts are cut by the pattern first. In a text whose only white space is space and newline the cut never joins what
-stands on both sides of a word's end, so each distinct "white space and word" of a slice is encoded once, and what was
-used of late is kept per worker.
+stands on both sides of a word's end, so each distinct "white space and word" of a slice is cut once, all of them in one
+search. The tables of all short pieces of a slice grow together, prefix length by prefix length, as arrays; long pieces
+grow one by one. Pieces used of late are kept per worker.
 
 Defined results: null is the empty text (no tokens); repeated rows and null ids pass through; other columns are ignored.
 """
@@ -27,20 +28,43 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagtrend.llm.words import Recent, bounds, bytes_of, looked_up, slices
+from tagtrend.llm.words import BLANK, BYTE_VALUE, Recent, bounds, bytes_of, distinct, joined, mix, slices, spread
 
-KEPT_UNITS = 50_000
 KEPT_PIECES = 200_000
 KEPT_SEAMS = 1_000_000
 LONGEST_KEPT = 256
+TOGETHER = 64  # bytes of a piece that grows together with others
 DECODED_ROWS = 256
 SLICE_BYTES = 2 << 20
+_BASE, _WORD = int(mix(np.array([9], dtype=np.uint64))[0]) | 1, (1 << 64) - 1
 _ID = next(c for c in "IL" if array(c).itemsize == 4)
 _OTHER_SPACE = regex.compile(r"[^\S \n]")
 _ASCII_SPACE = [bytes([x]) for x in (9, 11, 12, 13, 28, 29, 30, 31)]
 _WIDE_SPACE = [b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a", b"\xe2\x80", b"\xe2\x81", b"\xe3\x80"]  # how the others begin in UTF-8
 
 
+class Names:
+    """Numbers under 64-bit keys, for arrays of keys; a bit table turns most strangers away."""
+
+    BITS = 20
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        order = np.argsort(keys)
+        self.keys, self.values = keys[order], values[order]
+        self.known = np.zeros(1 << self.BITS, dtype=bool)
+        self.known[self._slot(self.keys)] = True
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.BITS)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the keys are known, and their numbers."""
+        maybe = np.flatnonzero(self.known[self._slot(keys)])
+        at = np.searchsorted(self.keys, keys[maybe])
+        right = self.keys[np.minimum(at, len(self.keys) - 1)] == keys[maybe]
+        return maybe[right], self.values[at[right]]
+
+
 class Vocabulary:
     """Ranks, the two parts each token was merged from, and which tokens encode as themselves."""
 
@@ -58,6 +82,18 @@ class Vocabulary:
             self.size[i] = len(t)
         self.begin = np.cumsum(self.size) - self.size
         self.bytes = np.frombuffer(b"".join(self.token.get(i, b"") for i in range(size)), dtype=np.uint8)
+        self.left, self.right = np.full(size, -1, dtype=np.int64), np.full(size, -1, dtype=np.int64)
+        for i, (a, b) in self.parts.items():
+            self.left[i], self.right[i] = a, b
+        merged = np.fromiter(self.pair.values(), dtype=np.int64, count=len(self.pair))
+        self.merges = Names(_seam_key(self.left[merged], self.right[merged]), merged)
+        names = np.zeros(len(self.usable), dtype=np.uint64)
+        for i, t in enumerate(self.usable):
+            name = 0
+            for x in t:
+                name = (name * _BASE + int(BYTE_VALUE[x])) & _WORD
+            names[i] = name
+        self.names = Names(names, np.fromiter(self.usable.values(), dtype=np.int64, count=len(names)))
 
     def merged(self, piece: bytes) -> list[bytes]:
         """Plain BPE: merge the leftmost pair of the lowest rank until none is left."""
@@ -104,6 +140,79 @@ class Vocabulary:
                     return True
             until, left = left, a[1]
 
+    def all_fit(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """`fits` of many seams."""
+        fit, live = np.ones(len(left), dtype=bool), np.arange(len(left))
+        until = np.full(len(left), 1 << 60)
+        while len(live):
+            stay = np.ones(len(live), dtype=bool)
+            at, across = self.merges.find(_seam_key(left, right))
+            early = at[across < until[at]]
+            fit[live[early]] = stay[early] = False
+            inner, outer = self.right[left], self.left[right]
+            stay &= (inner >= 0) | (outer >= 0)
+            second = (outer >= 0) & ((inner < 0) | (left <= right))
+            until, left, right = np.where(second, right + 1, left), np.where(second, left, inner), np.where(second, outer, right)
+            live, until, left, right = live[stay], until[stay], left[stay], right[stay]
+        return fit
+
+
+def _seam_key(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return (left.astype(np.uint64) << np.uint64(32)) | right.astype(np.uint64)
+
+
+def last_tokens(v: Vocabulary, data: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The last token of every prefix of the pieces data[first[i]:first[i + 1]], all lengths of prefix in turn."""
+    if not len(data):
+        return np.zeros(0, dtype=np.int64)
+    begin, end = np.repeat(first[:-1], np.diff(first)), np.repeat(first[1:], np.diff(first))
+    values, live = BYTE_VALUE[data], np.arange(len(data))
+    name = np.zeros(len(data), dtype=np.uint64)
+    found = []
+    for length in range(1, min(v.longest, int(np.diff(first).max(initial=0))) + 1):
+        stays = live + length <= end[live]
+        live, name = live[stays], name[stays]
+        name = name * np.uint64(_BASE) + values[live + length - 1]
+        at, token = v.names.find(name)
+        found.append((live[at], live[at] + length, token))
+    start, stop, token = (np.concatenate(x) for x in zip(*found, strict=True))
+    size = stop - begin[start]
+    order = np.argsort(size, kind="stable")
+    start, stop, token = start[order], stop[order], token[order]
+    cuts = np.searchsorted(size[order], np.arange(1, int(size.max(initial=0)) + 2))
+    last = np.full(len(data), -1, dtype=np.int64)
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        s, e, t = start[a:b], stop[a:b], token[a:b]
+        whole = s == begin[s]
+        last[e[whole] - 1] = t[whole]
+        # a prefix that is a token by itself needs no other candidate
+        rest = np.flatnonzero(last[e - 1] < 0)
+        rest = rest[v.all_fit(last[s[rest] - 1], t[rest])]
+        last[e[rest] - 1] = t[rest]
+    if last.min() < 0:
+        raise ValueError("the vocabulary lacks a byte")
+    return last
+
+
+def tokens_of(v: Vocabulary, data: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens of the pieces, one after the other, and how many each has, read backwards from their tables."""
+    last, count = last_tokens(v, data, first), np.zeros(len(first) - 1, dtype=np.int64)
+    live, at, steps = np.arange(len(count)), first[1:], []
+    while True:
+        more = at > first[live]
+        live, at = live[more], at[more]
+        if not len(live):
+            break
+        token = last[at - 1]
+        steps.append((live, count[live], token))
+        count[live] += 1
+        at = at - v.size[token]
+    ends = np.cumsum(count)
+    out = np.zeros(int(count.sum()), dtype="<u4")
+    for piece, behind, token in steps:
+        out[ends[piece] - 1 - behind] = token
+    return out, count
+
 
 class PrefixTable:
     """The last token of every prefix of a growing or edited byte string (one piece of the pattern)."""
@@ -163,27 +272,62 @@ class PrefixTable:
 
 
 class Encoder:
-    """Texts to ids as little-endian bytes; pieces, and white space with the word behind it, are kept."""
+    """Texts to ids as little-endian bytes; pieces are kept."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary = vocabulary
-        self.units, self.pieces = Recent(KEPT_UNITS), Recent(KEPT_PIECES)
-
-    def _piece(self, data: bytes) -> bytes:
-        found = self.pieces.find(data)
-        if found is None:
-            whole = self.vocabulary.ranks.get(data)
-            found = array(_ID, PrefixTable(self.vocabulary, data).tokens() if whole is None else [whole]).tobytes()
-            self.pieces.keep(data, found)
+        self.vocabulary, self.pieces = vocabulary, Recent(KEPT_PIECES)
+
+    def _pieces(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each piece: whole tokens and kept pieces, and the others by their tables."""
+        v, ranks = self.vocabulary, self.vocabulary.ranks
+        found = self.pieces.find_all(pieces)
+        short = []
+        for i, piece in enumerate(pieces):
+            if found[i] is None:
+                whole = ranks.get(piece)
+                if whole is not None:
+                    found[i] = array(_ID, [whole]).tobytes()
+                elif len(piece) > TOGETHER:
+                    found[i] = array(_ID, PrefixTable(v, piece).tokens()).tobytes()
+                    if len(piece) <= LONGEST_KEPT:
+                        self.pieces.keep(piece, found[i])
+                else:
+                    short.append(i)
+        data = b"".join([pieces[i] for i in short])
+        first = np.concatenate([[0], np.cumsum([len(pieces[i]) for i in short], dtype=np.int64)])
+        ids, counts = tokens_of(v, np.frombuffer(data, dtype=np.uint8), first)
+        cuts, raw = (np.concatenate([[0], np.cumsum(counts)]) * 4).tolist(), ids.tobytes()
+        for i, a, b in zip(short, cuts, cuts[1:], strict=False):
+            found[i] = raw[a:b]
+        self.pieces.keep_all([(pieces[i], found[i]) for i in short])
         return found
 
-    def _unit(self, data: bytes) -> bytes:
-        found = self.units.find(data)
-        if found is None:
-            found = b"".join([self._piece(p.encode()) for p in self.vocabulary.pattern.findall(data.decode())])
-            if len(data) <= LONGEST_KEPT:
-                self.units.keep(data, found)
-        return found
+    def _cut(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, odd: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The bytes of the units again, in another order, where units and pieces begin in them, and the order."""
+        # white space in front and a word at the end: no piece reaches over the seam of two such units
+        plain = ~odd & BLANK[data[starts]] & ~BLANK[data[ends - 1]]
+        order = np.argsort(~plain, kind="stable")
+        raw, first = joined(data, starts[order], ends[order])
+        n, text = int(plain.sum()), raw.tobytes()
+        cut = self.vocabulary.pattern.findall
+        found = cut(text[: first[n]].decode())
+        for a, b in zip(first[n:].tolist(), first[n + 1 :].tolist(), strict=False):
+            found += cut(text[a:b].decode())
+        _, begin = bytes_of(pa.array(found, pa.large_string()))
+        return raw, first, begin, order
+
+    def _units(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, odd: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct units, and how many each has."""
+        raw, first, begin, order = self._cut(data, starts, ends, odd)
+        one, of = distinct(raw, begin[:-1], begin[1:])
+        text = raw.tobytes()
+        found = self._pieces([text[a:b] for a, b in zip(begin[:-1][one].tolist(), begin[1:][one].tolist(), strict=True)])
+        ids, counts = spread(found, of)
+        total = np.concatenate([[0], np.cumsum(counts)])[np.searchsorted(begin, first)]
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        flat, cuts = joined(ids, total[:-1][place], total[1:][place])
+        return flat, np.diff(cuts)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the texts of a slice, one after the other, and how many each text has."""
@@ -199,7 +343,14 @@ class Encoder:
             starts, ends = np.append(starts[plain], offsets[odd]), np.append(ends[plain], offsets[odd + 1])
             order = np.argsort(starts, kind="stable")
             starts, ends = starts[order], ends[order]
-        ids, counts = looked_up(data, starts, ends, lambda units: [self._unit(u) for u in units])
+        if not len(starts):
+            return np.zeros(0, dtype="<u4"), np.zeros(len(texts), dtype=np.int64)
+        whole = np.isin(starts, offsets[odd])
+        one, of = distinct(data, starts, ends)
+        ids, counts = self._units(data, starts[one], ends[one], whole[one])
+        cuts = np.cumsum(counts) - counts
+        ids, first = joined(ids, cuts[of], (cuts + counts)[of])
+        counts = np.diff(first)
         total = np.concatenate([[0], np.cumsum(counts)])
         return ids, np.diff(total[np.searchsorted(starts, offsets)])
 

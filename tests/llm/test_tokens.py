@@ -66,8 +66,21 @@ def test_appends_and_edits_equal_encoding_anew():
     assert long.splice(10, 11, b"Q") < 200
 
 
-def test_kept_units_change_nothing(byte_level, monkeypatch):
-    monkeypatch.setattr(prefix_bpe, "KEPT_UNITS", 3)
+def test_tables_that_grow_together_are_those_grown_alone():
+    v = prefix_bpe.encoder(RANKS, P.PATTERN).vocabulary
+    rng = random.Random(3)
+    pieces = [bytes(rng.choices(b"aabcdeeghilnorsttu\xc3\xa9 .", k=rng.randint(1, 40))) for _ in range(2000)] + [b"the", b" nothing", b"aaaaaaaa"]
+    first = np.cumsum([0, *map(len, pieces)])
+    last = prefix_bpe.last_tokens(v, np.frombuffer(b"".join(pieces), dtype=np.uint8), first)
+    ids, counts = prefix_bpe.tokens_of(v, np.frombuffer(b"".join(pieces), dtype=np.uint8), first)
+    cuts = np.cumsum([0, *counts])
+    for i, piece in enumerate(pieces):
+        alone = prefix_bpe.PrefixTable(v, piece)
+        assert last[first[i] : first[i + 1]].tolist() == alone.last and ids[cuts[i] : cuts[i + 1]].tolist() == alone.tokens()
+
+
+def test_kept_pieces_change_nothing(byte_level, monkeypatch):
+    monkeypatch.setattr(prefix_bpe, "TOGETHER", 6)
     monkeypatch.setattr(prefix_bpe, "KEPT_PIECES", 2)
     monkeypatch.setattr(prefix_bpe, "KEPT_SEAMS", 5)
     coder = prefix_bpe.Encoder(prefix_bpe.encoder(RANKS, P.PATTERN).vocabulary)
