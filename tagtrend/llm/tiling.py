@@ -31,6 +31,8 @@ from tagtrend.llm.words import Words, slices, window_hash, words_of
 SEED = 5
 COVERAGE = 0.6
 BLOCK_WORDS = 200_000
+CHUNK_HITS = 1 << 20
+PAIR_HITS = 1 << 18  # beyond it a pair's tiles are found by length; they are the same
 _FILTER_BITS = 20
 MAX_BROADCAST = 500_000  # names of rows, 8 bytes each; beyond it the join shuffles
 MATCH = "doc_id long, item_id long, n_words int, n_covered int, tiles array<struct<item_start:int,doc_start:int,length:int>>"
@@ -84,38 +86,98 @@ def tiles(item: np.ndarray, doc: np.ndarray, item_at: np.ndarray, doc_at: np.nda
     return found
 
 
+def tiles_by_length(item: np.ndarray, doc: np.ndarray, seed: int) -> list[tuple[int, int, int]]:
+    """`tiles` in memory of the two sequences alone, however often their seeds agree: the longest length at which
+    Karp-Rabin hashes of unmarked runs meet is found by halving, its tiles are marked, and the search goes on below."""
+    item_free, doc_free, found = np.ones(len(item), dtype=bool), np.ones(len(doc), dtype=bool), []
+
+    def windows(values: np.ndarray, free: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        before = np.concatenate([[0], np.cumsum(free)])
+        at = np.flatnonzero(before[n:] - before[:-n] == n)
+        return at, window_hash(values, n)[at]
+
+    high = min(len(item), len(doc))
+    while high >= seed:
+        low = seed - 1  # runs of `low` words are shared, or nothing is known of them; longer ones than `high` are not
+        while low < high:
+            middle = (low + high + 1) // 2
+            if np.isin(windows(item, item_free, middle)[1], windows(doc, doc_free, middle)[1]).any():
+                low = middle
+            else:
+                high = middle - 1
+        n = low
+        if n < seed:
+            break
+        (at, names), (place, hashes) = windows(item, item_free, n), windows(doc, doc_free, n)
+        order = np.argsort(hashes, kind="stable")
+        place, hashes = place[order], hashes[order]
+        first, last = np.searchsorted(hashes, names, "left"), np.searchsorted(hashes, names, "right")
+        tried: dict[int, int] = {}  # per hash: the places before this one are taken for good
+        for i, a, b in zip(at.tolist(), first.tolist(), last.tolist(), strict=True):
+            if a == b or not item_free[i : i + n].all():
+                continue
+            k = tried.get(a, a)
+            while k < b and not doc_free[place[k] : place[k] + n].all():
+                k += 1
+            tried[a] = k
+            if k < b:
+                j = int(place[k])
+                item_free[i : i + n] = doc_free[j : j + n] = False
+                found.append((i, j, n))
+        high = n - 1
+    return found
+
+
+def _ramp(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """start[i], start[i] + 1, ... of the given counts, one after the other."""
+    return np.arange(int(count.sum())) + np.repeat(start - (np.cumsum(count) - count), count)
+
+
 def _search(items: Items, words: Words, seed: int, coverage: float) -> Iterator[tuple[int, int, int, list[tuple[int, int, int]]]]:
-    """(text of the slice, item, covered words, tiles) of every match."""
+    """(text of the slice, item, covered words, tiles) of every match. A text meets each seed of the benchmark once,
+    however often it repeats; pairs of places are listed only for items that these seeds cover, and only if few."""
     at, of = seed_places(words, seed)
     if not len(at) or not len(items.hashes):
         return
     hashes = window_hash(words.names, seed)[at]
     maybe = np.flatnonzero(items.known[(hashes >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
     low, high = np.searchsorted(items.hashes, hashes[maybe], "left"), np.searchsorted(items.hashes, hashes[maybe], "right")
-    hits = high - low
-    pick = np.repeat(low, hits) + np.arange(int(hits.sum())) - np.repeat(np.cumsum(hits) - hits, hits)
-    place = np.repeat(maybe, hits)
-    doc, item, item_at, doc_at = of[place], items.item[pick], items.at[pick], at[place] - words.first[of[place]]
-    order = np.lexsort((item, doc))
-    doc, item, item_at, doc_at = doc[order], item[order], item_at[order], doc_at[order]
-    cuts = np.flatnonzero((np.diff(doc) != 0) | (np.diff(item) != 0)) + 1
-    for a, b in zip([0, *cuts], [*cuts, len(doc)], strict=True):
-        if a == b:
-            continue
-        d, i = int(doc[a]), int(item[a])
-        size = int(items.first[i + 1] - items.first[i])
-        reach = np.zeros(size + 1, dtype=np.int32)
-        starts = np.unique(item_at[a:b])
-        reach[starts] += 1
-        reach[starts + seed] -= 1
-        if np.count_nonzero(np.cumsum(reach)[:size]) < coverage * size:
-            continue
-        found = tiles(
-            items.names[items.first[i] : items.first[i + 1]], words.names[words.text(d)], item_at[a:b], doc_at[a:b], seed
-        )
-        covered = sum(n for _, _, n in found)
-        if covered >= coverage * size:
-            yield d, i, covered, found
+    order = np.lexsort((low, of[maybe]))
+    order = order[(high > low)[order]]
+    if not len(order):
+        return
+    place, low, high = maybe[order], low[order], high[order]
+    new = np.ones(len(place), dtype=bool)
+    new[1:] = (of[place][1:] != of[place][:-1]) | (low[1:] != low[:-1])
+    begin = np.flatnonzero(new)  # one for each text and seed, with its places behind it
+    repeats = np.diff(np.append(begin, len(place)))
+    text, low, hits = of[place[begin]], low[begin], (high - low)[begin]
+    # texts together up to a number of meetings; those of one text are at most the seeds of the block
+    share = (np.cumsum(hits) - hits)[np.searchsorted(text, text)] // CHUNK_HITS
+    edges = np.flatnonzero(np.diff(share)) + 1
+    for g, h in zip([0, *edges], [*edges, len(text)], strict=True):
+        pick, group = _ramp(low[g:h], hits[g:h]), np.repeat(np.arange(g, h), hits[g:h])
+        order = np.lexsort((items.item[pick], text[group]))
+        pick, group = pick[order], group[order]
+        doc, item = text[group], items.item[pick]
+        cuts = np.flatnonzero((np.diff(doc) != 0) | (np.diff(item) != 0)) + 1
+        for a, b in zip([0, *cuts], [*cuts, len(doc)], strict=True):
+            d, i, starts = int(doc[a]), int(item[a]), items.at[pick[a:b]]
+            size = int(items.first[i + 1] - items.first[i])
+            reach = np.zeros(size + 1, dtype=np.int32)
+            reach[starts] += 1
+            reach[starts + seed] -= 1
+            if np.count_nonzero(np.cumsum(reach)[:size]) < coverage * size:
+                continue
+            names, inside, count = items.names[items.first[i] : items.first[i + 1]], words.names[words.text(d)], repeats[group[a:b]]
+            if int(count.sum()) > PAIR_HITS:
+                found = tiles_by_length(names, inside, seed)
+            else:
+                places = at[place[_ramp(begin[group[a:b]], count)]] - words.first[d]
+                found = tiles(names, inside, np.repeat(starts, count), places, seed)
+            covered = sum(n for _, _, n in found)
+            if covered >= coverage * size:
+                yield d, i, covered, found
 
 
 def matches(documents: DataFrame, benchmark: DataFrame, seed: int = SEED, coverage: float = COVERAGE, block_words: int = BLOCK_WORDS) -> DataFrame:

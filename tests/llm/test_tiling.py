@@ -1,10 +1,12 @@
 """Greedy string tiling against a naive search for the longest tile."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
-from tagtrend.llm.tiling import decontaminate, matches, tiles
+from tagtrend.llm import tiling
+from tagtrend.llm.tiling import decontaminate, matches, tiles, tiles_by_length
 from tagtrend.llm.words import words_of
 
 
@@ -39,7 +41,29 @@ def test_tiles_are_those_of_the_naive_search():
         names = [words_of(pa.array([" ".join(x)])).names for x in (item, doc)]
         places = [(i, j) for i in range(len(item) - 2) for j in range(len(doc) - 2) if item[i : i + 3] == doc[j : j + 3]]
         at = np.array(places, dtype=np.int64).reshape(-1, 2)
-        assert tiles(*names, at[:, 0], at[:, 1], 3) == naive(item, doc, 3)
+        assert tiles(*names, at[:, 0], at[:, 1], 3) == naive(item, doc, 3) == tiles_by_length(*names, 3)
+
+
+def test_repetitive_texts_take_little_memory():
+    """Six hundred million pairs of places agree; texts and items are found as with few."""
+    item = tiling.Items([1, 2], [" ".join(["ha"] * 2000), " ".join(f"w{i}" for i in range(40))], 5)
+    texts = [" ".join(["ha"] * 300_000), "nothing of it", " ".join([*(f"w{i}" for i in range(40)), *["ha"] * 1300])]
+    tracemalloc.start()
+    found = {(d, i): (n, t) for d, i, n, t in tiling._search(item, words_of(pa.array(texts), lower=True), 5, 0.6)}
+    assert tracemalloc.get_traced_memory()[1] < 300 << 20
+    tracemalloc.stop()
+    assert found == {(0, 0): (2000, [(0, 0, 2000)]), (2, 1): (40, [(0, 0, 40)]), (2, 0): (1300, [(0, 40, 1300)])}
+
+
+def test_chunks_and_lengths_change_nothing(monkeypatch):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice("ab") for _ in range(rng.randint(0, 60))) for _ in range(30)]
+    item = tiling.Items(list(range(8)), [" ".join(rng.choice("ab") for _ in range(rng.randint(4, 20))) for _ in range(8)], 5)
+    words = words_of(pa.array(texts), lower=True)
+    whole = list(tiling._search(item, words, 5, 0.6))
+    monkeypatch.setattr(tiling, "CHUNK_HITS", 3)
+    monkeypatch.setattr(tiling, "PAIR_HITS", 0)
+    assert whole and list(tiling._search(item, words, 5, 0.6)) == whole
 
 
 ITEM = [f"t{i}" for i in range(30)]
