@@ -141,33 +141,44 @@ def test_base_scores_and_perplexity(spark, monkeypatch, part_bytes):
         assert sum(r["score"] for r in part) > sum(r["base_score"] for r in part)
 
 
-def test_scores_are_a_distribution():
-    """The chances of all words and the unknown one add up to one in every context."""
+@pytest.mark.parametrize("n_hot", [0, 3])
+def test_scores_are_a_distribution(spark, n_hot):
+    """The chances that `_score` gives to all words and the unknown one add up to one in every context: three parts
+    learned over Spark, each occurrence a document of its own, every pair once held out."""
     rng = np.random.Generator(np.random.PCG64(1))
-    words = pitman_yor.mix(np.arange(40, dtype=np.uint64))
-    names, classes = words[rng.integers(0, 40, 3000) ** 2 // 40], rng.integers(0, 5, 3000).astype(np.uint16)
-    order = np.argsort(names, kind="stable")
-    word, n = np.unique(names, return_counts=True)
-    body = [np.array([len(word), 3000], "<u4"), word, n.astype("<u4"), classes[order], np.zeros(3000, "<u4")]
-    blob = pa.StructArray.from_arrays([pa.array([0]), pa.array([pitman_yor.packed(b"".join(x.tobytes() for x in body))])], names=["block", "payload"])
-    totals = pitman_yor.Totals(parts=1, hot=np.zeros(0, dtype=np.uint64))
-    part = pitman_yor.Part(0, blob, totals)
-    totals.words, totals.tokens = len(word), 3000
-    totals.customers = np.bincount(classes, minlength=pitman_yor.CLASSES).astype(float)
-    for _ in range(3):
-        tables, parent, _ = list(pitman_yor.sweeps(part, totals, rng, 4))[-1]
-        totals.tables, totals.parent_tables = np.bincount(part.class_of, tables, pitman_yor.CLASSES), float(parent.sum())
-    d, s = totals.discount, pitman_yor.STRENGTH
-    guests = np.bincount(part.word_of, tables, len(word))
-    uniform = (s + totals.parent_discount * parent.sum()) / (len(word) + 1)
-    shared = (guests - totals.parent_discount * parent + uniform) / (s + guests.sum())
-    assert abs(shared.sum() + uniform / (s + guests.sum()) - 1) < 1e-9
+    words, classes, n = pitman_yor.mix(np.arange(41, dtype=np.uint64)), np.arange(5, dtype=np.uint16), 3000
+    names = np.append(words[rng.integers(0, 40, n) ** 2 // 40], np.repeat(words, 5))  # the last word is unknown
+    where = np.append(rng.integers(0, 5, n).astype(np.uint16), np.tile(classes, 41))
+    held = np.arange(len(names)) >= n
+    hot = np.sort(words[:n_hot])
+    part_of = (names % np.uint64(3)).astype(np.int64)
+    part_of[np.isin(names, hot)] = np.arange(len(names))[np.isin(names, hot)] % 3
+    rows, place = [], {}
+    for number in range(3):
+        mine = np.flatnonzero(part_of == number)
+        mine = mine[np.argsort(names[mine], kind="stable")]
+        word, times = np.unique(names[mine], return_counts=True)
+        docs = (np.arange(len(mine)) * 2 + held[mine]).astype("<u4")
+        body = [np.array([len(word), len(mine)], "<u4"), word, times.astype("<u4"), where[mine], docs]
+        rows.append((number, [(number, pitman_yor.packed(b"".join(x.tobytes() for x in body)))]))
+        place[number] = mine
+    parts = spark.createDataFrame(rows, "part int, blobs array<struct<block:long,payload:binary>>").repartition(3)
+    totals = pitman_yor.Totals(parts=3, hot=hot)
+    pitman_yor.learn(parts, totals, 5)
+    assert totals.tokens == n and totals.words == len(set(names[:n].tolist()))
+    chance = {}
+    for number, mine in place.items():
+        part = pitman_yor.Part(pa.array(rows[number][1], pa.struct([("block", pa.int64()), ("payload", pa.binary())])), hot)
+        sums = pitman_yor.Sums()
+        list(pitman_yor._score(5)(number, part, totals, sums))
+        for i, score in zip(mine, sums.blocks[number][1], strict=True):
+            chance[int(names[i]), int(where[i])] = 10**score
+    unknown = [w for w in words.tolist() if w not in set(names[:n].tolist())]
     for k in range(5):
-        mine = part.class_of == k
-        room = s + totals.customers[k]
-        direct = ((part.count - d * tables)[mine]).sum() / room
-        assert abs(direct + (s + d * tables[mine].sum()) / room - 1) < 1e-9
-    assert (tables <= part.count).all() and (tables >= (part.count > 0)).all()
+        known = sum(chance[w, k] for w in words.tolist() if w not in unknown)
+        assert abs(known + chance[unknown[0], k] - 1) < 1e-9
+    tables = [t.sum() for t, _ in totals.history]
+    assert tables[0] <= min(tables[1:]) and max(tables) <= n
 
 
 def test_reseating_follows_the_process():
