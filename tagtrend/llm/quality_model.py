@@ -4,12 +4,12 @@ Tokens are runs of letters and digits, or runs of other marks, as written. Every
 vector; a token's word vector is the normalised sum of the index vectors of its neighbours in the training texts,
 kept in a table of a fixed number of hashed rows. A document is pooled to the mean and the spread of its tokens' word
 vectors and of their index vectors, with a few shares of the tokens. The network is trained in numpy on the driver on
-at most `max_labelled` labelled documents, chosen by a hash of their id; its table and weights have a fixed size and
-are broadcast. Logits are divided by a temperature fitted on held-back training rows.
+at most `max_labelled` labelled documents, chosen by a hash of their id, which tasks pool, so that no text reaches the
+driver; table and weights have a fixed size and are broadcast. Logits are divided by a temperature fitted on held-back training rows.
 
 Defined results: null and empty texts pool to zeros and get the score of that; without labels of both kinds every
-score is the share of good labels, or one half; of several labels of a document the smallest counts; rows without an
-id are scored, never learned from; other columns are ignored.
+score is the share of good labels, or one half; of several labels of a document the smallest counts, of several texts
+with one id the smallest is learned from; rows without an id are scored, and give words, never labels; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -68,22 +68,48 @@ def index_vectors(names: np.ndarray) -> np.ndarray:
 INDEX_TABLE = index_vectors(mix(np.arange(ROWS, dtype=np.uint64), 5))
 
 
-def word_vectors(texts: Iterator[pa.Array]) -> np.ndarray:
-    """Table of word vectors learned from texts: each row sums the index vectors of its tokens' neighbours."""
-    total = np.zeros((ROWS, DIMENSIONS), dtype=np.float64)
+def neighbour_sums(texts: Iterator[pa.Array]) -> np.ndarray:
+    """For each row of the table, the sum of the index vectors of its tokens' neighbours. Whole numbers, so that the
+    order of adding does not matter."""
+    total = np.zeros((DIMENSIONS, ROWS), dtype=np.float64)
     for part in texts:
         names, _, first = tokens(part)
         row = (names % np.uint64(ROWS)).astype(np.int64)
         text = np.repeat(np.arange(len(first) - 1), np.diff(first))
+        # what stands around each token is summed first, so that the table is touched once per dimension
+        around = np.zeros((DIMENSIONS, len(row)), dtype=np.float32)
+        vectors = np.ascontiguousarray(INDEX_TABLE[row].T)
         for step in range(1, REACH + 1):
-            near = np.flatnonzero(text[step:] == text[:-step])
-            a, b = row[near], row[near + step]
-            for d in range(DIMENSIONS):
-                total[:, d] += np.bincount(a, INDEX_TABLE[b, d], ROWS) + np.bincount(b, INDEX_TABLE[a, d], ROWS)
+            same = text[step:] == text[:-step]
+            around[:, :-step] += vectors[:, step:] * same
+            around[:, step:] += vectors[:, :-step] * same
+        for d in range(DIMENSIONS):
+            total[d] += np.bincount(row, around[d], ROWS)
+    return total.T
+
+
+def normalised(total: np.ndarray) -> np.ndarray:
     norm = np.linalg.norm(total, axis=1, keepdims=True)
     return (total / np.maximum(norm, 1e-9)).astype(np.float32)
 
 
+def word_vectors(texts: DataFrame) -> np.ndarray:
+    """The table of word vectors of all texts: a task sums its own, rows are added up by number. What reaches the driver
+    is the table, whose size no corpus changes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = neighbour_sums(b.column("text") for b in slices(batches, limit=SLICE_BYTES))
+        used = np.flatnonzero(total.any(axis=1))
+        columns = [pa.array(used.astype(np.int32)), *(pa.array(total[used, d].astype(np.int64)) for d in range(DIMENSIONS))]
+        yield pa.RecordBatch.from_arrays(columns, names=["row", *parts])
+
+    parts = [f"d{d}" for d in range(DIMENSIONS)]
+    sums = texts.select("text").mapInArrow(run, ", ".join(["row int", *(f"{d} long" for d in parts)]))
+    found = sums.groupBy("row").agg(*[F.sum(d).alias(d) for d in parts]).toArrow()
+    total = np.zeros((ROWS, DIMENSIONS))
+    total[found.column("row").to_numpy()] = np.stack([found.column(d).to_numpy() for d in parts], axis=1)
+    return normalised(total)
+
+
 def pooled(texts: pa.Array, table: np.ndarray) -> np.ndarray:
     """One row per text: mean and spread of word vectors, spread of index vectors, and shares of the token classes."""
     names, kind, first = tokens(texts)
@@ -173,14 +199,24 @@ def fit(documents: DataFrame, labels: DataFrame, learn_from: Column, max_labelle
     marked = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & learn_from).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     chosen = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id").combine_chunks()
-    good = rows.column("quality").to_numpy().astype(bool) if rows.num_rows else np.zeros(0, dtype=bool)
-    if not good.any() or good.all():
+    rows = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
+    kinds = {r["quality"] for r in rows.select(F.col("quality").cast("boolean").alias("quality")).distinct().collect()}
+    if len(kinds) < 2:
         empty = np.zeros(0)
-        return Model(empty, empty, empty, (empty,) * 4, 1.0, float(good.mean()) if len(good) else 0.5)
-    parts = [b.column("text") for b in slices(iter(rows.to_batches()), limit=SLICE_BYTES)]
-    table = word_vectors(iter(parts))
-    features = np.vstack([pooled(p, table) for p in parts])
+        return Model(empty, empty, empty, (empty,) * 4, 1.0, float(kinds.pop()) if kinds else 0.5)
+    table = word_vectors(texts)
+    shared = documents.sparkSession.sparkContext.broadcast(table)
+
+    def pool(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, limit=SLICE_BYTES):
+            features = pooled(batch.column("text"), shared.value)
+            of_list = pa.ListArray.from_arrays(np.arange(len(features) + 1, dtype=np.int32) * features.shape[1], pa.array(features.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("good"), of_list], names=["doc_id", "good", "features"])
+
+    marked_texts = rows.select("doc_id", "text", F.col("quality").cast("boolean").alias("good"))
+    rows = marked_texts.mapInArrow(pool, "doc_id long, good boolean, features array<float>").toArrow().sort_by("doc_id").combine_chunks()
+    good = rows.column("good").to_numpy().astype(bool)
+    features = rows.column("features").combine_chunks().values.to_numpy().reshape(len(good), -1)
     held = (mix(rows.column("doc_id").to_numpy().astype(np.int64).view(np.uint64), 3) % np.uint64(5)) == 0
     if not (good[~held].any() and not good[~held].all()):
         held[:] = False

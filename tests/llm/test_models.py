@@ -57,12 +57,28 @@ def test_classifier_of_awkward_rows(spark, awkward, nothing, clashing):
 
 def test_pooling_does_not_depend_on_the_slice():
     texts = ["a b c", None, "", "THE!! END!!", "ha ha ha"]
-    table = quality_model.word_vectors(iter([pa.array(texts)]))
+    table = quality_model.normalised(quality_model.neighbour_sums(iter([pa.array(texts)])))
     whole = quality_model.pooled(pa.array(texts, pa.string()), table)
     for i, t in enumerate(texts):
         assert np.array_equal(quality_model.pooled(pa.array([t], pa.string()), table)[0], whole[i])
 
 
+def test_word_vectors_sum_over_all_documents(spark, awkward, nothing, tiny_batches):
+    """Against one neighbour after another, over many partitions; texts without a label count as well."""
+    texts = [r["text"] or "" for r in awkward.collect()]
+    whole = np.zeros((quality_model.ROWS, quality_model.DIMENSIONS))
+    for text in texts:
+        names, _, _ = quality_model.tokens(pa.array([text]))
+        rows = (names % np.uint64(quality_model.ROWS)).astype(int).tolist()
+        for i, a in enumerate(rows):
+            for j in range(max(0, i - quality_model.REACH), min(len(rows), i + quality_model.REACH + 1)):
+                if i != j:
+                    whole[a] += quality_model.INDEX_TABLE[rows[j]]
+    found = quality_model.word_vectors(awkward.repartition(5).select(F.coalesce("text", F.lit("")).alias("text")))
+    assert np.array_equal(found, quality_model.normalised(whole)) and found.any()
+    assert not quality_model.word_vectors(nothing).any()
+
+
 def brute_counts(text):
     text = text or ""
     words = WORD.findall(text)
