@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 ROWS_PER_BLOCK = 32_768
 QUERIES_PER_BLOCK = 4_096
 MAX_BROADCAST_KEYS = 100_000
-_SLICE = 256
+_SCORES = 1 << 20  # of a slice of queries
 _SPARSE_SLICE = 64
 
 
@@ -40,8 +40,10 @@ def _scores(queries: pa.ChunkedArray, rows: pa.ChunkedArray) -> Iterator[np.ndar
     """Cosines of a slice of queries with all rows, slice by slice."""
     if not pa.types.is_struct(queries.type):
         wanted, collection = unit_rows(queries), unit_rows(rows)
-        for start in range(0, len(wanted), _SLICE):
-            yield np.round(wanted[start : start + _SLICE] @ collection.T, 9)
+        step = max(1, _SCORES // len(collection))
+        for start in range(0, len(wanted), step):
+            scores = wanted[start : start + step] @ collection.T
+            yield np.round(scores, 9, out=scores)
         return
     q_row, q_slot, q_value = _sparse(queries)
     row, slot, value = _sparse(rows)
