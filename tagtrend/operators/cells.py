@@ -29,6 +29,7 @@ ROWS_PER_CELL = 3  # until there are as many cells as that
 STEPS = 12
 SHARE = 0.28  # of the rows that a query compares unless the search is exact
 _SLICE = 2_048
+_PROBES = 16_384  # of a record batch, as each carries its query's vector
 
 
 def fit_centres(rows: np.ndarray, cells: int, steps: int = STEPS, seed: int = 7) -> np.ndarray:
@@ -85,7 +86,7 @@ def build_cells(rows: DataFrame, path: str, *, row_id: str, vector: str, cells:
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        for batch in (b.slice(i, _SLICE) for b in batches for i in range(0, b.num_rows, _SLICE)):
+        for batch in (b.slice(i, 512) for b in batches for i in range(0, b.num_rows, 512)):
             cosines = unit_rows(batch.column("vector")) @ known.T
             cell = cosines.argmax(axis=1)
             yield pa.RecordBatch.from_arrays(
@@ -123,7 +124,7 @@ def _probed(shared, share: float, exact: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells: Cells = shared.value
         total = int(cells.rows.sum())
-        for batch in (b.slice(i, 256) for b in batches for i in range(0, b.num_rows, 256)):
+        for batch in (b.slice(i, 64) for b in batches for i in range(0, b.num_rows, 64)):
             order, bound = cells.order(unit_rows(batch.column("vector")))
             read = np.cumsum(cells.rows[order], axis=1)
             first = read <= max(1.0, share * total)
@@ -135,8 +136,10 @@ def _probed(shared, share: float, exact: bool):
                 take = first
             take &= cells.rows[order] > 0
             query, place = np.nonzero(take)
-            taken = batch.select(["query", "vector"]).take(pa.array(query))
-            yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(order[query, place].astype(np.int32))], names=["query", "vector", "cell"])
+            for at in range(0, len(query), _PROBES):
+                some = slice(at, at + _PROBES)
+                taken = batch.select(["query", "vector"]).take(pa.array(query[some]))
+                yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(order[query[some], place[some]].astype(np.int32))], names=["query", "vector", "cell"])
 
     return run
 
