@@ -15,28 +15,28 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagtrend.operators.lloyd import Rows, Scan, _read
+from tagtrend.operators.lloyd import Rows, Scan, _read, read_blocks
 
 NARROW = 512  # columns up to which the covariance is held
 EXTRA = 8  # columns beyond the wanted ones
 PASSES = 4
 
 
-def _parts(shared, place, width: int):
+def _parts(shared, width: int):
     """Rows times a thin matrix, and back: per task, the sums of the rows, of the products, of the products' squares, and
     of the rows times the products."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         thin = shared.value
-        n, rows_sum, sums, squares, back = 0, np.zeros(width), np.zeros(thin.shape[1]), np.zeros((thin.shape[1],) * 2), np.zeros(thin.shape)
-        for _, rows in _read(batches, place.value, width):
+        n, rows_sum, sums, squares, back = 0, np.zeros((1, width)), np.zeros(thin.shape[1]), np.zeros((thin.shape[1],) * 2), np.zeros(thin.shape[::-1])
+        for rows in read_blocks(batches, width):
             along = rows.times(thin)
             n += rows.n
-            rows_sum += _transposed(rows, np.ones((rows.n, 1)))[:, 0]
+            _add_transposed(rows_sum, rows, np.ones((rows.n, 1)))
             sums += along.sum(axis=0)
             squares += along.T @ along
-            back += _transposed(rows, along)
+            _add_transposed(back, rows, along)
         if n:
-            whole = np.concatenate([[float(n)], rows_sum, sums, squares.ravel(), back.ravel()])
+            whole = np.concatenate([[float(n)], rows_sum[0], sums, squares.ravel(), back.T.ravel()])
             for at in range(0, len(whole), 1 << 16):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([at // (1 << 16)], pa.int32()), pa.array([whole[at : at + (1 << 16)].tobytes()], pa.binary())], names=["piece", "sum"]
@@ -45,11 +45,13 @@ def _parts(shared, place, width: int):
     return run
 
 
-def _transposed(rows: Rows, right: np.ndarray) -> np.ndarray:
-    """The rows' matrix, turned, times another with as many rows."""
+def _add_transposed(total: np.ndarray, rows: Rows, right: np.ndarray) -> None:
+    """Add the rows' matrix, turned, times another with as many rows; the total has a line per column of the other."""
     if not rows.sparse:
-        return rows.dense.T @ right
-    return np.stack([np.bincount(rows.slot, rows.value * right[rows.row, i], rows.width) for i in range(right.shape[1])], axis=1)
+        total += right.T @ rows.dense
+        return
+    for line, column in zip(total, right.T, strict=True):
+        np.add.at(line, rows.slot, rows.value * column[rows.row])
 
 
 def _added(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -65,7 +67,7 @@ def _carried(scan: Scan, thin: np.ndarray) -> tuple[int, np.ndarray, np.ndarray,
     """The number of rows, their mean, and of the centred rows: the products' squares and the rows times the products."""
     width, few = thin.shape
     shared = scan.spark.sparkContext.broadcast(thin)
-    parts = scan.rows.mapInArrow(_parts(shared, scan.place, width), "piece int, sum binary")
+    parts = scan.blocks.mapInArrow(_parts(shared, width), "piece int, sum binary")
     found = parts.groupBy("piece").applyInArrow(_added, "piece int, sum binary").orderBy("piece").toArrow()
     whole = np.concatenate([np.frombuffer(x) for x in found.column("sum").to_pylist()])
     n, rows_sum, sums = int(whole[0]), whole[1 : 1 + width], whole[1 + width : 1 + width + few]

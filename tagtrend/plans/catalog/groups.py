@@ -10,7 +10,7 @@ from tagtrend.operators import cells, clusters, counts, lloyd, neighbours, rates
 from tagtrend.plans import views
 from tagtrend.plans import vocabulary as v
 from tagtrend.plans.catalog.registry import DOCUMENTS, query, rounded, sql_rates
-from tagtrend.session import fresh_path
+from tagtrend.session import fresh_path, stage
 
 _RECORDS = f"SELECT label AS cluster, lang, source, tags_all FROM embeddings JOIN ({DOCUMENTS}) ON vec_id = doc_id"
 
@@ -136,6 +136,11 @@ def _document_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.text_vectors(views.documents(spark, sf_dir, "text"), "text")
 
 
+def _written_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text vectors for plans that read them several times."""
+    return stage(_document_vectors(spark, sf_dir).select("doc_id", "vector"), "text-vectors")
+
+
 @query("SELECT doc_id, CASE WHEN regexp_matches(text, '[\\p{L}\\p{N}_]') THEN 1.0 ELSE 0.0 END AS norm FROM documents")
 def tfidf_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The norm of each sparse vector; `tfidf_weights` has the weights in long form, with an exact check."""
@@ -237,7 +242,7 @@ def projection_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT count(*) AS n, true AS centred, true AS uncorrelated, true AS ordered FROM documents")
 def text_projection_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same of the wide, sparse text vectors."""
-    return _projected(vectors.project_2d(_document_vectors(spark, sf_dir).select("doc_id", "vector"), "vector")).drop("wide")
+    return _projected(vectors.project_2d(_written_vectors(spark, sf_dir), "vector")).drop("wide")
 
 
 _STEP = """c{n} AS (SELECT vec_id, e, arg_min(label, d * 1000 + label * 1e-9) AS label FROM (SELECT vec_id, e, m.label,
@@ -261,7 +266,7 @@ def kmeans_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def text_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents clustered on their text vectors, the best of ten fits, then profiled."""
-    rows = _document_vectors(spark, sf_dir).select("doc_id", "vector")
+    rows = _written_vectors(spark, sf_dir)
     labelled = vectors.label_clusters(rows, "vector", vectors.best_kmeans(rows, "vector", 9))
     records = views.tagged_documents(spark, sf_dir, "lang", "source").join(labelled, "doc_id")
     return rounded(clusters.cluster_profile(records, "cluster", "lang", "source", "tags_all"), "top_category_pct")
