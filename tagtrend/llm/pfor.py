@@ -18,6 +18,7 @@ null ids come first; an empty table gives an empty result; other columns are ign
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections.abc import Iterator, Sequence
@@ -57,9 +58,10 @@ def pack(ids: np.ndarray, block: int = BLOCK, percentile: float = PERCENTILE) ->
     grid = grid.reshape(blocks, block)
     low = grid.min(axis=1) if blocks else np.zeros(0, dtype=np.uint32)
     deltas = grid - low[:, None]
-    cut = np.percentile(deltas, percentile, axis=1, method="higher") if blocks else np.zeros(0)
+    rank = math.ceil((block - 1) * percentile / 100)
+    cut = np.partition(deltas, rank, axis=1)[:, rank]
     width = np.frexp(cut.astype(np.float64))[1].astype(np.uint32)
-    over = (deltas.astype(np.uint64) >> width[:, None].astype(np.uint64)) > 0
+    over = deltas > ((np.uint64(1) << width.astype(np.uint64)) - np.uint64(1)).astype(np.uint32)[:, None]
     index = np.zeros(blocks, dtype=_ENTRY)
     index["low"], index["width"], index["patches"] = low, width, over.sum(axis=1)
     packed: list[bytes] = [b""] * blocks
@@ -71,13 +73,14 @@ def pack(ids: np.ndarray, block: int = BLOCK, percentile: float = PERCENTILE) ->
             body = np.packbits(bits.reshape(len(rows), -1), axis=1, bitorder="little")
             for r, data in zip(rows, body, strict=True):
                 packed[r] = data.tobytes()
-    parts, offset = [], _HEADER.itemsize + index.nbytes
-    for i in range(blocks):
-        patches = np.flatnonzero(over[i]).astype("<u4")
-        data = packed[i] + patches.tobytes() + deltas[i][patches].astype("<u4").tobytes()
-        index["offset"][i] = offset
-        offset += len(data)
-        parts.append(data)
+    patches, values = np.nonzero(over)[1].astype("<u4").tobytes(), deltas[over].astype("<u4").tobytes()
+    ends = np.cumsum(index["patches"], dtype=np.int64) * 4
+    sizes = -(-block * width.astype(np.int64) // 8) + 8 * index["patches"].astype(np.int64)
+    index["offset"] = _HEADER.itemsize + index.nbytes + np.cumsum(sizes) - sizes
+    parts, a = [], 0
+    for body, b in zip(packed, ends.tolist(), strict=True):
+        parts += [body, patches[a:b], values[a:b]]
+        a = b
     return np.array([(n, block, blocks)], dtype=_HEADER).tobytes() + index.tobytes() + b"".join(parts)
 
 
@@ -146,13 +149,12 @@ class WordIds:
         found = self.kept.find_all(parts)
         plain: list[tuple[int, int]] = []
         others: list[int] = []
-        for i, ids in enumerate(found):
-            if ids is None:
-                n = 1 if parts[i].isalpha() else closings(parts[i])
-                if n:
-                    plain.append((i, n))
-                else:
-                    others.append(i)
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            n = 1 if parts[i].isalpha() else closings(parts[i])
+            if n:
+                plain.append((i, n))
+            else:
+                others.append(i)
         for start in range(0, len(plain), CALL_PARTS):
             some, n = zip(*plain[start : start + CALL_PARTS], strict=True)
             texts = [parts[i] for i in some]
@@ -198,11 +200,14 @@ def word_parts(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[
     for a, b in zip(starts[whole].tolist(), ends[whole].tolist(), strict=True):
         low[a:b] = data[a:b]
     # where each word's last byte that is no mark stands
-    last = np.maximum.accumulate(np.where(_MARK[data], -1, np.arange(len(data))))[ends - 1]
+    last = np.maximum.accumulate(np.where(_MARK[data], np.int32(-1), np.arange(len(data), dtype=np.int32)))[ends - 1].astype(np.int64)
     cut = ~whole & (last >= starts) & (last < ends - 1) & (low[last] >= 97) & (low[last] <= 122)
-    heads, tails = np.where(cut, last + 1, ends), last[cut] + 1
-    order = np.argsort(np.concatenate([starts, tails]), kind="stable")
-    return low, np.concatenate([starts, tails])[order], np.concatenate([heads, ends[cut]])[order]
+    tails = last[cut] + 1
+    at = np.arange(len(starts)) + np.cumsum(cut) - cut
+    begin, end = (np.empty(len(starts) + len(tails), dtype=np.int64) for _ in range(2))
+    begin[at], end[at] = starts, np.where(cut, last + 1, ends)
+    begin[at[cut] + 1], end[at[cut] + 1] = tails, ends[cut]
+    return low, begin, end
 
 
 @lru_cache(maxsize=2)

@@ -132,7 +132,9 @@ def distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np
     """One span of each distinct content, and which of these each span is; told apart by two 64-bit names."""
     values = BYTE_VALUE[data]
     names, check = span_hash(values, starts, ends, 0), span_hash(values, starts, ends, 1)
-    _, first, of = np.unique(names, return_index=True, return_inverse=True)
+    of = pa.array(names).dictionary_encode().indices.to_numpy()
+    first = np.empty(int(of.max(initial=-1)) + 1, dtype=np.int64)
+    first[of[::-1]] = np.arange(len(of) - 1, -1, -1)
     if not np.array_equal(check[first][of], check):
         first = of = np.arange(len(names))
     return first, of
@@ -195,9 +197,13 @@ class Recent(dict):
     def find_all(self, keys: list[bytes]) -> list[bytes | None]:
         out = list(map(self.get, keys))
         if self.older:
-            for i, found in enumerate(out):
-                if found is None:
-                    out[i] = self.find(keys[i])
+            missing = [i for i, found in enumerate(out) if found is None]
+            again = []
+            for i, found in zip(missing, map(self.older.get, [keys[i] for i in missing]), strict=True):
+                if found is not None:
+                    out[i] = found
+                    again.append((keys[i], found))
+            self.keep_all(again)
         return out
 
     def keep_all(self, items: list[tuple[bytes, bytes]]) -> None:

@@ -10,6 +10,7 @@ import pyarrow as pa
 import pytest
 from tagtrend.llm import pfor, prefix_bpe
 from tagtrend.llm.queries import op7_patched_ids, op9_prefix_bpe
+from tagtrend.llm.words import Recent
 
 P = pytest.importorskip("public_tokenizers")
 tiktoken = pytest.importorskip("tiktoken")
@@ -154,3 +155,13 @@ def test_many_segments(spark):
     found = sorted((r["doc_id"], r["start"], len(r["ids"])) for r in pfor.read_documents(segments).collect())
     starts = np.cumsum([0, *(n for _, _, n in found)])
     assert [s for _, s, _ in found] == starts[:-1].tolist() and [d for d, _, _ in found] == list(range(300))
+
+
+def test_kept_pieces_of_both_generations_come_in_one_go(monkeypatch):
+    """No call for each key that is missing from the younger generation."""
+    kept = Recent(3)
+    kept.keep_all([(b"a", b"1"), (b"b", b"2"), (b"c", b"3")])
+    kept.keep_all([(b"d", b"4")])
+    monkeypatch.setattr(Recent, "find", lambda *_: pytest.fail("one by one"))
+    assert kept.find_all([b"c", b"x", b"d", b"a", b"c"]) == [b"3", None, b"4", b"1", b"3"]
+    assert kept.get(b"a") == b"1" and kept.get(b"c") == b"3" and kept.get(b"x") is None
