@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagtrend.llm.store import shuffle_tasks, stage
+from tagtrend.llm.store import PACKED, shuffle_tasks, stage
 from tagtrend.llm.words import LOWER, Recent, bounds, bytes_of, looked_up, slices
 
 BLOCK = 512
@@ -150,7 +150,7 @@ class WordIds:
         plain: list[tuple[int, int]] = []
         others: list[int] = []
         for i in [i for i, ids in enumerate(found) if ids is None]:
-            n = 1 if parts[i].isalpha() else closings(parts[i])
+            n = 1 if parts[i].isalpha() or parts[i].decode().isalpha() else closings(parts[i])
             if n:
                 plain.append((i, n))
             else:
@@ -194,13 +194,23 @@ def word_parts(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[
         return data, starts, ends
     special = data == 39
     special[:-1] |= (data[:-1] == 60) & (data[1:] == 124)
-    before = np.concatenate([[0], np.cumsum(special)])
-    whole = before[ends] > before[starts]
+    special = np.flatnonzero(special)
+    owner = np.maximum(np.searchsorted(starts, special, side="right") - 1, 0)
+    whole = np.zeros(len(starts), dtype=bool)
+    whole[owner[(starts[owner] <= special) & (special < ends[owner])]] = True
     low = LOWER[data]
     for a, b in zip(starts[whole].tolist(), ends[whole].tolist(), strict=True):
         low[a:b] = data[a:b]
-    # where each word's last byte that is no mark stands
-    last = np.maximum.accumulate(np.where(_MARK[data], np.int32(-1), np.arange(len(data), dtype=np.int32)))[ends - 1].astype(np.int64)
+    # where each word's last byte that is no mark stands, or a place before the word; most tails are short
+    last = ends - 1
+    tail = np.flatnonzero(~whole & _MARK[data[last]])
+    for _ in range(4):
+        last[tail] -= 1
+        tail = tail[last[tail] >= starts[tail]]
+        tail = tail[_MARK[data[last[tail]]]]
+    if len(tail):
+        solid = np.concatenate([[-1], np.flatnonzero(~_MARK[data])])
+        last[tail] = solid[np.searchsorted(solid, last[tail], side="right") - 1]
     cut = ~whole & (last >= starts) & (last < ends - 1) & (low[last] >= 97) & (low[last] <= 122)
     tails = last[cut] + 1
     at = np.arange(len(starts)) + np.cumsum(cut) - cut
@@ -258,7 +268,7 @@ def write_segments(documents: DataFrame, path: str, end_id: int = 1, segment_ids
     spark = documents.sparkSession
     narrow = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     ordered = narrow.repartitionByRange(shuffle_tasks(spark), "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
-    written = stage(ordered.mapInArrow(_segments(path, end_id, segment_ids), SEGMENT), "pfor-segments")
+    written = stage(ordered.mapInArrow(_segments(path, end_id, segment_ids), SEGMENT), "pfor-segments", **PACKED)
     # one row per task: their running total is small, and it is joined to the segments, not computed over them
     sizes = written.groupBy("task").agg(F.sum("ids").alias("size"))
     before = sizes.select("task", (F.sum("size").over(Window.orderBy("task")) - F.col("size")).alias("before"))

@@ -6,9 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
-from tagtrend.session import shuffles_freed, small_side, stage, stage_by
+from tagtrend.session import PACKED, shuffles_freed, small_side, stage, stage_by
 
-__all__ = ["fresh", "shuffle_tasks", "shuffles_freed", "small_side", "stage", "stage_by"]
+__all__ = ["PACKED", "fresh", "shuffle_tasks", "shuffles_freed", "small_side", "stage", "stage_by"]
 
 
 def shuffle_tasks(spark: SparkSession) -> int:

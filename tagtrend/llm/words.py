@@ -128,15 +128,33 @@ def joined(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np
     return values[np.arange(int(first[-1])) + np.repeat(starts - first[:-1], size)], first
 
 
+def _sixteen(data: np.ndarray, starts: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first eight bytes of each span and the next eight as numbers, zero behind its end."""
+    room = np.zeros(len(data) // 8 + 4, dtype="<u8")
+    room.view(np.uint8)[: len(data)] = data
+    at, shift = starts >> 3, ((starts & 7) << 3).astype(np.uint64)
+    one, two, three = room[at], room[at + 1], room[at + 2]
+    back = np.uint64(63) - shift
+    low, high = (one >> shift) | (two << np.uint64(1) << back), (two >> shift) | (three << np.uint64(1) << back)
+    mask = np.append((np.uint64(1) << np.arange(0, 64, 8, dtype=np.uint64)) - np.uint64(1), np.uint64(_MASK))
+    return low & mask[np.minimum(size, 8)], high & mask[np.clip(size - 8, 0, 8)]
+
+
 def distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One span of each distinct content, and which of these each span is; told apart by two 64-bit names."""
-    values = BYTE_VALUE[data]
-    names, check = span_hash(values, starts, ends, 0), span_hash(values, starts, ends, 1)
-    of = pa.array(names).dictionary_encode().indices.to_numpy()
+    """One span of each distinct content, and which of these each span is; told apart by their length and by their
+    bytes, where there are more than sixteen by two 64-bit names."""
+    size = ends - starts
+    low, high = _sixteen(data, starts, size)
+    long = np.flatnonzero(size > 16)
+    if len(long):
+        inside, first = joined(data, starts[long], ends[long])
+        values = BYTE_VALUE[inside]
+        low[long], high[long] = (span_hash(values, first[:-1], first[1:], which) for which in (0, 1))
+    of = pa.array(mix(mix(low, 41) ^ mix(high ^ (size.astype(np.uint64) << np.uint64(32)), 43), 47)).dictionary_encode().indices.to_numpy()
     first = np.empty(int(of.max(initial=-1)) + 1, dtype=np.int64)
     first[of[::-1]] = np.arange(len(of) - 1, -1, -1)
-    if not np.array_equal(check[first][of], check):
-        first = of = np.arange(len(names))
+    if not all(np.array_equal(x[first][of], x) for x in (low, high, size)):
+        first = of = np.arange(len(size))
     return first, of
 
 
