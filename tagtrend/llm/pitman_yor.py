@@ -35,7 +35,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagtrend.llm.store import shuffles_freed, stage, stage_by
+from tagtrend.llm.store import PACKED, shuffles_freed, stage, stage_by
 from tagtrend.llm.words import mix, slices, words_of
 
 CLASSES = 1024  # the commonest contexts, whose counts with spread words are joined
@@ -632,10 +632,10 @@ def learn(parts: DataFrame, totals: Totals, seed: int) -> DataFrame:
     """Count the parts and seat their customers; what they share is filled into `totals`. Returns the shares of the
     parts in the contexts without a number. Spread words after the commonest contexts, of which there are few, are
     seated here."""
-    counted = stage(_over_parts(parts, totals, _count, _SUMS), "pitman-yor-counts")
+    counted = stage(_over_parts(parts, totals, _count, _SUMS), "pitman-yor-counts", **PACKED)
     pairs = counted.where("kind = 'pairs'").select(F.col("a").cast("int").alias("part"), "pairs")
-    pairs = stage_by(pairs, "part", "pitman-yor-pairs")
-    met = stage(counted.where("kind = 'named'").select("a", "b", "value", "pairs").groupBy("a").applyInArrow(_meet, _SHARES), "pitman-yor-contexts")
+    pairs = stage_by(pairs, "part", "pitman-yor-pairs", **PACKED)
+    met = stage(counted.where("kind = 'named'").select("a", "b", "value", "pairs").groupBy("a").applyInArrow(_meet, _SHARES), "pitman-yor-contexts", **PACKED)
     shares = met.where("kind = 'share'")
 
     found = _summed(counted)
@@ -661,10 +661,10 @@ def learn(parts: DataFrame, totals: Totals, seed: int) -> DataFrame:
     totals.hot_chance = np.zeros(count.shape)
     for sweep in range(BURN_IN + SAMPLES + 1):
         if sweep:
-            swept = stage(_swept(_beside(pairs, shares), totals, seed), "pitman-yor-sweep")
+            swept = stage(_swept(_beside(pairs, shares), totals, seed), "pitman-yor-sweep", **PACKED)
             sent = swept.where("kind = 'named'").selectExpr("'tables' AS kind", "cast(a AS int) AS home", "cast(b AS int) AS part", f"{sweep} AS sweep", "pairs AS payload")
             answers = sent.unionByName(met.where("kind = 'place'")).groupBy("home").applyInArrow(_answer(sweep), _SHARES)
-            shares = shares.unionByName(stage(answers, "pitman-yor-shares"))
+            shares = shares.unionByName(stage(answers, "pitman-yor-shares", **PACKED))
             found, per_context = _summed(swept), _arrays(swept, "tables")
             parent_tables = sum(r["value"] for r in found if r["kind"] == "parent")
             weight = (STRENGTH + totals.discount * totals.history[-1][0][:CLASSES]) * totals.hot_shared[-1][:, None]
@@ -709,7 +709,7 @@ def scored(documents: DataFrame, held_out: Column, seed: int = 5) -> DataFrame:
     packed = rows.mapInArrow(_blocks(totals.parts, totals.hot, spark.sparkContext.broadcast(common)), BLOCK)
     gathered = packed.groupBy("part").agg(F.collect_list(F.struct("block", "payload", "docs")).alias("blobs"))
     with shuffles_freed(spark):
-        parts = stage_by(gathered, "part", "pitman-yor-parts")
+        parts = stage_by(gathered, "part", "pitman-yor-parts", **PACKED)
         shares = learn(parts, totals, seed)
     partial = _over_parts(_beside(parts.where("part >= 0"), shares), totals, _score(seed), _PARTIAL)
     lists = parts.where("part < 0").select(F.explode("blobs").alias("b")).select("b.block", "b.docs")

@@ -7,7 +7,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
-from tagtrend.llm import pfor, words
+from pyspark.sql import functions as F
+from tagtrend.llm import pfor, pitman_yor, words
 
 P = pytest.importorskip("public_tokenizers")
 WORDS = P.path("word_bpe_49k.json")
@@ -25,6 +26,25 @@ def test_segments_are_not_compressed_again(spark):
     assert codecs(pfor.write_segments(rows, WORDS, segment_ids=32)) == {"UNCOMPRESSED"}
 
 
+def test_parts_and_sweeps_are_not_compressed_again(spark, monkeypatch):
+    written = []
+
+    def kept(write):
+        def run(*args, **options):
+            written.append(write(*args, **options))
+            return written[-1]
+
+        return run
+
+    monkeypatch.setattr(pitman_yor, "stage", kept(pitman_yor.stage))
+    monkeypatch.setattr(pitman_yor, "stage_by", kept(pitman_yor.stage_by))
+    rows = spark.createDataFrame([(i, f"one two three {i % 7} two") for i in range(60)], "doc_id long, text string")
+    assert pitman_yor.scored(rows, F.expr("doc_id % 5 = 0")).count() == 60
+    packed = [t for t in written if set(t.columns) & {"blobs", "payload", "pairs"}]
+    assert len(packed) >= 5
+    assert [codecs(t) for t in packed if codecs(t)] == [{"UNCOMPRESSED"}] * sum(bool(codecs(t)) for t in packed)
+
+
 def test_words_of_letters_need_no_offsets(monkeypatch):
     coder = pfor.WordIds(WORDS)
     texts = pa.array(["élan über Straße naïve", "mañana Ørsted łódź", None])
