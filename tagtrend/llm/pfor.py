@@ -23,6 +23,7 @@ import re
 import zlib
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,11 +32,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagtrend.llm.store import PACKED, shuffle_tasks, stage
-from tagtrend.llm.words import LOWER, Recent, bounds, bytes_of, looked_up, slices
+from tagtrend.llm.words import Known, Recent, bounds, bytes_of, distinct, flat, joined, looked_up, lowered, sixteen, slices, spans
 
 BLOCK = 512
 PERCENTILE = 95.0
 SEGMENT_IDS = 1 << 18
+KEPT_WORDS = 1 << 20
 KEPT_PARTS = 250_000
 LONGEST_KEPT = 256
 CALL_PARTS = 20_000
@@ -43,11 +45,47 @@ SLICE_BYTES = 4 << 20
 _HEADER = np.dtype([("ids", "<u8"), ("block", "<u4"), ("blocks", "<u4")])
 _ENTRY = np.dtype([("offset", "<u8"), ("low", "<u4"), ("patches", "<u4"), ("width", "<u4")])
 _PRINTABLE, _CLOSED = re.compile(rb"[!-~]+"), re.compile(rb"[A-Za-z]+|[0-9]|[^A-Za-z0-9]+")
+# the character by which a byte-level model names each byte; the space here parts the words
+_CHARACTER = np.arange(256, dtype="<u4")
+_UNNAMED = [*range(33), *range(127, 161), 173]
+_CHARACTER[_UNNAMED] = 256 + np.arange(len(_UNNAMED))
+_CHARACTER[32] = 32
 _MARK = np.zeros(256, dtype=bool)
 for _a, _b in ((33, 48), (58, 65), (91, 97), (123, 127)):
     _MARK[_a:_b] = True
 
 
+def _planes(rows: np.ndarray) -> np.ndarray:
+    """The columns of a table by their number modulo eight, each class one after the other; zeros fill it up."""
+    padded = np.zeros((len(rows), -(-rows.shape[1] // 8) * 8), dtype=rows.dtype)
+    padded[:, : rows.shape[1]] = rows
+    return np.ascontiguousarray(padded.reshape(-1, 8).T)
+
+
+def _packed(rows: np.ndarray, width: int) -> np.ndarray:
+    """Rows of numbers as rows of bytes, `width` bits a number from the lowest on: eight numbers fill `width` bytes."""
+    numbers = _planes(rows)
+    out = np.zeros((width, numbers.shape[1]), dtype=np.uint8)
+    for b in range(width):
+        for i in range(8 * b // width, (8 * b + 7) // width + 1):
+            shift = i * width - 8 * b
+            out[b] |= (numbers[i] << np.uint32(shift) if shift > 0 else numbers[i] >> np.uint32(-shift)).astype(np.uint8)
+    return out.T.reshape(len(rows), -1)[:, : -(-rows.shape[1] * width // 8)]
+
+
+def _unpacked(body: np.ndarray, block: int, width: int) -> np.ndarray:
+    """The numbers of rows that `_packed` made."""
+    padded = np.zeros((len(body), -(-block // 8) * width), dtype=np.uint8)
+    padded[:, : body.shape[1]] = body
+    data = np.ascontiguousarray(padded.reshape(-1, width).T).astype(np.uint32)
+    out = np.zeros((8, data.shape[1]), dtype=np.uint32)
+    for i in range(8):
+        for b in range(i * width // 8, (i * width + width - 1) // 8 + 1):
+            shift = 8 * b - i * width
+            out[i] |= data[b] << np.uint32(shift) if shift > 0 else data[b] >> np.uint32(-shift)
+    return (out & np.uint32((1 << width) - 1)).T.reshape(len(body), -1)[:, :block]
+
+
 def pack(ids: np.ndarray, block: int = BLOCK, percentile: float = PERCENTILE) -> bytes:
     """One segment."""
     n, blocks = len(ids), -(-len(ids) // block)
@@ -68,10 +106,8 @@ def pack(ids: np.ndarray, block: int = BLOCK, percentile: float = PERCENTILE) ->
     for w in np.unique(width):
         rows = np.flatnonzero(width == w)
         if w:
-            shifts = np.arange(w, dtype=np.uint32)
-            bits = ((deltas[rows][:, :, None] >> shifts) & np.uint32(1)).astype(np.uint8)
-            body = np.packbits(bits.reshape(len(rows), -1), axis=1, bitorder="little")
-            for r, data in zip(rows, body, strict=True):
+            small = deltas[rows] & np.uint32((1 << int(w)) - 1)
+            for r, data in zip(rows, _packed(small, int(w)), strict=True):
                 packed[r] = data.tobytes()
     patches, values = np.nonzero(over)[1].astype("<u4").tobytes(), deltas[over].astype("<u4").tobytes()
     ends = np.cumsum(index["patches"], dtype=np.int64) * 4
@@ -93,15 +129,14 @@ def unpack(segment: bytes, start: int = 0, stop: int | None = None) -> np.ndarra
         return np.zeros(0, dtype=np.uint32)
     index = np.frombuffer(segment, dtype=_ENTRY, count=blocks, offset=_HEADER.itemsize)
     first, last = start // block, -(-stop // block)
-    raw, chosen = np.frombuffer(segment, dtype=np.uint8), index[first:last]
+    chosen = index[first:last]
     out = np.zeros((last - first, block), dtype=np.uint32)
     for w in np.unique(chosen["width"]):
         rows = np.flatnonzero(chosen["width"] == w)
         if w:
             size = -(-block * int(w) // 8)
-            body = raw[chosen["offset"][rows].astype(np.int64)[:, None] + np.arange(size)]
-            bits = np.unpackbits(body, axis=1, bitorder="little")[:, : block * w].reshape(len(rows), block, w)
-            out[rows] = bits @ (np.uint32(1) << np.arange(w, dtype=np.uint32))
+            body = b"".join([segment[a : a + size] for a in chosen["offset"][rows].tolist()])
+            out[rows] = _unpacked(np.frombuffer(body, dtype=np.uint8).reshape(len(rows), size), block, int(w))
     for r in np.flatnonzero(chosen["patches"]):
         e = chosen[r]
         at, k = int(e["offset"]) + -(-block * int(e["width"]) // 8), int(e["patches"])
@@ -113,17 +148,30 @@ def unpack(segment: bytes, start: int = 0, stop: int | None = None) -> np.ndarra
 class WordIds:
     """Texts to ids by the tokenizer. White space ends every token of this tokenizer, and so does the border between
     ASCII letters and the ASCII punctuation at a word's end, so the distinct parts of a slice's words are encoded
-    together, once, and those used of late are kept."""
+    together, once, and those seen before are kept: up to sixteen bytes in a table, longer ones by name."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.kept = Tokenizer.from_file(path), Recent(KEPT_PARTS)
+        self.tokenizer, self.known, self.kept = Tokenizer.from_file(path), Known(KEPT_WORDS), Recent(KEPT_PARTS)
+        self.tokenize = self.tokenizer.model.tokenize
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         vocabulary = self.tokenizer.get_vocab()
         self.closing = np.zeros(max(vocabulary.values(), default=-1) + 1, dtype=bool)
         self.closing[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
 
+    def _letters(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words of `letters`, each with a space behind it, and how many each has. In lower case such a word is
+        one piece for the tokenizer's model, so it goes there at once, its bytes written as the model names them."""
+        upper = np.flatnonzero((data[:-1] == 0xC3) & (data[1:] < 0x9F)) + 1
+        data[upper] += 32
+        words, ids, counts = _CHARACTER[data].tobytes().decode("utf-32-le").split(" ")[:-1], [], []
+        for start in range(0, len(words), CALL_PARTS):
+            some = [[token.id for token in self.tokenize(w)] for w in words[start : start + CALL_PARTS]]
+            counts.append(np.fromiter(map(len, some), dtype=np.int64, count=len(some)))
+            ids.append(np.fromiter(chain.from_iterable(some), dtype="<u4", count=int(counts[-1].sum())))
+        return np.concatenate(ids), np.concatenate(counts)
+
     def _plain(self, parts: list[bytes], closings: list[int]) -> list[bytes] | None:
         """The ids of parts that are known to end at their so many-th closing token; None if the numbers disagree."""
         done = self.tokenizer.encode_batch_fast([b" ".join(parts).decode()], add_special_tokens=False)[0]
@@ -144,13 +192,13 @@ class WordIds:
         raw = np.array(done.ids, dtype="<u4").tobytes()
         return [raw[a:b] for a, b in zip(cuts.tolist(), cuts[1:].tolist(), strict=False)]
 
-    def parts(self, parts: list[bytes]) -> list[bytes]:
-        """The ids of each part: those kept, and the others by the tokenizer."""
-        found = self.kept.find_all(parts)
+    def tokens(self, parts: list[bytes]) -> list[bytes]:
+        """The ids of each part by the tokenizer."""
+        found: list[bytes] = [b""] * len(parts)
         plain: list[tuple[int, int]] = []
         others: list[int] = []
-        for i in [i for i, ids in enumerate(found) if ids is None]:
-            n = 1 if parts[i].isalpha() or parts[i].decode().isalpha() else closings(parts[i])
+        for i, part in enumerate(parts):
+            n = 1 if part.decode().isalpha() else closings(part)
             if n:
                 plain.append((i, n))
             else:
@@ -158,27 +206,70 @@ class WordIds:
         for start in range(0, len(plain), CALL_PARTS):
             some, n = zip(*plain[start : start + CALL_PARTS], strict=True)
             texts = [parts[i] for i in some]
-            self._found(found, some, texts, self._plain(texts, n) or self._encoded(texts))
+            _put(found, some, self._plain(texts, n) or self._encoded(texts))
         for start in range(0, len(others), CALL_PARTS):
             some = others[start : start + CALL_PARTS]
-            texts = [parts[i] for i in some]
-            self._found(found, some, texts, self._encoded(texts))
+            _put(found, some, self._encoded([parts[i] for i in some]))
         return found
 
-    def _found(self, found: list, some: Sequence[int], texts: list[bytes], ids: list[bytes]) -> None:
-        for i, one in zip(some, ids, strict=True):
-            found[i] = one
+    def parts(self, parts: list[bytes]) -> list[bytes]:
+        """The ids of each part: those kept, and the others by the tokenizer."""
+        found = self.kept.find_all(parts)
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        texts = [parts[i] for i in missing]
+        ids = self.tokens(texts)
+        _put(found, missing, ids)
         self.kept.keep_all([(t, x) for t, x in zip(texts, ids, strict=True) if len(t) <= LONGEST_KEPT])
+        return found
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the texts of a slice, one after the other, and how many each text has."""
         data, offsets = bytes_of(texts.fill_null(""))
         data, starts, ends = word_parts(data, *bounds(data, offsets))
-        ids, counts = looked_up(data, starts, ends, self.parts)
+        size = ends - starts
+        low, high = sixteen(data, starts, size)
+        entry = self.known.find(low, high, size)
+        new, long = np.flatnonzero((entry == 0) & (size <= 16)), np.flatnonzero(size > 16)
+        if len(new):
+            first, of = distinct(data, starts[new], ends[new])
+            one = new[first]
+            words, plain = letters(data, starts[one], ends[one])
+            number = np.empty(len(one), dtype=np.int64)
+            if len(words):
+                some = one[plain]
+                number[plain] = self.known.add(low[some], high[some], size[some], *self._letters(words))
+            if len(rest := one[~plain]):
+                found = self.tokens(spans(data, starts[rest], ends[rest]))
+                number[~plain] = self.known.add(low[rest], high[rest], size[rest], *flat(found))
+            entry[new] = number[of]
+        ids, counts = self.known.ids_of(entry)
+        if len(long):  # these have no entry, and no ids so far
+            before = np.cumsum(counts)[long]
+            more, counts[long] = looked_up(data, starts[long], ends[long], self.parts)
+            ids = np.insert(ids, np.repeat(before, counts[long]), more)
         total = np.concatenate([[0], np.cumsum(counts)])
         return ids, np.diff(total[np.searchsorted(starts, offsets)])
 
 
+def _put(found: list, some: Sequence[int], ids: list[bytes]) -> None:
+    for i, one in zip(some, ids, strict=True):
+        found[i] = one
+
+
+def letters(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words that consist of lower-case ASCII letters and Latin-1 letters, each with a space behind it, and which of
+    the words these are."""
+    inside, first = joined(np.append(data, np.uint8(32)), starts, ends + 1)
+    inside[first[1:] - 1] = 32
+    known = (inside == 32) | ((inside >= 97) & (inside <= 122))
+    second = inside[1:]
+    pair = (inside[:-1] == 0xC3) & (second >= 0x80) & (second != 0x97) & (second != 0xB7)
+    known[:-1] |= pair
+    known[1:] |= pair
+    plain = np.logical_and.reduceat(known, first[:-1])
+    return inside[np.repeat(plain, np.diff(first))], plain
+
+
 def closings(part: bytes) -> int:
     """How many tokens of a part of printable ASCII close a word (one for each run of letters, digit and run of marks);
     0 for other parts and those that may hold a contraction or a special token."""
@@ -198,7 +289,7 @@ def word_parts(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[
     owner = np.maximum(np.searchsorted(starts, special, side="right") - 1, 0)
     whole = np.zeros(len(starts), dtype=bool)
     whole[owner[(starts[owner] <= special) & (special < ends[owner])]] = True
-    low = LOWER[data]
+    low = lowered(data)
     for a, b in zip(starts[whole].tolist(), ends[whole].tolist(), strict=True):
         low[a:b] = data[a:b]
     # where each word's last byte that is no mark stands, or a place before the word; most tails are short

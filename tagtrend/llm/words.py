@@ -97,7 +97,7 @@ def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where the words of consecutive texts begin and end."""
     solid = np.zeros(len(data) + 2, dtype=bool)
-    np.logical_not(BLANK[data], out=solid[1:-1])
+    np.logical_and(data != 32, data - np.uint8(9) > 4, out=solid[1:-1])
     begin = solid[1:-1] & ~solid[:-2]
     end = solid[1:-1] & ~solid[2:]
     inner = offsets[(offsets > 0) & (offsets < len(data))]
@@ -128,23 +128,31 @@ def joined(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np
     return values[np.arange(int(first[-1])) + np.repeat(starts - first[:-1], size)], first
 
 
-def _sixteen(data: np.ndarray, starts: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def lowered(data: np.ndarray) -> np.ndarray:
+    """The bytes with A-Z in lower case."""
+    return data | ((data - np.uint8(65) < 26).view(np.uint8) << np.uint8(5))
+
+
+def sixteen(data: np.ndarray, starts: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The first eight bytes of each span and the next eight as numbers, zero behind its end."""
     room = np.zeros(len(data) // 8 + 4, dtype="<u8")
     room.view(np.uint8)[: len(data)] = data
-    at, shift = starts >> 3, ((starts & 7) << 3).astype(np.uint64)
-    one, two, three = room[at], room[at + 1], room[at + 2]
-    back = np.uint64(63) - shift
-    low, high = (one >> shift) | (two << np.uint64(1) << back), (two >> shift) | (three << np.uint64(1) << back)
     mask = np.append((np.uint64(1) << np.arange(0, 64, 8, dtype=np.uint64)) - np.uint64(1), np.uint64(_MASK))
-    return low & mask[np.minimum(size, 8)], high & mask[np.clip(size - 8, 0, 8)]
+
+    def eight(starts, size):
+        at, shift = starts >> 3, ((starts & 7) << 3).astype(np.uint64)
+        return ((room[at] >> shift) | (room[at + 1] << np.uint64(1) << (np.uint64(63) - shift))) & mask[np.minimum(size, 8)]
+
+    high, longer = np.zeros(len(starts), dtype=np.uint64), np.flatnonzero(size > 8)
+    high[longer] = eight(starts[longer] + 8, size[longer] - 8)
+    return eight(starts, size), high
 
 
 def distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """One span of each distinct content, and which of these each span is; told apart by their length and by their
     bytes, where there are more than sixteen by two 64-bit names."""
     size = ends - starts
-    low, high = _sixteen(data, starts, size)
+    low, high = sixteen(data, starts, size)
     long = np.flatnonzero(size > 16)
     if len(long):
         inside, first = joined(data, starts[long], ends[long])
@@ -158,20 +166,29 @@ def distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np
     return first, of
 
 
+def flat(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The ids (little-endian bytes) of a list's entries, one after the other, and how many each has."""
+    return np.frombuffer(b"".join(found), dtype="<u4"), np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+
+
 def spread(found: list[bytes], of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The ids (little-endian bytes) of the entries `of` of a list, one after the other, and how many each has."""
-    size = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+    ids, size = flat(found)
     begin = np.cumsum(size) - size
-    ids, first = joined(np.frombuffer(b"".join(found), dtype="<u4"), begin[of], (begin + size)[of])
+    ids, first = joined(ids, begin[of], (begin + size)[of])
     return ids, np.diff(first)
 
 
+def spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    raw = data.tobytes()
+    return [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+
+
 def looked_up(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, find: Callable[[list[bytes]], list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
     """The ids of many byte spans, one after the other, and how many each has. `find` gives the ids of distinct spans
     as little-endian bytes."""
     first, of = distinct(data, starts, ends)
-    raw = data.tobytes()
-    return spread(find([raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]), of)
+    return spread(find(spans(data, starts[first], ends[first])), of)
 
 
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -236,3 +253,80 @@ class Recent(dict):
             self.older = dict(self)
             self.clear()
         self[key] = value
+
+
+class Known:
+    """The ids of spans of at most sixteen bytes, found by those bytes and their number for a whole slice at a time.
+
+    Entries are numbered from 1 and kept in arrays; `slots` has the number of an entry at the place that its hash names,
+    or at the next free one. Entry 0 stands for none and has no ids. With `limit` entries the table starts anew."""
+
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.clear()
+
+    def clear(self) -> None:
+        self.low, self.high = np.zeros((2, 1), dtype=np.uint64)
+        self.size, self.begin, self.count = np.array([-1], dtype=np.int8), np.zeros(1, dtype=np.int32), np.zeros(1, dtype=np.int32)
+        self.ids, self.slots = np.zeros(0, dtype="<u4"), np.zeros(1 << 12, dtype=np.int32)
+        self.entries, self.filled = 1, 0
+
+    def _place(self, low: np.ndarray, high: np.ndarray, size: np.ndarray) -> np.ndarray:
+        name = mix(low ^ (high * np.uint64(BASES[0])) ^ (size.astype(np.uint64) * np.uint64(BASES[1])))
+        return (name & np.uint64(len(self.slots) - 1)).astype(np.int64)
+
+    def find(self, low: np.ndarray, high: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """The entry of each span, given by what `sixteen` makes of it and its size."""
+        at = self._place(low, high, size)
+        out = self.slots[at]
+        other = (self.low[out] != low) | (self.high[out] != high) | (self.size[out] != size)
+        left = np.flatnonzero(other & (out != 0))
+        out[other] = 0
+        at = at[left]
+        while len(left):
+            at = (at + 1) & (len(self.slots) - 1)
+            entry = self.slots[at]
+            same = (self.low[entry] == low[left]) & (self.high[entry] == high[left]) & (self.size[entry] == size[left])
+            out[left[same]] = entry[same]
+            on = ~same & (entry != 0)
+            left, at = left[on], at[on]
+        return out
+
+    def add(self, low: np.ndarray, high: np.ndarray, size: np.ndarray, ids: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """New entries for distinct spans that have none, with their ids one after the other and how many each has; the
+        entries' numbers, which hold until the next `ids_of`."""
+        new = np.arange(self.entries, self.entries + len(low))
+        for name, values in (("low", low), ("high", high), ("size", size), ("count", count), ("begin", self.filled + np.cumsum(count) - count)):
+            setattr(self, name, _extended(getattr(self, name), self.entries, values))
+        self.ids = _extended(self.ids, self.filled, ids)
+        self.entries, self.filled = self.entries + len(low), self.filled + len(ids)
+        if 2 * self.entries > len(self.slots):
+            self.slots = np.zeros(1 << (3 * self.entries).bit_length(), dtype=np.int32)
+            self._seat(np.arange(1, self.entries))
+        else:
+            self._seat(new)
+        return new
+
+    def _seat(self, entry: np.ndarray) -> None:
+        at = self._place(self.low[entry], self.high[entry], self.size[entry])
+        while len(entry):
+            free = self.slots[at] == 0
+            self.slots[at[free]] = entry[free]
+            left = self.slots[at] != entry
+            entry, at = entry[left], (at[left] + 1) & (len(self.slots) - 1)
+
+    def ids_of(self, entry: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the entries, one after the other, and how many each has."""
+        begin, count = self.begin[entry], self.count[entry].astype(np.int64)
+        ids, _ = joined(self.ids, begin, begin + count)
+        if self.entries > self.limit:
+            self.clear()
+        return ids, count
+
+
+def _extended(values: np.ndarray, filled: int, more: np.ndarray) -> np.ndarray:
+    """`more` put behind the first `filled` values, in an array with room to spare."""
+    if filled + len(more) > len(values):
+        values = np.concatenate([values[:filled], np.empty(len(more) + (filled + len(more)) // 4, dtype=values.dtype)])
+    values[filled : filled + len(more)] = more
+    return values
