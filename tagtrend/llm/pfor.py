@@ -280,10 +280,11 @@ def closings(part: bytes) -> int:
 
 def word_parts(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The words cut into their letters and their tail of marks, in lower case, which the tokenizer drops anyway; words
-    that may hold a contraction or a special token stay whole and as written."""
+    that may hold a contraction, a special token or a combining mark (U+0300 to U+037F) stay whole and as written: some
+    marks join a small letter and not the capital, and the tokenizer joins them before it lowers the case."""
     if not len(starts):
         return data, starts, ends
-    special = data == 39
+    special = (data == 39) | (data & np.uint8(0xFE) == 0xCC)
     special[:-1] |= (data[:-1] == 60) & (data[1:] == 124)
     special = np.flatnonzero(special)
     owner = np.maximum(np.searchsorted(starts, special, side="right") - 1, 0)

@@ -49,6 +49,16 @@ def test_letters_are_encoded_as_the_library_does(monkeypatch):
             assert encoded(coder, texts[i : i + 500]) == alone(coder, texts[i : i + 500])
 
 
+def test_marks_that_join_small_letters_only():
+    """The tokenizer joins letters and marks before it lowers the case."""
+    coder = pfor.WordIds(WORDS)
+    rng = random.Random(13)
+    marks = "\u0331\u030c\u0308\u030a\u0301\u0327\u0333\u0344\u0591"
+    some = ["H\u0331", "h\u0331", "J\u030c, a", "T\u0308", "T\u0591\u0308x.", "W\u030a", "Y\u030a", "T\u0344", "E\u0301", "\u00ca\u0301x"]
+    some += ["".join(rng.choices("AEHJTWYaehjtwy\u00c9\u00fc ." + marks, k=rng.randint(1, 20))) for _ in range(2000)]
+    assert encoded(coder, some) == alone(coder, some)
+
+
 @pytest.mark.parametrize("crowded", [False, True])
 def test_entries_are_those_of_the_bytes(monkeypatch, crowded):
     """Also where all hashes name one place, and when the table grows or starts anew."""
